@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the Unicode whitespace characters. Spelled out because engines disagree on \s.
@@ -29,6 +29,16 @@ def clean_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(kept, " {2,}", " "))
 
 
+def with_clean_texts(rows: DataFrame) -> DataFrame:
+    """Add ``query_clean`` and ``document_clean``, unless the rows have them."""
+    if {"query_clean", "document_clean"} <= set(rows.columns):
+        return rows
+    return rows.withColumns({
+        "query_clean": clean_text(F.col("query")),
+        "document_clean": clean_text(F.col("document")),
+    })
+
+
 def tokens(clean: Column) -> Column:
     """Whitespace tokens of a cleaned text; an empty text has none."""
     return F.array_remove(F.split(clean, " "), "")
@@ -39,17 +49,9 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def padded(clean: Column) -> Column:
-    """A cleaned text with a space of its own on either side of every token."""
-    return F.concat(F.lit(" "), F.replace(clean, F.lit(" "), F.lit("  ")), F.lit(" "))
-
-
-def count_token(padded_text: Column, token: Column) -> Column:
-    """Occurrences of a whole token in a :func:`padded` text."""
-    needle = F.concat(F.lit(" "), token, F.lit(" "))
-    without = F.replace(padded_text, needle, F.lit(""))
-    removed = F.octet_length(padded_text) - F.octet_length(without)
-    return (removed / F.octet_length(needle)).cast("long")
+def count_token(words: Column, token: Column) -> Column:
+    """Occurrences of a token in a token array."""
+    return F.size(F.filter(words, lambda word: word == token))
 
 
 def long_tokens(token_array: Column) -> Column:

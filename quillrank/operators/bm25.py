@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.functions.text import bind, clean_text, count_token, padded, tokens
+from quillrank.functions.text import bind, clean_text, count_token, tokens, with_clean_texts
 from quillrank.operators.grouping import (
     BROADCAST_BYTES,
     HOT_ROWS,
@@ -329,32 +329,24 @@ def bm25_group_info(rows: DataFrame, query_key: str = "query_id") -> DataFrame:
     return materialise(info, "group-terms")
 
 
-def group_score(
-    group_terms: Column, query_clean: Column, doc_clean: Column, doc_len: Column, avg_len: Column
-) -> Column:
+def group_score(group_terms: Column, query_clean: Column, doc_clean: Column, avg_len: Column) -> Column:
     """BM25 of one judged row from its group's statistics, repeated query tokens counted."""
 
-    def contribution(texts: Column, term: Column) -> Column:
-        qf = count_token(texts["query"], term["token"])
-        tf = count_token(texts["doc"], term["token"])
-        return qf * term["idf"] * term_weight(tf, doc_len, avg_len)
+    def contribution(words: Column, term: Column) -> Column:
+        qf, tf = count_token(words["query"], term["token"]), count_token(words["doc"], term["token"])
+        return qf * term["idf"] * term_weight(tf, F.size(words["doc"]), avg_len)
 
     total = bind(
-        F.struct(padded(query_clean).alias("query"), padded(doc_clean).alias("doc")),
-        lambda texts: F.aggregate(
-            group_terms, F.lit(0.0), lambda score, term: score + contribution(texts, term)
+        F.struct(tokens(query_clean).alias("query"), tokens(doc_clean).alias("doc")),
+        lambda words: F.aggregate(
+            group_terms, F.lit(0.0), lambda score, term: score + contribution(words, term)
         ),
     )
     return F.round(F.coalesce(total, F.lit(0.0)), SCORE_DIGITS)
 
 
-def bm25_group_score(judgements: DataFrame, query_key: str = "query_id") -> DataFrame:
-    """Add ``bm25_score`` with each query's judged documents as the corpus."""
-    require_columns(judgements, [query_key, "query", "document"])
-    cleaned = judgements.withColumns({
-        "query_clean": clean_text(F.col("query")),
-        "document_clean": clean_text(F.col("document")),
-    })
+def with_group_score(cleaned: DataFrame, query_key: str = "query_id") -> DataFrame:
+    """Add ``bm25_score`` to rows holding ``query_clean`` and ``document_clean``."""
     info = bm25_group_info(
         cleaned.select(
             query_key,
@@ -363,12 +355,15 @@ def bm25_group_score(judgements: DataFrame, query_key: str = "query_id") -> Data
         ),
         query_key,
     )
-    scored = skew_join(cleaned, info, [query_key], ["document"], F.col("group_rows"))
+    scored = skew_join(cleaned, info, [query_key], ["document_clean"], F.col("group_rows"))
     score = group_score(
-        F.col("group_terms"),
-        F.col("query_clean"),
-        F.col("document_clean"),
-        F.size(tokens(F.col("document_clean"))),
-        F.col("group_avg_len"),
+        F.col("group_terms"), F.col("query_clean"), F.col("document_clean"), F.col("group_avg_len")
     )
-    return scored.withColumn("bm25_score", score).select(*judgements.columns, "bm25_score")
+    return scored.withColumn("bm25_score", score).select(*cleaned.columns, "bm25_score")
+
+
+def bm25_group_score(judgements: DataFrame, query_key: str = "query_id") -> DataFrame:
+    """Add ``bm25_score`` with each query's judged documents as the corpus."""
+    require_columns(judgements, [query_key, "query", "document"])
+    scored = with_group_score(with_clean_texts(judgements), query_key)
+    return scored.select(*judgements.columns, "bm25_score")

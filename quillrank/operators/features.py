@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.text import clean_text, exact_match, overlap_count, overlap_ratio, tokens
-from quillrank.operators.bm25 import bm25_group_score
+from quillrank.functions.text import exact_match, overlap_count, overlap_ratio, tokens, with_clean_texts
+from quillrank.operators.bm25 import with_group_score
 from quillrank.operators.semantic import Encoder, semantic_cosine, with_text_similarity
 from quillrank.operators.tfidf import tfidf_fit, with_tfidf_cosine
 from quillrank.schemas import require_columns
@@ -18,10 +18,7 @@ def lexical_features(judgements: DataFrame) -> DataFrame:
     require_columns(judgements, ["query", "document"])
     query_words, doc_words = tokens(F.col("query_clean")), tokens(F.col("document_clean"))
     return (
-        judgements.withColumns({
-            "query_clean": clean_text(F.col("query")),
-            "document_clean": clean_text(F.col("document")),
-        })
+        with_clean_texts(judgements)
         .withColumns({"_query_words": query_words, "_doc_words": doc_words})
         .withColumns({
             "query_len": F.size("_query_words").cast("long"),
@@ -53,11 +50,13 @@ def build_features(
     """
     require_columns(judgements, [query_key, "query", "document"])
     doc_key = doc_key or ("doc_id" if "doc_id" in judgements.columns else "document")
+    # Stored once: every later step reads the cleaned texts several times.
+    featured = materialise(lexical_features(judgements), "lexical-features")
     if terms is None:
-        terms = materialise(tfidf_fit(judgements), "tfidf-terms")
-    featured = with_tfidf_cosine(lexical_features(judgements), terms, query_key, doc_key)
+        terms = materialise(tfidf_fit(featured), "tfidf-terms")
+    featured = with_tfidf_cosine(featured, terms, query_key, doc_key)
     if add_bm25:
-        featured = bm25_group_score(featured, query_key)
+        featured = with_group_score(featured, query_key)
     if add_semantic and embeddings is not None:
         featured = semantic_cosine(featured, *embeddings, query_key, doc_key)
     elif add_semantic:

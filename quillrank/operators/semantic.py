@@ -24,11 +24,12 @@ Encoder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 def subwords(words: Column) -> Column:
     """Three-character pieces of every word, its ends marked; related word forms share most."""
 
-    def pieces(word: Column) -> Column:
-        marked = F.concat(F.lit("<"), word, F.lit(">"))
-        return F.transform(F.sequence(F.lit(1), F.length(word)), lambda at: F.substr(marked, at, F.lit(3)))
+    def pieces(marked: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(marked) - 2)
+        return F.transform(starts, lambda at: F.substr(marked, at, F.lit(3)))
 
-    return F.flatten(F.transform(words, pieces))
+    marked_words = F.transform(words, lambda word: F.concat(F.lit("<"), word, F.lit(">")))
+    return F.flatten(F.transform(marked_words, pieces))
 
 
 def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int = DIMENSIONS) -> DataFrame:
@@ -36,7 +37,12 @@ def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int
 
     Stateless and without a shuffle: nothing is trained and nothing grows with the vocabulary.
     """
-    pieces = df.withColumn("_pieces", subwords(tokens(clean_text(F.col(text)))))
+    cleaned = df.withColumn("_clean", clean_text(F.col(text)))
+    return _embed_clean(cleaned, "_clean", vector, dimensions).drop("_clean")
+
+
+def _embed_clean(df: DataFrame, clean: str, vector: str, dimensions: int = DIMENSIONS) -> DataFrame:
+    pieces = df.withColumn("_pieces", subwords(tokens(F.col(clean))))
     counted = HashingTF(inputCol="_pieces", outputCol="_counts", numFeatures=dimensions).transform(pieces)
     unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counted)
     return unit.withColumn(vector, vector_to_array("_unit")).drop("_pieces", "_counts", "_unit")
@@ -70,8 +76,8 @@ def semantic_cosine(
 def with_text_similarity(cleaned: DataFrame, encoder: Encoder | None = None) -> DataFrame:
     """Add ``semantic_cosine_sim`` to rows holding ``query_clean`` and ``document_clean``."""
     if encoder is None:
-        embedded = text_embed(cleaned, "query_clean", "_query_vector")
-        embedded = text_embed(embedded, "document_clean", "_doc_vector")
+        embedded = _embed_clean(cleaned, "query_clean", "_query_vector")
+        embedded = _embed_clean(embedded, "document_clean", "_doc_vector")
     else:
         texts = cleaned.select(F.explode(F.array("query_clean", "document_clean")).alias("text"))
         vectors = encode_texts(texts, encoder).persist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.text import bind, clean_text, count_token, long_tokens, padded, tokens
+from quillrank.functions.text import bind, count_token, long_tokens, tokens, with_clean_texts
 from quillrank.operators.grouping import skew_join
 from quillrank.schemas import require_columns
 from quillrank.session import materialise
@@ -20,10 +20,11 @@ def _words(clean: Column) -> Column:
 def tfidf_fit(judgements: DataFrame) -> DataFrame:
     """``(token, df, idf)`` over all query texts and document texts, once per judged row."""
     require_columns(judgements, ["query", "document"])
-    texts = judgements.select(F.explode(F.array("query", "document")).alias("text"))
+    cleaned = with_clean_texts(judgements)
+    texts = cleaned.select(F.explode(F.array("query_clean", "document_clean")).alias("text"))
     n_texts = judgements.agg(2 * F.count("*")).scalar()
     return (
-        texts.select(F.explode(F.array_distinct(_words(clean_text(F.col("text"))))).alias("token"))
+        texts.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("df"))
         .withColumn("idf", F.log((1 + n_texts) / (1 + F.col("df"))) + 1)
@@ -61,12 +62,12 @@ def document_norms(documents: DataFrame, key: str, clean: str, terms: DataFrame)
 def cosine_from_terms(query_terms: Column, query_norm: Column, doc_norm: Column, doc_clean: Column) -> Column:
     """Cosine of a pair from its query's vector and its document's norm; 0 if either is empty."""
     product = bind(
-        padded(doc_clean),
-        lambda text: F.aggregate(
+        tokens(doc_clean),
+        lambda words: F.aggregate(
             query_terms,
             F.lit(0.0),
             lambda total, term: total
-            + term["tf"] * term["idf"] * count_token(text, term["token"]) * term["idf"],
+            + term["tf"] * term["idf"] * count_token(words, term["token"]) * term["idf"],
         ),
     )
     cosine = F.try_divide(product, query_norm * doc_norm)
@@ -99,10 +100,6 @@ def tfidf_cosine(
     """Add ``tfidf_cosine_sim``; without fitted ``terms`` the input itself is the vocabulary."""
     if terms is None:
         terms = materialise(tfidf_fit(judgements), "tfidf-terms")
-    cleaned = judgements.withColumns({
-        "query_clean": clean_text(F.col("query")),
-        "document_clean": clean_text(F.col("document")),
-    })
-    return with_tfidf_cosine(cleaned, terms, query_key, doc_key).select(
+    return with_tfidf_cosine(with_clean_texts(judgements), terms, query_key, doc_key).select(
         *judgements.columns, "tfidf_cosine_sim"
     )
