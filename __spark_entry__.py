@@ -245,7 +245,8 @@ def feature_exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bm25_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bm25.postings_table(_corpus(spark, sf_dir)).where(F.col("token") != bm25.EVERY_DOC)
+    by_document = _corpus(spark, sf_dir).repartition("doc_id")
+    return bm25.postings_table(by_document).where(F.col("token") != bm25.EVERY_DOC)
 
 
 def bm25_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,9 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 # Scores are compared after rounding, so that ties do not depend on the order of summation.
 SCORE_DIGITS = 6
 
+# Text per index bucket, so that one bucket's postings fit a task.
+BUCKET_BYTES = 256 * 1024 * 1024
+
 # Every document also has a posting for this token, which no text can produce.
 EVERY_DOC = ""
 
@@ -49,13 +52,10 @@ def term_weight(tf: Column, doc_len: Column, avg_len: Column) -> Column:
 def postings_table(corpus: DataFrame) -> DataFrame:
     """``(doc_id, doc_len, token, tf)``, with one ``EVERY_DOC`` row per document.
 
-    The texts are partitioned by document before they are exploded. Counting terms, and later
-    summing scores per document, then need no further shuffle.
+    If the corpus is partitioned by ``doc_id``, so is the result, and nothing is shuffled.
     """
     return (
-        corpus.select("doc_id", "document")
-        .repartition("doc_id")
-        .select("doc_id", tokens(clean_text(F.col("document"))).alias("words"))
+        corpus.select("doc_id", tokens(clean_text(F.col("document"))).alias("words"))
         .select(
             "doc_id",
             F.size("words").cast("long").alias("doc_len"),
@@ -101,28 +101,23 @@ class Bm25Index:
     idf_floor: float
 
 
-_POSTINGS_COLUMNS = "doc_id BIGINT, doc_len BIGINT, token STRING, tf BIGINT"
-
-
 def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None = None) -> Bm25Index:
     """Index ``corpus(doc_id, document, ...)`` and write it below ``path``.
 
-    Postings are bucketed by document, so that retrieval sums scores without a shuffle and no
-    frequent token gathers in one task. Without ``path`` a working folder is used.
+    Documents and postings are bucketed by ``doc_id``. The texts are shuffled once; counting terms,
+    scoring and looking up documents then work bucket by bucket, and no frequent token gathers in
+    one task. Without ``path`` a working folder is used.
     """
     require_columns(corpus, ["doc_id", "document"], "corpus columns")
     spark = corpus.sparkSession
     path = path or new_work_path(spark, "bm25-index")
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    corpus.withColumn("doc_id", F.col("doc_id").cast("long")).write.parquet(f"{path}/docs")
-    docs = spark.read.parquet(f"{path}/docs")
-
-    table = _table_name(path)
-    writer = postings_table(docs).repartition(buckets, "doc_id").write.bucketBy(buckets, "doc_id")
-    writer.option("path", f"{path}/postings").saveAsTable(table)
-    postings = spark.table(table)
+    corpus = corpus.withColumn("doc_id", F.col("doc_id").cast("long"))
+    buckets = buckets or _bucket_count(corpus)
 
+    _write_bucketed(corpus.repartition(buckets, "doc_id"), f"{path}/docs", buckets)
+    docs = _bucketed_table(spark, f"{path}/docs", buckets)
+    _write_bucketed(postings_table(docs), f"{path}/postings", buckets)
+    postings = _bucketed_table(spark, f"{path}/postings", buckets)
     document_frequencies(postings).write.parquet(f"{path}/frequencies")
     frequencies = spark.read.parquet(f"{path}/frequencies")
     stats = corpus_stats(postings)
@@ -138,15 +133,9 @@ def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None
 def load_index(spark: SparkSession, path: str) -> Bm25Index:
     """Open an index written by :func:`build_index`, in any session."""
     stats = spark.read.parquet(f"{path}/stats").first()
-    table = _table_name(path)
-    if not spark.catalog.tableExists(table):
-        spark.sql(
-            f"CREATE TABLE {table} ({_POSTINGS_COLUMNS}) USING parquet "
-            f"CLUSTERED BY (doc_id) INTO {stats['buckets']} BUCKETS LOCATION '{path}/postings'"
-        )
     return Bm25Index(
-        docs=spark.read.parquet(f"{path}/docs"),
-        postings=spark.table(table),
+        docs=_bucketed_table(spark, f"{path}/docs", stats["buckets"]),
+        postings=_bucketed_table(spark, f"{path}/postings", stats["buckets"]),
         terms=spark.read.parquet(f"{path}/terms"),
         n_docs=stats["n_docs"],
         avg_len=stats["avg_len"],
@@ -154,8 +143,32 @@ def load_index(spark: SparkSession, path: str) -> Bm25Index:
     )
 
 
+def _bucket_count(corpus: DataFrame) -> int:
+    """Buckets of about ``BUCKET_BYTES`` of text, at least one per shuffle partition."""
+    size = corpus.agg(F.coalesce(F.sum(F.octet_length("document").cast("long")), F.lit(0))).first()[0]
+    return max(int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
+def _write_bucketed(df: DataFrame, path: str, buckets: int) -> None:
+    writer = df.write.bucketBy(buckets, "doc_id").option("path", path)
+    writer.saveAsTable(_table_name(path))
+
+
+def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> DataFrame:
+    """The table over the files at ``path``, declared in this session if it is not yet."""
+    table = _table_name(path)
+    if not spark.catalog.tableExists(table):
+        fields = spark.read.parquet(path).schema.fields
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet "
+            f"CLUSTERED BY (doc_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
 def _table_name(path: str) -> str:
-    return "quillrank_postings_" + "".join(c if c.isalnum() else "_" for c in path.strip("/")).lower()
+    return "quillrank_" + "".join(c if c.isalnum() else "_" for c in path.strip("/")).lower()
 
 
 # --------------------------------------------------------------------------- retrieval
