@@ -10,9 +10,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.text import clean_text, tokens
+from quillrank.functions.text import bind, clean_text, tokens
 from quillrank.functions.vectors import cosine
 from quillrank.operators.grouping import skew_join
+from quillrank.session import materialise
 
 DIMENSIONS = 256
 SIMILARITY_DIGITS = 6
@@ -22,14 +23,9 @@ Encoder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
 def subwords(words: Column) -> Column:
-    """Three-character pieces of every word, its ends marked; related word forms share most."""
-
-    def pieces(marked: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(marked) - 2)
-        return F.transform(starts, lambda at: F.substr(marked, at, F.lit(3)))
-
-    marked_words = F.transform(words, lambda word: F.concat(F.lit("<"), word, F.lit(">")))
-    return F.flatten(F.transform(marked_words, pieces))
+    """Every word with its first five and first four letters; forms of a word share the latter."""
+    stems = [F.transform(words, lambda word, n=n: F.concat(F.lit(f"{n}:"), F.left(word, F.lit(n)))) for n in (5, 4)]
+    return F.concat(words, *stems)
 
 
 def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int = DIMENSIONS) -> DataFrame:
@@ -42,7 +38,7 @@ def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int
 
 
 def _embed_clean(df: DataFrame, clean: str, vector: str, dimensions: int = DIMENSIONS) -> DataFrame:
-    pieces = df.withColumn("_pieces", subwords(tokens(F.col(clean))))
+    pieces = df.withColumn("_pieces", bind(tokens(F.col(clean)), subwords))
     counted = HashingTF(inputCol="_pieces", outputCol="_counts", numFeatures=dimensions).transform(pieces)
     unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counted)
     return unit.withColumn(vector, vector_to_array("_unit")).drop("_pieces", "_counts", "_unit")
@@ -80,7 +76,7 @@ def with_text_similarity(cleaned: DataFrame, encoder: Encoder | None = None) ->
         embedded = _embed_clean(embedded, "document_clean", "_doc_vector")
     else:
         texts = cleaned.select(F.explode(F.array("query_clean", "document_clean")).alias("text"))
-        vectors = encode_texts(texts, encoder).persist()
+        vectors = materialise(encode_texts(texts, encoder), "text-vectors")
         embedded = cleaned
         for side in ("query", "doc"):
             column = "query_clean" if side == "query" else "document_clean"

@@ -74,17 +74,26 @@ def cosine_from_terms(query_terms: Column, query_norm: Column, doc_norm: Column,
     return F.round(F.coalesce(cosine, F.lit(0.0)), COSINE_DIGITS)
 
 
+def _short(rows: DataFrame, key: str) -> Column:
+    return F.sha2(F.col(key), 256) if rows.schema[key].dataType.typeName() == "string" else F.col(key)
+
+
 def with_tfidf_cosine(cleaned: DataFrame, terms: DataFrame, query_key: str, doc_key: str) -> DataFrame:
     """Add ``tfidf_cosine_sim`` to rows holding ``query_clean`` and ``document_clean``.
 
     Vectors and norms are computed once per distinct query and document, then joined to the pairs.
     """
-    queries = cleaned.select(query_key, "query_clean").dropDuplicates([query_key])
-    documents = cleaned.select(doc_key, "document_clean").dropDuplicates([doc_key])
-    vectors = materialise(query_vectors(queries, query_key, "query_clean", terms), "query-vectors")
-    norms = materialise(document_norms(documents, doc_key, "document_clean", terms), "document-norms")
-    pairs = skew_join(cleaned, vectors, [query_key], [doc_key], how="left")
-    pairs = skew_join(pairs, norms, [doc_key], [query_key], how="left")
+    # A text as key would travel with every one of its tokens; its digest takes its place.
+    keyed = cleaned.withColumns({
+        "_query_key": _short(cleaned, query_key),
+        "_doc_key": _short(cleaned, doc_key),
+    })
+    queries = keyed.select("_query_key", "query_clean").dropDuplicates(["_query_key"])
+    documents = keyed.select("_doc_key", "document_clean").dropDuplicates(["_doc_key"])
+    vectors = materialise(query_vectors(queries, "_query_key", "query_clean", terms), "query-vectors")
+    norms = materialise(document_norms(documents, "_doc_key", "document_clean", terms), "document-norms")
+    pairs = skew_join(keyed, vectors, ["_query_key"], ["_doc_key"], how="left")
+    pairs = skew_join(pairs, norms, ["_doc_key"], ["_query_key"], how="left")
     cosine = cosine_from_terms(
         F.col("query_terms"), F.col("query_norm"), F.col("doc_norm"), F.col("document_clean")
     )
