@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,9 @@ SCORE_DIGITS = 6
 # Text per index bucket, so that one bucket's postings fit a task.
 BUCKET_BYTES = 256 * 1024 * 1024
 
+# Up to this many distinct query tokens, the scans of postings and terms skip row groups by them.
+PUSHED_TOKENS = 1000
+
 # Every document also has a posting for this token, which no text can produce.
 EVERY_DOC = ""
 
@@ -106,7 +109,8 @@ def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None
 
     Documents and postings are bucketed by ``doc_id``. The texts are shuffled once; counting terms,
     scoring and looking up documents then work bucket by bucket, and no frequent token gathers in
-    one task. Without ``path`` a working folder is used.
+    one task. Postings and terms are sorted by token, so that few queries read little of them.
+    Without ``path`` a working folder is used.
     """
     require_columns(corpus, ["doc_id", "document"], "corpus columns")
     spark = corpus.sparkSession
@@ -114,14 +118,14 @@ def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None
     corpus = corpus.withColumn("doc_id", F.col("doc_id").cast("long"))
     buckets = buckets or _bucket_count(corpus)
 
-    _write_bucketed(corpus.repartition(buckets, "doc_id"), f"{path}/docs", buckets)
+    _write_bucketed(corpus.repartition(buckets, "doc_id"), f"{path}/docs", buckets, "doc_id")
     docs = _bucketed_table(spark, f"{path}/docs", buckets)
-    _write_bucketed(postings_table(docs), f"{path}/postings", buckets)
+    _write_bucketed(postings_table(docs), f"{path}/postings", buckets, "token")
     postings = _bucketed_table(spark, f"{path}/postings", buckets)
     document_frequencies(postings).write.parquet(f"{path}/frequencies")
     frequencies = spark.read.parquet(f"{path}/frequencies")
     stats = corpus_stats(postings)
-    term_table(frequencies, stats).write.parquet(f"{path}/terms")
+    term_table(frequencies, stats).sort("token").write.parquet(f"{path}/terms")
     floor = spark.read.parquet(f"{path}/terms").agg((EPSILON * F.avg("raw_idf")).alias("floor"))
     stats.withColumns({
         "idf_floor": F.coalesce(floor.scalar(), F.lit(0.0)),
@@ -144,13 +148,14 @@ def load_index(spark: SparkSession, path: str) -> Bm25Index:
 
 
 def _bucket_count(corpus: DataFrame) -> int:
-    """Buckets of about ``BUCKET_BYTES`` of text, at least one per shuffle partition."""
+    """Buckets of about ``BUCKET_BYTES`` of text, at least one per core."""
     size = corpus.agg(F.coalesce(F.sum(F.octet_length("document").cast("long")), F.lit(0))).first()[0]
-    return max(int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    return max(corpus.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
 
 
-def _write_bucketed(df: DataFrame, path: str, buckets: int) -> None:
-    writer = df.write.bucketBy(buckets, "doc_id").option("path", path)
+def _write_bucketed(df: DataFrame, path: str, buckets: int, sort: str) -> None:
+    """Buckets by document; sorting inside lets a scan skip what it does not ask for."""
+    writer = df.write.bucketBy(buckets, "doc_id").sortBy(sort).option("path", path)
     writer.saveAsTable(_table_name(path))
 
 
@@ -270,6 +275,7 @@ def bm25_top_ids(
 ) -> DataFrame:
     """:func:`bm25_retrieve` before texts are joined: ``(query_id, rank, doc_id, bm25_score)``."""
     terms = query_terms(queries)
+    index = _narrowed(index, terms)
     weights = query_weights(terms, index)
     order = [F.col("bm25_score").desc(), F.col("doc_id")]
 
@@ -293,6 +299,20 @@ def bm25_top_ids(
     )
 
 
+def _narrowed(index: Bm25Index, terms: DataFrame) -> Bm25Index:
+    """The index cut to the tokens of a small query batch, as filters the scans can skip by."""
+    asked = [row["token"] for row in terms.select("token").distinct().limit(PUSHED_TOKENS + 1).collect()]
+    if len(asked) > PUSHED_TOKENS:
+        return index
+    if index.idf_floor < 0:
+        asked.append(EVERY_DOC)
+    return replace(
+        index,
+        postings=index.postings.where(F.col("token").isin(asked)),
+        terms=index.terms.where(F.col("token").isin(asked)),
+    )
+
+
 def _first_documents(queries: DataFrame, index: Bm25Index, top_k: int) -> DataFrame:
     first = index.docs.select("doc_id").orderBy("doc_id").limit(top_k)
     ids = first.agg(F.collect_list("doc_id").alias("ids")).scalar()

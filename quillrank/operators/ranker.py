@@ -30,6 +30,9 @@ from quillrank.session import materialise, new_work_path, work_folder
 
 TRUNCATION = 30
 MAX_BINS = 255
+MAX_STEP = 10.0
+# Training rows per partition; every round runs several small jobs over all of them.
+ROWS_PER_PARTITION = 20_000
 _VECTOR = "_features"
 
 
@@ -87,7 +90,7 @@ def train_ranker(
 ) -> Ranker:
     """Boost ``n_estimators`` trees of about ``num_leaves`` leaves on ``featured`` rows.
 
-    Stops early if no pair of rows is left to order. Raises ``ValueError`` for absent features.
+    Raises ``ValueError`` for absent features, or if no query has rows of different relevance.
     """
     features = list(features or ALL_FEATURES)
     require_columns(featured, features, "features")
@@ -95,14 +98,13 @@ def train_ranker(
     work_folder(featured.sparkSession)
 
     data, largest = _training_rows(featured, features, truncation, query_key, tie, hot_rows)
+    if largest == 0:
+        raise ValueError("no query has two rows of different relevance to learn from")
     state = data.withColumn("score", F.lit(0.0))
     held = state.persist()
     trees: list[DecisionTreeRegressionModel] = []
     for round_number in range(n_estimators):
         steps = _newton_steps(state, truncation, largest > truncation).persist()
-        if steps.isEmpty():
-            steps.unpersist()
-            break
         tree = DecisionTreeRegressor(
             featuresCol=_VECTOR,
             labelCol="target",
@@ -122,8 +124,6 @@ def train_ranker(
             held.unpersist()
             held = state.persist()
     held.unpersist()
-    if not trees:
-        raise ValueError("no query has two rows of different relevance to learn from")
     return Ranker(features, _ensemble(trees, learning_rate))
 
 
@@ -161,8 +161,11 @@ def _training_rows(
         "inverse_ideal",
         _VECTOR,
     )
-    largest = queries.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("largest")).first()["largest"]
-    return blocked.repartition("query", "block"), largest
+    sizes = queries.agg(
+        F.coalesce(F.max("rows"), F.lit(0)).alias("largest"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total")
+    ).first()
+    partitions = max(1, -(-sizes["total"] // ROWS_PER_PARTITION))
+    return blocked.repartition(partitions, "query", "block"), sizes["largest"]
 
 
 def _pair(row_gain: Column, row_score: Column, row_discount: Column, top: Column, scale: Column) -> Column:
@@ -224,10 +227,15 @@ def _newton_steps(state: DataFrame, truncation: int, beyond: bool) -> DataFrame:
     return (
         pulled.select("query", "row", _VECTOR, gradient.alias("gradient"), curvature.alias("curvature"))
         .where(F.col("curvature") > 0)
-        .withColumn("target", F.col("gradient") / F.col("curvature"))
+        .withColumn("target", _limited(F.col("gradient") / F.col("curvature")))
     )
 
 
+def _limited(step: Column) -> Column:
+    """Newton steps grow without bound for badly misplaced rows; keep one row's share in check."""
+    return F.greatest(F.least(step, F.lit(MAX_STEP)), F.lit(-MAX_STEP))
+
+
 def _ensemble(trees: Sequence[DecisionTreeRegressionModel], weight: float) -> GBTRegressionModel:
     """The trees as one Spark ML model, through its public JVM constructor."""
     context = SparkSession.active().sparkContext
