@@ -27,8 +27,9 @@ SCORE_DIGITS = 6
 # Text per index bucket, so that one bucket's postings fit a task.
 BUCKET_BYTES = 256 * 1024 * 1024
 
-# Up to this many distinct query tokens, the scans of postings and terms skip row groups by them.
-PUSHED_TOKENS = 1000
+# Up to this many distinct query tokens, the scans of postings and terms skip row groups by them;
+# testing every row group for many tokens would cost more than it saves.
+PUSHED_TOKENS = 50
 
 # Every document also has a posting for this token, which no text can produce.
 EVERY_DOC = ""

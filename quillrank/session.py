@@ -13,7 +13,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def build_session(app_name: str = "quillrank", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution and skew-join splitting on.
 
-    Parquet reads skip row groups by lists of up to 1,000 tokens.
+    Parquet reads skip row groups by lists of up to 50 tokens.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -21,7 +21,7 @@ def build_session(app_name: str = "quillrank", master: str | None = None, **conf
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
+        "spark.sql.parquet.pushdown.inFilterThreshold": "50",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }
