@@ -23,6 +23,12 @@ from quillrank.session import materialise, new_work_path
 from quillrank.sources import tables
 from quillrank.streaming import jobs
 
+try:  # the only place that knows whether the training-data subpackage is there
+    import corpus_pipeline
+    from quillrank.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 ROUNDS = 10
 SMALL = "/root/testdata/sf0.001"
 
@@ -448,7 +454,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    registered = {
         "scan_csv": scan_csv,
         "scan_capped": scan_capped,
         "dataset_metadata": dataset_metadata,
@@ -495,7 +501,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_judgements": stream_judgements,
         "stream_search": stream_search,
     }
+    if llm_queries is not None:
+        registered |= llm_queries.queries()
+        registered["pipeline"] = corpus_pipeline.run
+    return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    stated = oracle.statements()
+    if llm_queries is not None:
+        stated |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            stated["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return stated
