@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillrank.llm import byte_bpe, quality_ledger, token_files
+from quillrank.llm import byte_bpe, language_spans, line_chunks, quality_ledger, token_files
 from quillrank.session import new_work_path
 
 
@@ -21,6 +22,25 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path, digest_only=True).withColumnRenamed("key", "doc_id")
 
 
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text less the line chunks that an earlier document holds."""
+    rows = line_chunks.remove_repeated_chunks(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "text", "n_lines", "n_removed")
+
+
+def _fold(folds: int) -> Column:
+    """Remainder of the key's CRC-32, by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op7_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a model of those that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    model = language_spans.fit(documents.where(F.coalesce(_fold(5), F.lit(1)) != 0).select("text", "lang"))
+    kept = documents.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "text")
+    return language_spans.identify(kept, model)
+
+
 def op8_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and the current policy's verdict for every document."""
     return quality_ledger.verdicts(quality_ledger.ledger(_table(spark, sf_dir, "documents")))
@@ -34,6 +54,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
+        "op3_line_chunks": op3_line_chunks,
+        "op7_language_spans": op7_language_spans,
         "op8_quality_ledger": op8_quality_ledger,
         "op10_byte_bpe": op10_byte_bpe,
     }
@@ -74,5 +96,47 @@ def _quality_sql() -> str:
     """
 
 
+def line_chunk_ctes(source: str) -> str:
+    """``line_kept``: the rows of ``source`` with the new text. Chunks are compared as whole strings."""
+    n = line_chunks.MIN_WORDS
+    return rf"""
+    line_docs AS (SELECT DISTINCT doc_id AS d, text AS t FROM {source} WHERE text IS NOT NULL),
+    line_split AS (SELECT d, t, string_split(t, chr(10)) AS ls FROM line_docs),
+    line_rows AS (SELECT d, t, ls, unnest(range(len(ls))) AS p FROM line_split),
+    line_words AS (
+      SELECT d, t, p, ls[p + 1] AS line,
+        len(list_filter(string_split_regex(ls[p + 1], '[ 	
+]+'), lambda x: x <> '')) AS w
+      FROM line_rows),
+    line_sums AS (
+      SELECT *, sum(w) OVER own AS upto, row_number() OVER own AS k
+      FROM line_words WHERE w > 0 WINDOW own AS (PARTITION BY d, t ORDER BY p)),
+    line_ends AS (
+      SELECT a.d, a.t, a.p AS first, min(b.k) AS last_k, a.k AS first_k
+      FROM line_sums a JOIN line_sums b ON a.d = b.d AND a.t = b.t AND b.k >= a.k AND b.upto - a.upto + a.w >= {n}
+      GROUP BY ALL),
+    line_chunks AS (
+      SELECT e.d, e.t, e.first, max(s.p) AS last, string_agg(s.line, chr(10) ORDER BY s.p) AS chunk
+      FROM line_ends e JOIN line_sums s ON s.d = e.d AND s.t = e.t AND s.k BETWEEN e.first_k AND e.last_k
+      GROUP BY ALL),
+    line_again AS (
+      SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY d, first) AS n FROM line_chunks),
+    line_gone AS (SELECT DISTINCT d, t, unnest(range(first, last + 1)) AS p FROM line_again WHERE n > 1),
+    line_left AS (
+      SELECT r.d, r.t, count(*) AS n_lines, count(g.p) AS n_removed,
+        string_agg(r.ls[r.p + 1], chr(10) ORDER BY r.p) FILTER (WHERE g.p IS NULL) AS kept
+      FROM line_rows r LEFT JOIN line_gone g ON g.d = r.d AND g.t = r.t AND g.p = r.p GROUP BY ALL),
+    line_kept AS (
+      SELECT o.* REPLACE (CASE WHEN n_removed > 0 AND NOT regexp_matches(coalesce(kept, ''), '[^ 	-
+]') THEN ''
+          WHEN n_removed > 0 THEN kept ELSE o.text END AS text),
+        coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed
+      FROM {source} o LEFT JOIN line_left k ON o.doc_id = k.d AND o.text = k.t)"""
+
+
+def _line_sql() -> str:
+    return f"WITH {line_chunk_ctes('documents')} SELECT doc_id, text, n_lines, n_removed FROM line_kept"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_ledger": _quality_sql()}
+    return {"op3_line_chunks": _line_sql(), "op8_quality_ledger": _quality_sql()}
