@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -26,8 +27,8 @@ from quillrank.llm.common import map_batches
 
 # Fixed value: the characters with the Unicode property White_Space.
 SPACES = r"\t-\r \x85\xa0  -     　"
-#: Pieces and token pairs that a Python worker remembers; beyond it the memory is emptied.
-REMEMBERED = 300_000
+#: Pieces and token pairs that a Python worker remembers of each; beyond it they are emptied.
+REMEMBERED = 800_000
 
 
 def default_vocabulary() -> str:
@@ -62,9 +63,14 @@ class Vocabulary:
             raise ValueError(f"the vocabulary lacks the single bytes {missing}")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.lengths = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._edges: dict[int, tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}  # by left << 32 | right
+        self._matches = ahocorasick.Automaton()
+        for token, rank in ranks.items():  # one character a byte
+            self._matches.add_word(token.decode("latin-1"), (rank, len(token)))
+        self._matches.make_automaton()
 
     def merged(self, data: bytes) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
         """Plain merging, lowest rank and leftmost first: the parts left and the merges made."""
@@ -105,7 +111,7 @@ class Vocabulary:
         Both sides grow towards the whole tokens in the order of ranks; the pair at the seam must
         never be the next merge. At equal ranks the leftmost merge comes first.
         """
-        known = self._pairs.get((left, right))
+        known = self._pairs.get(left << 32 | right)
         if known is not None:
             return known
         (ends, _), (_, starts) = self.edges(left), self.edges(right)
@@ -125,9 +131,46 @@ class Vocabulary:
                 j += 1
         if len(self._pairs) >= REMEMBERED:
             self._pairs.clear()
-        self._pairs[left, right] = apart
+        self._pairs[left << 32 | right] = apart
         return apart
 
+    def extend(self, last: list[int], data: bytes) -> None:
+        """Add to ``last``, which holds the last token of some prefixes of ``data``, that of all others.
+
+        The automaton names the tokens that end at each byte; the first that may follow the token
+        before it is the only one.
+        """
+        done = len(last) - 1
+        edge_of, pair_of = self._edges.get, self._pairs.get
+        text, from_byte = data.decode("latin-1"), max(0, done - self.longest)
+        for at, (token, length) in self._matches.iter(text, from_byte):
+            if at < done:
+                continue
+            start = at + 1 - length
+            if edge_of(token) is None and self.edges(token) is None:
+                continue
+            if start:
+                left = last[start]
+                apart = pair_of(left << 32 | token)
+                if not (self.may_follow(left, token) if apart is None else apart):
+                    continue
+            last.append(token)
+            done = at + 1
+
+    def ids(self, data: bytes, last: list[int] | None = None) -> tuple[int, ...]:
+        """Ids of a piece, walked back from the last token of the whole."""
+        whole = self.ranks.get(data)
+        if whole is not None:  # a piece that is itself a token stays whole
+            return (whole,)
+        if last is None:
+            self.extend(last := [-1], data)
+        out, end = [], len(data)
+        while end:
+            token = last[end]
+            out.append(token)
+            end -= self.lengths[token]
+        return tuple(out[::-1])
+
 
 class Prefixes:
     """The last token of each byte prefix of one piece. Grows by ``append``; ``cut`` takes it back."""
@@ -137,35 +180,15 @@ class Prefixes:
         self.append(data)
 
     def append(self, data: bytes) -> None:
-        vocabulary, last = self.vocabulary, self.last
-        rank_of, pair_of, longest = vocabulary.ranks.get, vocabulary._pairs.get, vocabulary.longest
-        done, self.data = len(self.data), self.data + data
-        whole = self.data
-        for end in range(done + 1, len(whole) + 1):
-            for start in range(max(0, end - longest), end):
-                token = rank_of(whole[start:end])
-                if token is None or vocabulary.edges(token) is None:
-                    continue
-                if start:
-                    apart = pair_of((last[start], token))
-                    if not (vocabulary.may_follow(last[start], token) if apart is None else apart):
-                        continue
-                last.append(token)
-                break
+        self.data += data
+        self.vocabulary.extend(self.last, self.data)
 
     def cut(self, length: int) -> None:
         self.data = self.data[:length]
         del self.last[length + 1 :]
 
-    def ids(self) -> list[int]:
-        whole = self.vocabulary.ranks.get(self.data)
-        if whole is not None:  # a piece that is itself a token stays whole
-            return [whole]
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end])
-            end -= len(self.vocabulary.tokens[out[-1]])
-        return out[::-1]
+    def ids(self) -> tuple[int, ...]:
+        return self.vocabulary.ids(self.data, self.last)
 
 
 class _Pieces(dict):
@@ -176,13 +199,12 @@ class _Pieces(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
-        whole = self.vocabulary.ranks.get(data)
-        ids = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, data).ids())
+        ids = self.vocabulary.ids(piece.encode())
+        if len(piece) > 64:
+            return ids
         if len(self) >= REMEMBERED:
             self.clear()
-        if len(piece) <= 64:
-            self[piece] = ids
+        self[piece] = ids
         return ids
 
 
