@@ -16,10 +16,11 @@ dataset; texts are never cut.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillrank.llm.common import map_batches
+from quillrank.operators.grouping import is_small
 
 # Fixed values: (ids in a word, bits of each) by selector; selectors 0 and 1 are runs of zeros.
 LAYOUTS = (
@@ -38,6 +40,8 @@ ESCAPE = (1 << 30) - 1
 BLOCK_IDS = 65_536
 #: Words that a Python worker remembers with their ids; beyond it the memory is emptied.
 REMEMBERED = 400_000
+# Fixed value: marks that are neither letters, digits nor apostrophes.
+MARKS = b'.,!?;:#$%&*|<>()"-'
 #: Texts whose new words are encoded together.
 TEXTS_AT_ONCE = 64
 BLOCKS = (
@@ -46,6 +50,17 @@ BLOCKS = (
 )
 
 
+def _widths() -> np.ndarray:
+    """The least layout width of each id up to 2**16."""
+    ids, out = np.arange((1 << 16) + 1), np.full((1 << 16) + 1, 20, np.uint8)
+    for width in (15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0):
+        out[ids < (1 << width)] = width
+    return out
+
+
+_WIDTHS = _widths()
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and escapes of non-negative ids; each word takes as many ids as its best layout holds.
 
@@ -56,9 +71,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     escapes = ids[ids >= ESCAPE]
     coded = np.minimum(ids, np.uint64(ESCAPE)).astype(np.uint32)
     layout_bits = np.array([b for _, b in LAYOUTS], np.uint8)
-    needed = np.zeros(n, np.uint8)
-    for width in sorted({b for _, b in LAYOUTS if b < 60}, reverse=True):
-        needed[coded < (1 << width)] = width
+    needed = _WIDTHS[np.minimum(coded, 1 << 16)]
+    needed[coded >= 1 << 20] = 30
     selector = np.full(n, 15, np.uint8)
     window, widest = 1, needed
     for choice in range(14, -1, -1):  # from few wide ids to many narrow ones
@@ -118,20 +132,25 @@ class _Words(dict):
     """Ids by word, as little-endian 32-bit integers. Missing words go to the tokenizer.
 
     The vocabulary splits at white space whatever stands beside it, so a text's ids are those of its
-    words one after the other. ``learn`` encodes many words in one call: a word of letters alone is
-    one pre-token, whose last id, and no other, is marked as the end of a word.
+    words one after the other. So does a letter before a run of ``MARKS``. Words of letters in normal
+    form and lower case need nothing but the tokenizer's model: ``plain`` encodes many in one call, where
+    the last id of each word, and no other, is marked as the end of a word.
     """
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         size = self.tokenizer.get_vocab_size()
         names = (self.tokenizer.id_to_token(token) or "" for token in range(size))
         self.ends = np.array([name.endswith("</w>") for name in names])
-
         self.pending: list[bytes] = []
 
     def __missing__(self, word: bytes) -> None:
@@ -149,14 +168,19 @@ class _Words(dict):
         words, self.pending = set(self.pending), []
         parts, letters = {}, set()
         for word in words:
-            base = word.rstrip(b".,")
-            lower = base.lower() if base.isascii() else base
-            if lower.decode().lower().isalpha():
-                parts[word] = lower, word[len(base) :]
-                if lower not in self:
-                    letters.add(lower)
+            base = word.rstrip(MARKS)
+            if base.isalpha():  # ASCII letters
+                lower = base.lower()
+            else:
+                text = "".join(map(str.lower, base.decode()))
+                if not text.isalpha() or not is_normalized("NFC", text):
+                    continue
+                lower = text.encode()
+            parts[word] = lower, word[len(base) :]
+            if lower not in self:
+                letters.add(lower)
         order = list(letters)
-        ids = self.tokenizer.encode(b" ".join(order).decode(), add_special_tokens=False).ids
+        ids = self.plain.encode_batch_fast([b" ".join(order).decode()], add_special_tokens=False)[0].ids
         ids = np.array(ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) == len(order):
@@ -165,9 +189,11 @@ class _Words(dict):
                 self[word] = raw[at:end]
                 at = end
         for word in words:
-            if word in parts:
-                lower, tail = parts[word]
-                self[word] = self.ids_of(lower) + self.ids_of(tail) if tail else self.ids_of(lower)
+            lower, tail = parts.get(word, (word, b""))
+            if tail:
+                self[word] = self.ids_of(lower) + self.ids_of(tail)
+            elif word is not lower:
+                self[word] = self.ids_of(lower)
             else:
                 self.ids_of(word)
         self.pending = []
@@ -277,7 +303,8 @@ def _part_starts(blocks: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, digest_only: bool = False) -> DataFrame:
     """One row a document: ``key, start, n_tokens, ids_crc32`` and, unless only digests are wanted, ``ids``."""
     blocks = spark.read.parquet(path)
-    placed = blocks.join(_part_starts(blocks), "part")
+    starts = _part_starts(blocks)
+    placed = blocks.join(F.broadcast(starts) if is_small(starts) else starts, "part")
     schema = "key long, start long, n_tokens long, ids_crc32 long" + ("" if digest_only else ", ids array<long>")
     names = [field.split()[0] for field in schema.split(", ")]
 
