@@ -38,7 +38,7 @@ SWITCH = 6.0
 #: Word scores that a Python worker remembers; beyond it the memory is emptied.
 REMEMBERED = 300_000
 #: Texts that Viterbi walks through together.
-TOGETHER = 512
+TOGETHER = 4096
 
 # First and last code point of the main blocks of scripts.
 SCRIPTS = {
@@ -251,8 +251,10 @@ def label_texts(
     languages = table.model.languages
     if not languages:
         return [(UNKNOWN, 0.0, []) for _ in texts]
-    found = [WORDS.findall(text or "") for text in texts]
-    rows = [np.fromiter(map(table.__getitem__, words), np.int64, len(words)) for words in found]
+    rows = []
+    for text in texts:
+        words = WORDS.findall(text or "")
+        rows.append(np.fromiter(map(table.__getitem__, words), np.int64, len(words)))
     labels = viterbi([table.scores[r] for r in rows], switch)
     out = []
     for text, own, label in zip(texts, rows, labels):

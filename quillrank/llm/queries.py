@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import byte_bpe, language_spans, line_chunks, quality_ledger, token_files
+from quillrank.llm import byte_bpe, language_spans, line_chunks, quality_ledger, token_files, toxic_spans
 from quillrank.session import new_work_path
 
 
@@ -46,6 +46,17 @@ def op8_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ledger.verdicts(quality_ledger.ledger(_table(spark, sf_dir, "documents")))
 
 
+def op9_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a field fitted on labels that are not held out."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    usable = labels.where((_fold(3) != 1) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    field = toxic_spans.fit(documents.select("doc_id", "text").join(usable, "doc_id"))
+    kept = documents.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "text")
+    return toxic_spans.score_texts(kept, field).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans"
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and their decoding, as digests."""
     return byte_bpe.token_digests(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -57,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_chunks": op3_line_chunks,
         "op7_language_spans": op7_language_spans,
         "op8_quality_ledger": op8_quality_ledger,
+        "op9_toxic_spans": op9_toxic_spans,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
