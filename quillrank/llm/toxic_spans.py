@@ -137,21 +137,27 @@ def fit_field(texts: list[list[str]], labels: list[np.ndarray], rounds: int = RO
 def token_marks(labelled: DataFrame, text: str, toxic: str) -> set[str]:
     """Features that mark toxic tokens, counted over all distinct labelled texts.
 
-    Each task counts its own texts first. At most ``features of a text / MIN_SHARE`` reach the driver.
+    In toxic texts a feature counts once for each word it follows, so that the words of a text with many
+    near copies, which always follow the same, do not pass for toxic. Each task counts its own texts
+    first. At most ``features of a text / MIN_SHARE`` reach the driver.
     """
     rows = labelled.select(F.col(text).alias("text"), (F.col(toxic) == 1).alias("toxic")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[str, list[int]] = {}
+            counts: dict[tuple[str, int], int] = {}
             for content, bad in zip(*(column.to_pylist() for column in batch.columns)):
-                found = {f for word in set(WORDS.findall(content.lower())) for f in features(word)}
-                for feature in found:
-                    counts.setdefault(feature, [0, 0])[bad] += 1
+                words = WORDS.findall(content.lower())
+                if bad:
+                    after = {word: crc32(left.encode()) for left, word in zip(["", *words], words)}
+                else:
+                    after = dict.fromkeys(words, -1)
+                for place in {(f, left) for word, left in after.items() for f in features(word)}:
+                    counts[place] = counts.get(place, 0) + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(counts, pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
-                 pa.array([c[1] for c in counts.values()], pa.int64())],
-                ["feature", "clean", "toxic"],
+                [pa.array([f for f, _ in counts], pa.string()), pa.array([left for _, left in counts], pa.int64()),
+                 pa.array(counts.values(), pa.int64())],
+                ["feature", "left", "n"],
             )
 
     sizes = {bool(r["toxic"]): r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -159,9 +165,14 @@ def token_marks(labelled: DataFrame, text: str, toxic: str) -> set[str]:
     if not clean or not bad:
         return set()
     counted = (
-        map_batches(rows, run, "feature string, clean long, toxic long")
+        map_batches(rows, run, "feature string, left long, n long")
+        .groupBy("feature", "left")
+        .agg(F.sum("n").alias("n"))
         .groupBy("feature")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .agg(
+            F.sum(F.when(F.col("left") < 0, F.col("n")).otherwise(0)).alias("clean"),
+            F.sum(F.when(F.col("left") >= 0, 1).otherwise(0)).alias("toxic"),
+        )
         .where(F.col("toxic") >= max(MIN_TEXTS, MIN_SHARE * bad))
         .where(F.col("toxic") / bad >= PURITY * (F.col("toxic") / bad + (F.col("clean") + 1) / clean))
     )
