@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import byte_bpe, language_spans, line_chunks, quality_ledger, token_files, toxic_spans
+from quillrank.llm import byte_bpe, decontaminate, html_tree, language_spans, line_chunks, quality_ledger, token_files, toxic_spans
 from quillrank.session import new_work_path
 
 
@@ -28,6 +28,16 @@ def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op5_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_tree.extract_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with each benchmark item that one of its passages holds."""
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def _fold(folds: int) -> Column:
     """Remainder of the key's CRC-32, by which rows are held out."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
@@ -66,6 +76,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
         "op3_line_chunks": op3_line_chunks,
+        "op5_html_tree": op5_html_tree,
+        "op6_decontaminate": op6_decontaminate,
         "op7_language_spans": op7_language_spans,
         "op8_quality_ledger": op8_quality_ledger,
         "op9_toxic_spans": op9_toxic_spans,
