@@ -75,19 +75,25 @@ def chunks(
         return F.when(closed(s), s).otherwise(grown)
 
     start = F.struct(F.lit(0).alias("words"), F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("last"))
-    opened = F.transform(
-        "entries",
-        lambda line, k: F.struct(
-            line["place"].alias("first"),
-            F.aggregate(F.slice("entries", k + 1, F.lit(reach)), start, grow).alias("s"),
-        ),
-    )
-    whole = _with_entries(df, key, text).where(
-        F.aggregate("entries", F.lit(0), lambda n, line: n + line["words"]) >= min_words
+
+    def run(entries: Column, k: Column, length: int) -> Column:
+        return F.aggregate(F.slice(entries, k + 1, F.lit(length)), start, grow)
+
+    def opened(entries: Column) -> Column:
+        # mostly a few lines do; the long search is for those where they don't
+        def chunk(line: Column, k: Column) -> Column:
+            near = run(entries, k, min(4, reach))
+            far = F.element_at(F.transform(F.array(near), lambda s: F.when(closed(s), s).otherwise(run(entries, k, reach))), 1)
+            return F.struct(line["place"].alias("first"), far.alias("s"))
+
+        return F.filter(F.transform(entries, chunk), lambda c: closed(c["s"]))
+
+    # one element of one array, so that the lines are hashed once and not for every use
+    held = _with_entries(df, key, text).select(
+        "doc", "digest", F.element_at(F.transform(F.array("entries"), opened), 1).alias("c")
     )
     return (
-        whole.select("doc", "digest", F.filter(opened, lambda c: closed(c["s"])).alias("c"))
-        .select("doc", "digest", F.explode("c").alias("c"))
+        held.select("doc", "digest", F.explode("c").alias("c"))
         .select("doc", "digest", "c.first", F.col("c.s.last").alias("last"), F.col("c.s.hash").alias("hash"))
     )
 
