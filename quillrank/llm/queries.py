@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import byte_bpe, decontaminate, html_tree, language_spans, line_chunks, quality_ledger, token_files, toxic_spans
+from quillrank.llm import (
+    byte_bpe,
+    decontaminate,
+    html_tree,
+    language_spans,
+    line_chunks,
+    ngram_join,
+    quality_ledger,
+    token_files,
+    toxic_spans,
+)
 from quillrank.session import new_work_path
 
 
@@ -28,6 +38,12 @@ def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group and number of links of every document."""
+    found = ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "class_id", "n_links")
+
+
 def op5_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_tree.extract_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -76,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
         "op3_line_chunks": op3_line_chunks,
+        "op4_ngram_join": op4_ngram_join,
         "op5_html_tree": op5_html_tree,
         "op6_decontaminate": op6_decontaminate,
         "op7_language_spans": op7_language_spans,
@@ -162,5 +179,26 @@ def _line_sql() -> str:
     return f"WITH {line_chunk_ctes('documents')} SELECT doc_id, text, n_lines, n_removed FROM line_kept"
 
 
+def _join_sql() -> str:
+    """Exact: every pair that shares an n-gram is counted."""
+    n, threshold = ngram_join.N, ngram_join.THRESHOLD
+    return rf"""
+    WITH RECURSIVE worded AS (
+      SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}_]+') AS ws FROM documents),
+    grams AS (
+      SELECT DISTINCT doc_id, array_to_string(ws[i : i + {n} - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - {n} + 2))) AS i FROM worded WHERE len(ws) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    shared AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b USING (g)
+      WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+      SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE s.n >= {threshold} * (x.n + y.n - s.n) - 1e-9),
+    reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, links.b FROM reach JOIN links ON links.a = reach.r)
+    SELECT d AS doc_id, min(r) AS class_id, (SELECT count(*) FROM links WHERE a = d) AS n_links FROM reach GROUP BY d
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_chunks": _line_sql(), "op8_quality_ledger": _quality_sql()}
+    return {"op3_line_chunks": _line_sql(), "op4_ngram_join": _join_sql(), "op8_quality_ledger": _quality_sql()}
