@@ -310,3 +310,25 @@ def identify(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return map_batches(kept, run, schema)
+
+
+def accept(
+    df: DataFrame, model: LanguageModel, min_score: float, text: str = "text", language: str = "lang", switch: float = SWITCH
+) -> DataFrame:
+    """Rows of ``df`` with letters and a score of ``min_score`` or more; null languages are filled in."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    name = f"model-{shared._jbroadcast.id()}-{df.sparkSession.sparkContext.applicationId}"
+    place, labelled = df.columns.index(text), df.columns.index(language)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                results = label_texts(part.column(place).to_pylist(), _word_table(shared.value, name), switch)
+                known = part.column(labelled).to_pylist()
+                filled = [own if own is not None else lang for own, (lang, _, _) in zip(known, results)]
+                part = part.set_column(labelled, part.schema.field(labelled), pa.array(filled, part.schema.field(labelled).type))
+                keep = [lang != UNKNOWN and score >= min_score for lang, score, _ in results]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return map_batches(df, run, df.schema)

@@ -15,6 +15,7 @@ from quillrank.llm import (
     line_chunks,
     ngram_join,
     quality_ledger,
+    sharding,
     token_files,
     toxic_spans,
 )
@@ -25,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written as Simple-8b blocks and read back from the files."""
     path = new_work_path(spark, "token-files")
@@ -90,6 +96,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_extendible_shards": op1_extendible_shards,
         "op2_token_files": op2_token_files,
         "op3_line_chunks": op3_line_chunks,
         "op4_ngram_join": op4_ngram_join,
@@ -179,6 +186,27 @@ def _line_sql() -> str:
     return f"WITH {line_chunk_ctes('documents')} SELECT doc_id, text, n_lines, n_removed FROM line_kept"
 
 
+def _shard_sql() -> str:
+    """All depths are tried for every row; copies beyond the limit are numbered by key."""
+    bits, limit = sharding.BITS, sharding.SHARD_BYTES
+    return f"""
+    WITH hashed AS (
+      SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|' || md5(coalesce(text, ''))), 1, {bits // 4}))::BIGINT AS hash
+      FROM documents),
+    levels AS (SELECT *, unnest(range({bits + 1})) AS depth FROM hashed),
+    tried AS (
+      SELECT *, sum(n_bytes) OVER b AS bytes, min(hash) OVER b AS low, max(hash) OVER b AS high
+      FROM levels WINDOW b AS (PARTITION BY depth, hash >> ({bits} - depth))),
+    fit AS (
+      SELECT * FROM tried WHERE bytes <= {limit} OR low = high
+      QUALIFY row_number() OVER (PARTITION BY doc_id, hash ORDER BY depth) = 1)
+    SELECT doc_id, hash, n_bytes, depth::INTEGER AS depth,
+      CASE WHEN depth = 0 THEN '' ELSE lpad(bin(hash >> ({bits} - depth)), depth::INTEGER, '0') END AS bits, 0::BIGINT AS part
+    FROM fit
+    """
+
+
 def _join_sql() -> str:
     """Exact: every pair that shares an n-gram is counted."""
     n, threshold = ngram_join.N, ngram_join.THRESHOLD
@@ -201,4 +229,9 @@ def _join_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_chunks": _line_sql(), "op4_ngram_join": _join_sql(), "op8_quality_ledger": _quality_sql()}
+    return {
+        "op1_extendible_shards": _shard_sql(),
+        "op3_line_chunks": _line_sql(),
+        "op4_ngram_join": _join_sql(),
+        "op8_quality_ledger": _quality_sql(),
+    }
