@@ -39,7 +39,7 @@ LAYOUTS = (
 ESCAPE = (1 << 30) - 1
 BLOCK_IDS = 65_536
 #: Words that a Python worker remembers with their ids; beyond it the memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 # Fixed value: marks that are neither letters, digits nor apostrophes.
 MARKS = b'.,!?;:#$%&*|<>()"-'
 #: Texts whose new words are encoded together.
@@ -165,21 +165,24 @@ class _Words(dict):
 
     def learn(self) -> None:
         """Take up the words that were asked for in vain."""
-        words, self.pending = set(self.pending), []
-        parts, letters = {}, set()
+        words, parts, order = set(self.pending), {}, []
         for word in words:
+            if word.isalpha() and word.islower():  # ASCII letters
+                order.append(word)
+                continue
             base = word.rstrip(MARKS)
-            if base.isalpha():  # ASCII letters
+            if base.isalpha():
                 lower = base.lower()
             else:
                 text = "".join(map(str.lower, base.decode()))
                 if not text.isalpha() or not is_normalized("NFC", text):
                     continue
                 lower = text.encode()
+                if lower == word:
+                    order.append(word)
+                    continue
             parts[word] = lower, word[len(base) :]
-            if lower not in self:
-                letters.add(lower)
-        order = list(letters)
+        order += {lower for lower, _ in parts.values() if lower not in words and lower not in self}
         ids = self.plain.encode_batch_fast([b" ".join(order).decode()], add_special_tokens=False)[0].ids
         ids = np.array(ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
@@ -188,13 +191,10 @@ class _Words(dict):
             for word, end in zip(order, (4 * ends).tolist()):
                 self[word] = raw[at:end]
                 at = end
+        for word, (lower, tail) in parts.items():
+            self[word] = self.ids_of(lower) + self.ids_of(tail) if tail else self.ids_of(lower)
         for word in words:
-            lower, tail = parts.get(word, (word, b""))
-            if tail:
-                self[word] = self.ids_of(lower) + self.ids_of(tail)
-            elif word is not lower:
-                self[word] = self.ids_of(lower)
-            else:
+            if word not in self:
                 self.ids_of(word)
         self.pending = []
 
@@ -215,10 +215,10 @@ def token_ids(texts: list[str | None], words: _Words, end_id: int) -> list[bytes
     found = [list(map(words.__getitem__, parts)) for parts in split]
     end = np.array([end_id], "<u4").tobytes()
     if words.pending:
+        asked = words.pending
         words.learn()
-        found = [
-            list(map(words.__getitem__, parts)) if None in own else own for parts, own in zip(split, found)
-        ]
+        fill = map(words.__getitem__, asked)  # in the order in which they were missing
+        found = [[next(fill) if ids is None else ids for ids in own] for own in found]
     return [b"".join(own) + end for own in found]
 
 
