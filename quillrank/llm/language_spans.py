@@ -288,7 +288,7 @@ def identify(
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
     name = f"model-{shared._jbroadcast.id()}-{df.sparkSession.sparkContext.applicationId}"
-    others = [column for column in df.columns if column != text]
+    others = [column for column in df.columns if column not in (text, "lang_pred", "score", "spans")]
     kept = df.select(F.col(f"`{text}`").alias("_text"), *[F.col(f"`{column}`") for column in others])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:])
     schema += (", " if schema else "") + "lang_pred string, score double"

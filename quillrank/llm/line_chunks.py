@@ -157,19 +157,22 @@ def remove_repeated_chunks(
     covered = again.select("doc", "digest", F.explode(F.sequence("first", "last")).alias("place"))
     marks = covered.groupBy("doc", "digest").agg(F.collect_set("place").alias("places"))
     marks = materialise(marks, "line-marks").alias("m")
-    rows = df.withColumns({"_row": F.struct(F.col(key).alias("doc"), F.xxhash64(text).alias("digest"))})
-    same = F.col("_row.doc").eqNullSafe(F.col("m.doc")) & (F.col("_row.digest") == F.col("m.digest"))
-    joined = _joined(rows, marks, same, "left")
-    lines = _lines(F.col(text))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "places")
-    joined = joined.withColumn("_kept", F.when(F.col("places").isNotNull(), F.struct(lines.alias("lines"), left.alias("left"))))
-    kept = F.transform("_kept.left", lambda place: F.get("_kept.lines", place))
-    has_words = F.exists(kept, _has_words)
-    new_text = F.when(F.col("places").isNull(), F.col(text)).when(has_words, F.array_join(kept, "\n")).otherwise("")
-    removed = F.coalesce(F.size("places"), F.lit(0))
-    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines))
-    kept_columns = [F.col(f"`{name}`") if name != text else new_text.alias(text) for name in df.columns]
+    # the row as one struct, so that no name of its columns can clash
+    rows = df.select(
+        F.struct("*").alias("row"), F.col(key).alias("doc"), F.xxhash64(text).alias("digest"), F.col(text).alias("old")
+    ).alias("r")
+    joined = _joined(rows, marks, _same_doc("r", "m"), "left").select("r.row", "r.old", "m.places", _lines(F.col("r.old")).alias("lines"))
+    kept = F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "places"), lambda place: F.get("lines", place)
+    )
+    joined = joined.withColumn("kept", F.when(F.col("places").isNotNull(), kept))
+    new_text = (
+        F.when(F.col("places").isNull(), F.col("old"))
+        .when(F.exists("kept", _has_words), F.array_join("kept", "\n"))
+        .otherwise("")
+    )
     return joined.select(
-        *kept_columns, n_lines.cast("long").alias("n_lines"),
-        F.when(F.col("places").isNull(), 0).otherwise(removed).cast("long").alias("n_removed"),
-    )
+        *[new_text.alias(name) if name == text else F.col(f"row.`{name}`").alias(name) for name in df.columns],
+        F.when(F.col("old").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long").alias("n_removed"),
+    )

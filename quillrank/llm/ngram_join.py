@@ -347,16 +347,17 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options)
     of_wordless = found.where("wordless").join(wordless, "raw").where(own != F.col("first")).select("key", "raw")
     gone = found.where((~F.col("key").eqNullSafe(F.col("class_id"))) | (F.col("raw") != F.col("class_raw")))
     gone = materialise(gone.select("key", "raw").union(of_wordless).distinct(), "gone").alias("g")
-    rows = df.withColumn("_own", F.struct(F.col(key).alias("key"), _raw(text).alias("raw")))
+    # the row as one struct, so that no name of its columns can clash
+    rows = df.select(F.struct("*").alias("row"), F.col(key).alias("key"), _raw(text).alias("raw")).alias("r")
 
     def same(name: str) -> Column:
-        return F.col("_own.key").eqNullSafe(F.col(f"{name}.key")) & (F.col("_own.raw") == F.col(f"{name}.raw"))
+        return F.col("r.key").eqNullSafe(F.col(f"{name}.key")) & (F.col("r.raw") == F.col(f"{name}.raw"))
 
     left = _joined(rows, gone, same("g"), "left_anti")
     twins = found.groupBy("key", "raw").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "raw")
     twins = materialise(twins, "twins").alias("t")
-    if twins.isEmpty():
-        return left.drop("_own")
-    single = _joined(left, twins, same("t"), "left_anti")
-    first = _joined(left, twins, same("t"), "left_semi").dropDuplicates(["_own"])
-    return single.unionByName(first).drop("_own")
+    if not twins.isEmpty():
+        single = _joined(left, twins, same("t"), "left_anti")
+        first = _joined(left, twins, same("t"), "left_semi").dropDuplicates(["key", "raw"])
+        left = single.unionByName(first)
+    return left.select("row.*")

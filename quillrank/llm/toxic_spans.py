@@ -254,7 +254,7 @@ def score_texts(df: DataFrame, field: ToxicField | None, text: str = "text") ->
     """``df`` without ``text``, with ``score`` and ``spans`` (first character and end)."""
     shared = df.sparkSession.sparkContext.broadcast(field)  # of fixed size
     name = f"field-{shared._jbroadcast.id()}-{df.sparkSession.sparkContext.applicationId}"
-    others = [column for column in df.columns if column != text]
+    others = [column for column in df.columns if column not in (text, "score", "spans")]
     kept = df.select(F.col(f"`{text}`").alias("_text"), *[F.col(f"`{column}`") for column in others])
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:]]
