@@ -20,7 +20,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,12 @@ from pyspark.sql import functions as F
 from quillrank.llm.common import map_batches
 
 UNKNOWN = "und"
-TRAINING_TEXTS = 2_000
+TRAINING_TEXTS = 1_000
 NGRAMS = (1, 2, 3, 4)
 #: Cost of a change of language, in the unit of the words' log probabilities.
 SWITCH = 6.0
 #: Word scores that a Python worker remembers; beyond it the memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 #: Texts that Viterbi walks through together.
 TOGETHER = 4096
 
@@ -59,12 +60,18 @@ SCRIPTS = {
 WORDS = regex.compile(r"[\p{L}\p{M}]*\p{L}[\p{L}\p{M}]*")
 
 
+@lru_cache(maxsize=1 << 16)
+def script_of(letter: str) -> str | None:
+    code = ord(letter)
+    for name, blocks in SCRIPTS.items():
+        if any(first <= code <= last for first, last in blocks):
+            return name
+    return None
+
+
 def scripts_of(word: str) -> set[str]:
-    found = set()
-    for code in set(map(ord, word)):
-        for name, blocks in SCRIPTS.items():
-            if any(first <= code <= last for first, last in blocks):
-                found.add(name)
+    found = set(map(script_of, word))
+    found.discard(None)
     return found
 
 
@@ -75,16 +82,15 @@ def word_ngrams(word: str) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Per n-gram length, log probabilities of n-grams by language, and each script's languages."""
+    """Row of each n-gram in ``weights``, its log probabilities by language, and each script's languages.
+
+    The first rows are those of unseen n-grams, by length.
+    """
 
     languages: list[str]
-    weights: dict[str, np.ndarray]
-    unseen: dict[int, np.ndarray]
+    rows: dict[str, int]
+    weights: np.ndarray
     script_languages: dict[str, list[int]]
-    _scores: dict[str, np.ndarray] = field(default_factory=dict, repr=False, compare=False)
-
-    def __getstate__(self):
-        return {**self.__dict__, "_scores": {}}
 
     def candidates(self, word: str) -> list[int]:
         allowed = {i for script in scripts_of(word) for i in self.script_languages.get(script, ())}
@@ -93,12 +99,8 @@ class LanguageModel:
     def score(self, word: str) -> np.ndarray:
         """Log posterior of the languages given the word alone; minus infinity if not a candidate."""
         lowered = word.lower()
-        total = np.zeros(len(self.languages))
-        get = self.weights.get
-        for gram in word_ngrams(lowered):
-            known = get(gram)
-            total = total + (self.unseen[len(gram)] if known is None else known)
-        total /= len(NGRAMS)
+        get = self.rows.get
+        total = self.weights[[get(gram, len(gram)) for gram in word_ngrams(lowered)]].sum(0) / len(NGRAMS)
         allowed = self.candidates(lowered)
         if len(allowed) < len(total):
             barred = np.full(len(total), -np.inf)
@@ -114,15 +116,17 @@ def fit(df: DataFrame, text: str = "text", language: str = "lang", texts: int =
     The number of those is bounded by the sample. Counts are of distinct words, so that no repeated
     text or word outweighs the rest.
     """
-    order = Window.partitionBy("lang").orderBy("digest", "text")
     labelled = df.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(language).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("digest")
     )
-    # a cut of each task's rows first, as one language may hold most of them
-    parts = labelled.withColumn("part", F.spark_partition_id())
-    first = Window.partitionBy("lang", "part").orderBy("digest", "text")
-    parts = parts.withColumn("n", F.row_number().over(first)).where(F.col("n") <= texts)
-    sample = parts.withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts)
+    # hashes alone are sorted, and cut in each task before the shuffle
+    order = Window.partitionBy("lang").orderBy("digest")
+    lowest = labelled.select("lang", "digest").distinct().withColumn("n", F.row_number().over(order))
+    limits = lowest.where(F.col("n") <= texts).groupBy("lang").agg(F.max("digest").alias("limit")).collect()
+    within = F.lit(False)
+    for row in limits:  # one row a language
+        within = within | ((F.col("lang") == row["lang"]) & (F.col("digest") <= row["limit"]))
+    sample = labelled.where(within).dropDuplicates(["lang", "digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,11 +165,12 @@ def fit(df: DataFrame, text: str = "text", language: str = "lang", texts: int =
         kinds[len(gram)] += 1
     smooth = 0.5
     bases = {n: np.log(totals[n] + smooth * (kinds[n] + 1)) for n in NGRAMS}
-    weights = {gram: np.log(counts + smooth) - bases[len(gram)] for gram, counts in table.items()}
-    unseen = {n: np.full(len(languages), np.log(smooth)) - bases[n] for n in NGRAMS}
     # what no language has seen says nothing about the language
-    unseen = {n: np.full(len(languages), values.mean() if len(values) else 0.0) for n, values in unseen.items()}
-    return LanguageModel(languages, weights, unseen, {name: sorted(ids) for name, ids in scripts.items()})
+    unseen = [0.0] + [float(np.mean(np.log(smooth) - bases[n])) if languages else 0.0 for n in range(1, max(NGRAMS) + 1)]
+    weights = [np.full(len(languages), value) for value in unseen]
+    weights += [np.log(counts + smooth) - bases[len(gram)] for gram, counts in table.items()]
+    rows = {gram: len(unseen) + i for i, gram in enumerate(table)}
+    return LanguageModel(languages, rows, np.array(weights), {name: sorted(ids) for name, ids in scripts.items()})
 
 
 def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
