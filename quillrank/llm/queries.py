@@ -19,6 +19,7 @@ from quillrank.llm import (
     token_files,
     toxic_spans,
 )
+from quillrank.operators.grouping import is_small
 from quillrank.session import new_work_path
 
 
@@ -82,6 +83,7 @@ def op9_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a field fitted on labels that are not held out."""
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     usable = labels.where((_fold(3) != 1) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    usable = F.broadcast(usable) if is_small(usable) else usable
     field = toxic_spans.fit(documents.select("doc_id", "text").join(usable, "doc_id"))
     kept = documents.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "text")
     return toxic_spans.score_texts(kept, field).select(

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm.common import map_batches
+from quillrank.session import materialise
 
 #: Texts of each label that the field is fitted on, those with the lowest text hash.
 TRAINING_TEXTS = 1_200
@@ -38,7 +39,7 @@ STRETCH = 256
 PREFIXES = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 COUNTED = 0.1
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 TOGETHER = 4096
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-3
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -135,13 +136,13 @@ def fit_field(texts: list[list[str]], labels: list[np.ndarray], rounds: int = RO
 
 
 def token_marks(labelled: DataFrame, text: str, toxic: str) -> set[str]:
-    """Features that mark toxic tokens, counted over all distinct labelled texts.
+    """Features that mark toxic tokens, counted over all labelled texts.
 
     In toxic texts a feature counts once for each word it follows, so that the words of a text with many
     near copies, which always follow the same, do not pass for toxic. Each task counts its own texts
     first. At most ``features of a text / MIN_SHARE`` reach the driver.
     """
-    rows = labelled.select(F.col(text).alias("text"), (F.col(toxic) == 1).alias("toxic")).distinct()
+    rows = labelled.select(F.col(text).alias("text"), (F.col(toxic) == 1).alias("toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,14 +182,16 @@ def token_marks(labelled: DataFrame, text: str, toxic: str) -> set[str]:
 
 def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", texts: int = TRAINING_TEXTS) -> ToxicField | None:
     """Fit on rows of ``text`` and ``toxic`` (0 or 1; rows with a null in either are left out)."""
-    usable = labelled.where(F.col(text).isNotNull() & F.col(toxic).isNotNull()).select(text, toxic)
+    usable = labelled.where(F.col(text).isNotNull() & F.col(toxic).isNotNull())
+    usable = usable.select(text, toxic, F.xxhash64(text).alias("digest")).dropDuplicates(["digest", toxic])
+    usable = materialise(usable, "labelled-texts")
     marks = token_marks(usable, text, toxic)
     if not marks:
         return None
     contents: list[list[str]] = []
     labels: list[np.ndarray] = []
     for label in (1, 0):
-        sample = usable.where(F.col(toxic) == label).select(text).distinct().orderBy(F.xxhash64(text), text).limit(texts)
+        sample = usable.where(F.col(toxic) == label).orderBy("digest").select(text).limit(texts)
         for row in sample.toLocalIterator():
             words = WORDS.findall(row[0].lower())
             for at in range(0, len(words), STRETCH):
@@ -214,6 +217,14 @@ class _Words(dict):
 _tables: dict[str, _Words] = {}
 
 
+def _word_table(name: str, field: ToxicField) -> _Words:
+    """One table for each field and worker."""
+    if name not in _tables:
+        _tables.clear()
+        _tables[name] = _Words(field)
+    return _tables[name]
+
+
 def text_score(marginals: np.ndarray) -> float:
     if not len(marginals):
         return 0.0
@@ -267,12 +278,9 @@ def score_texts(df: DataFrame, field: ToxicField | None, text: str = "text") ->
             if shared.value is None:
                 results = [(0.0, [])] * batch.num_rows
             else:
-                if name not in _tables:
-                    _tables.clear()
-                    _tables[name] = _Words(shared.value)
                 results = []
                 for at in range(0, batch.num_rows, TOGETHER):
-                    results += tag_texts(batch.column(0).slice(at, TOGETHER).to_pylist(), _tables[name])
+                    results += tag_texts(batch.column(0).slice(at, TOGETHER).to_pylist(), _word_table(name, shared.value))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([r[0] for r in results], pa.float64()),
                  pa.array([[{"first": a, "end": b} for a, b in r[1]] for r in results], kind)],
