@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,9 @@ SCORE_DIGITS = 6
 
 # Text per index bucket, so that one bucket's postings fit a task.
 BUCKET_BYTES = 256 * 1024 * 1024
+# Spark's own bound on buckets is 100,000. Above 16 TB of text buckets grow instead: at 100 TB to 1.6 GB of
+# text, which a task reads as a stream.
+MAX_BUCKETS = 65_536
 
 # Up to this many distinct query tokens, the scans of postings and terms skip row groups by them;
 # testing every row group for many tokens would cost more than it saves.
@@ -111,7 +115,7 @@ def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None
     Documents and postings are bucketed by ``doc_id``. The texts are shuffled once; counting terms,
     scoring and looking up documents then work bucket by bucket, and no frequent token gathers in
     one task. Postings and terms are sorted by token, so that few queries read little of them.
-    Without ``path`` a working folder is used.
+    Without ``path`` a working folder is used; an index that is there already is replaced.
     """
     require_columns(corpus, ["doc_id", "document"], "corpus columns")
     spark = corpus.sparkSession
@@ -123,15 +127,15 @@ def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None
     docs = _bucketed_table(spark, f"{path}/docs", buckets)
     _write_bucketed(postings_table(docs), f"{path}/postings", buckets, "token")
     postings = _bucketed_table(spark, f"{path}/postings", buckets)
-    document_frequencies(postings).write.parquet(f"{path}/frequencies")
+    document_frequencies(postings).write.mode("overwrite").parquet(f"{path}/frequencies")
     frequencies = spark.read.parquet(f"{path}/frequencies")
     stats = corpus_stats(postings)
-    term_table(frequencies, stats).sort("token").write.parquet(f"{path}/terms")
+    term_table(frequencies, stats).sort("token").write.mode("overwrite").parquet(f"{path}/terms")
     floor = spark.read.parquet(f"{path}/terms").agg((EPSILON * F.avg("raw_idf")).alias("floor"))
     stats.withColumns({
         "idf_floor": F.coalesce(floor.scalar(), F.lit(0.0)),
         "buckets": F.lit(buckets),
-    }).coalesce(1).write.parquet(f"{path}/stats")
+    }).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
     return load_index(spark, path)
 
 
@@ -149,32 +153,42 @@ def load_index(spark: SparkSession, path: str) -> Bm25Index:
 
 
 def _bucket_count(corpus: DataFrame) -> int:
-    """Buckets of about ``BUCKET_BYTES`` of text, at least one per core."""
+    """Buckets of about ``BUCKET_BYTES`` of text, at least one per core, at most ``MAX_BUCKETS``."""
     size = corpus.agg(F.coalesce(F.sum(F.octet_length("document").cast("long")), F.lit(0))).first()[0]
-    return max(corpus.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    return bucket_count(size, corpus.sparkSession.sparkContext.defaultParallelism)
+
+
+def bucket_count(size: int, cores: int) -> int:
+    return min(MAX_BUCKETS, max(cores, -(-size // BUCKET_BYTES)))
 
 
 def _write_bucketed(df: DataFrame, path: str, buckets: int, sort: str) -> None:
     """Buckets by document; sorting inside lets a scan skip what it does not ask for."""
-    writer = df.write.bucketBy(buckets, "doc_id").sortBy(sort).option("path", path)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    writer = df.write.mode("overwrite").bucketBy(buckets, "doc_id").sortBy(sort).option("path", path)
     writer.saveAsTable(_table_name(path))
 
 
 def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> DataFrame:
-    """The table over the files at ``path``, declared in this session if it is not yet."""
+    """The table over the files at ``path``, declared in this session anew.
+
+    Only the declaration is dropped and made; the files stay.
+    """
     table = _table_name(path)
-    if not spark.catalog.tableExists(table):
-        fields = spark.read.parquet(path).schema.fields
-        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
-        spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet "
-            f"CLUSTERED BY (doc_id) INTO {buckets} BUCKETS LOCATION '{path}'"
-        )
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    fields = spark.read.parquet(path).schema.fields
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet "
+        f"CLUSTERED BY (doc_id) INTO {buckets} BUCKETS LOCATION '{quoted}'"
+    )
     return spark.table(table)
 
 
 def _table_name(path: str) -> str:
-    return "quillrank_" + "".join(c if c.isalnum() else "_" for c in path.strip("/")).lower()
+    """Named by a digest of the path, so that no two paths share a table."""
+    return "quillrank_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()
 
 
 # --------------------------------------------------------------------------- retrieval

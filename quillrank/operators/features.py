@@ -54,7 +54,7 @@ def build_features(
     featured = materialise(lexical_features(judgements), "lexical-features")
     if terms is None:
         terms = materialise(tfidf_fit(featured), "tfidf-terms")
-    featured = with_tfidf_cosine(featured, terms, query_key, doc_key)
+    featured = with_tfidf_cosine(featured, terms)
     if add_bm25:
         featured = with_group_score(featured, query_key)
     if add_semantic and embeddings is not None:

@@ -108,12 +108,13 @@ def unused_docs(catalog: DataFrame, used: DataFrame) -> DataFrame:
 
 
 def dedup_max_relevance(judgements: DataFrame, query_key: str = "query_id") -> DataFrame:
-    """One row per query and document, with the highest relevance."""
+    """One whole row per query and document: the one with the highest relevance.
+
+    Among rows of equal relevance the greatest by the further columns stays.
+    """
     rest = [c for c in judgements.columns if c not in (query_key, "doc_id", "relevance")]
-    best = judgements.groupBy(query_key, "doc_id").agg(
-        F.max("relevance").alias("relevance"), *[F.first(c).alias(c) for c in rest]
-    )
-    return best.select(*judgements.columns)
+    best = judgements.groupBy(query_key, "doc_id").agg(F.max(F.struct("relevance", *rest)).alias("best"))
+    return best.select(query_key, "doc_id", "best.*").select(*judgements.columns)
 
 
 def build_training_set(
@@ -192,14 +193,20 @@ def split_by_keys(
 def cap_whole_queries(
     judgements: DataFrame, max_rows: int | None, seed: int = 42, query_key: str = "query_id"
 ) -> DataFrame:
-    """Whole queries in ``md5(seed|key)`` order as long as they fit ``max_rows`` in total."""
+    """Whole queries in ``md5(seed|key)`` order as long as they fit ``max_rows`` in total.
+
+    A query with more rows than that never fits; it is left out and does not end the scan.
+    """
     if max_rows is None:
         return judgements
-    sizes = judgements.groupBy(query_key).agg(F.count("*").alias("n"))
+    every = judgements.groupBy(query_key).agg(F.count("*").alias("n"))
+    sizes = every.where(F.col("n") <= max_rows)
     cut = (
         hashed_order(sizes, [query_key], seed, F.col("n"))
         .where(F.col("position") <= max_rows)
         .agg(F.max("hash").alias("cut"))
         .scalar()
     )
-    return judgements.where(_up_to(seeded_hash(seed, F.col(query_key)), cut))
+    within = judgements.where(_up_to(seeded_hash(seed, F.col(query_key)), cut))
+    too_large = every.where(F.col("n") > max_rows).select(query_key)  # at most rows / max_rows of them
+    return within.join(too_large, query_key, "left_anti").select(*judgements.columns)

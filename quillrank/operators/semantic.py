@@ -5,27 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.text import bind, clean_text, tokens
+from quillrank.functions.text import bind, clean_text, hash_number, tokens
 from quillrank.functions.vectors import cosine
 from quillrank.operators.grouping import skew_join
 from quillrank.session import materialise
 
 DIMENSIONS = 256
 SIMILARITY_DIGITS = 6
+STEM_LETTERS = (5, 4)
 
 # Maps batches with a ``text`` column to the same batches with an added ``vector`` column.
 Encoder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
+def _stem(letters: int) -> Callable[[Column], Column]:
+    def stem(word: Column) -> Column:
+        return F.concat(F.lit(f"{letters}:"), F.left(word, F.lit(letters)))
+
+    return stem
+
+
 def subwords(words: Column) -> Column:
     """Every word with its first five and first four letters; forms of a word share the latter."""
-    stems = [F.transform(words, lambda word, n=n: F.concat(F.lit(f"{n}:"), F.left(word, F.lit(n)))) for n in (5, 4)]
-    return F.concat(words, *stems)
+    return F.concat(words, *[F.transform(words, _stem(letters)) for letters in STEM_LETTERS])
 
 
 def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int = DIMENSIONS) -> DataFrame:
@@ -38,10 +45,17 @@ def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int
 
 
 def _embed_clean(df: DataFrame, clean: str, vector: str, dimensions: int = DIMENSIONS) -> DataFrame:
-    pieces = df.withColumn("_pieces", bind(tokens(F.col(clean)), subwords))
-    counted = HashingTF(inputCol="_pieces", outputCol="_counts", numFeatures=dimensions).transform(pieces)
-    unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counted)
-    return unit.withColumn(vector, vector_to_array("_unit")).drop("_pieces", "_counts", "_unit")
+    """A piece counts in the dimension that the MD5 of its text names, the same in every session."""
+
+    def dimension(piece: Column) -> Column:
+        return (hash_number(F.md5(piece)) % dimensions).cast("string")
+
+    places = df.withColumn("_places", F.transform(bind(tokens(F.col(clean)), subwords), dimension))
+    counter = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(dimensions)], inputCol="_places", outputCol="_counts"
+    )
+    unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counter.transform(places))
+    return unit.withColumn(vector, vector_to_array("_unit")).drop("_places", "_counts", "_unit")
 
 
 def encode_texts(texts: DataFrame, encoder: Encoder) -> DataFrame:
@@ -70,19 +84,29 @@ def semantic_cosine(
 
 
 def with_text_similarity(cleaned: DataFrame, encoder: Encoder | None = None) -> DataFrame:
-    """Add ``semantic_cosine_sim`` to rows holding ``query_clean`` and ``document_clean``."""
+    """Add ``semantic_cosine_sim`` to rows holding ``query_clean`` and ``document_clean``.
+
+    Texts are embedded by ``encoder`` if given, else by their hashed subwords.
+    """
+    keyed = cleaned.withColumns({
+        "_query_text": F.sha2("query_clean", 256),
+        "_doc_text": F.sha2("document_clean", 256),
+    })
+    # every distinct text once, and only its digest meets the pairs
+    sides = F.array(*[
+        F.struct(F.col(key).alias("key"), F.col(text).alias("text"))
+        for key, text in (("_query_text", "query_clean"), ("_doc_text", "document_clean"))
+    ])
+    texts = keyed.select(F.inline(sides)).dropDuplicates(["key"])
     if encoder is None:
-        embedded = _embed_clean(cleaned, "query_clean", "_query_vector")
-        embedded = _embed_clean(embedded, "document_clean", "_doc_vector")
+        vectors = _embed_clean(texts, "text", "vector").select("key", "vector")
     else:
-        texts = cleaned.select(F.explode(F.array("query_clean", "document_clean")).alias("text"))
-        vectors = materialise(encode_texts(texts, encoder), "text-vectors")
-        embedded = cleaned
-        for side in ("query", "doc"):
-            column = "query_clean" if side == "query" else "document_clean"
-            renamed = vectors.select(F.col("text").alias(column), F.col("vector").alias(f"_{side}_vector"))
-            other = "document_clean" if side == "query" else "query_clean"
-            embedded = skew_join(embedded, renamed, [column], [other], how="left")
+        vectors = encode_texts(texts, encoder).select(F.sha2("text", 256).alias("key"), "vector")
+    vectors = materialise(vectors, "text-vectors")
+    embedded = keyed
+    for key, other, vector in (("_query_text", "_doc_text", "_query_vector"), ("_doc_text", "_query_text", "_doc_vector")):
+        side = vectors.select(F.col("key").alias(key), F.col("vector").alias(vector))
+        embedded = skew_join(embedded, side, [key], [other], how="left")
     return embedded.withColumn("semantic_cosine_sim", _similarity()).select(
         *cleaned.columns, "semantic_cosine_sim"
     )

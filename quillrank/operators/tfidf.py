@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrank.functions.text import bind, count_token, long_tokens, tokens, with_clean_texts
@@ -38,7 +38,10 @@ def weighted_terms(texts: DataFrame, key: str, clean: str, terms: DataFrame) ->
         .groupBy(key, "token")
         .agg(F.count("*").alias("tf"))
     )
-    return skew_join(counted, terms.select("token", "df", "idf"), ["token"], [key], F.col("df"))
+    # a frequent token is split by how often it occurs here, whatever it did where the terms were fitted
+    here = counted.groupBy("token").agg(F.count("*").alias("rows"))
+    known = terms.select("token", "idf").join(here, "token")
+    return skew_join(counted, known, ["token"], [key], F.col("rows"))
 
 
 def _norm() -> Column:
@@ -74,19 +77,15 @@ def cosine_from_terms(query_terms: Column, query_norm: Column, doc_norm: Column,
     return F.round(F.coalesce(cosine, F.lit(0.0)), COSINE_DIGITS)
 
 
-def _short(rows: DataFrame, key: str) -> Column:
-    return F.sha2(F.col(key), 256) if rows.schema[key].dataType.typeName() == "string" else F.col(key)
-
-
-def with_tfidf_cosine(cleaned: DataFrame, terms: DataFrame, query_key: str, doc_key: str) -> DataFrame:
+def with_tfidf_cosine(cleaned: DataFrame, terms: DataFrame) -> DataFrame:
     """Add ``tfidf_cosine_sim`` to rows holding ``query_clean`` and ``document_clean``.
 
-    Vectors and norms are computed once per distinct query and document, then joined to the pairs.
+    Vectors and norms are computed once per distinct text and joined to the pairs by its digest, so rows
+    that share an id but not the text get their own.
     """
-    # A text as key would travel with every one of its tokens; its digest takes its place.
     keyed = cleaned.withColumns({
-        "_query_key": _short(cleaned, query_key),
-        "_doc_key": _short(cleaned, doc_key),
+        "_query_key": F.sha2("query_clean", 256),
+        "_doc_key": F.sha2("document_clean", 256),
     })
     queries = keyed.select("_query_key", "query_clean").dropDuplicates(["_query_key"])
     documents = keyed.select("_doc_key", "document_clean").dropDuplicates(["_doc_key"])
@@ -100,15 +99,23 @@ def with_tfidf_cosine(cleaned: DataFrame, terms: DataFrame, query_key: str, doc_
     return pairs.withColumn("tfidf_cosine_sim", cosine).select(*cleaned.columns, "tfidf_cosine_sim")
 
 
-def tfidf_cosine(
-    judgements: DataFrame,
-    terms: DataFrame | None = None,
-    query_key: str = "query_id",
-    doc_key: str = "doc_id",
-) -> DataFrame:
+def tfidf_cosine(judgements: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Add ``tfidf_cosine_sim``; without fitted ``terms`` the input itself is the vocabulary."""
     if terms is None:
         terms = materialise(tfidf_fit(judgements), "tfidf-terms")
-    return with_tfidf_cosine(with_clean_texts(judgements), terms, query_key, doc_key).select(
-        *judgements.columns, "tfidf_cosine_sim"
-    )
+    return with_tfidf_cosine(with_clean_texts(judgements), terms).select(*judgements.columns, "tfidf_cosine_sim")
+
+
+def save_terms(terms: DataFrame, path: str) -> None:
+    """Store fitted terms beside a saved ranker, for serving in another session."""
+    terms.write.mode("overwrite").parquet(f"{path}/terms")
+
+
+def load_terms(spark: SparkSession, path: str) -> DataFrame:
+    """Raises ``FileNotFoundError`` if nothing was saved there."""
+    from quillrank.sources.tables import read_parquet
+
+    try:
+        return read_parquet(spark, f"{path}/terms")
+    except FileNotFoundError:
+        raise FileNotFoundError(f"Vectorizer not found at {path}. Run training first.") from None

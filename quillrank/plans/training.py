@@ -5,34 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillrank.operators.features import build_features
-from quillrank.operators.labels import split_by_keys, split_by_query
+from quillrank.operators.labels import cap_whole_queries, split_by_keys, split_by_query
 from quillrank.operators.metrics import evaluate, evaluate_scores, failures
 from quillrank.operators.ranker import Ranker, train_ranker
 from quillrank.operators.semantic import Encoder
-from quillrank.operators.tfidf import tfidf_fit
+from quillrank.operators.tfidf import save_terms, tfidf_fit
 from quillrank.schemas import ALL_FEATURES, LEXICAL_FEATURES
 from quillrank.session import materialise
-from quillrank.sources.tables import log_experiment, read_experiments, scan_capped
+from quillrank.sources.tables import log_experiment, read_experiments, scan_capped, write_json
 
 # The nested feature sets of the ablation.
 ABLATION_FEATURES = {
     "bm25_only": ["bm25_score"],
     "bm25_tfidf": ["bm25_score", "tfidf_cosine_sim"],
     "bm25_tfidf_overlap": ["bm25_score", "tfidf_cosine_sim", "overlap_count", "overlap_ratio"],
-    "hybrid_full": [
-        "query_len",
-        "doc_len",
-        "overlap_count",
-        "overlap_ratio",
-        "exact_match",
-        "tfidf_cosine_sim",
-        "bm25_score",
-        "semantic_cosine_sim",
-    ],
+    "hybrid_full": ALL_FEATURES,
 }
 # The ranks at which NDCG is reported during and after training.
 EVAL_AT, LARGE_EVAL_AT = (1, 3, 5), (1, 3, 5, 10)
@@ -65,12 +56,17 @@ def featurise_split(
     encoder: Encoder | None = None,
     query_key: str = "query_id",
     doc_key: str | None = None,
+    max_train_rows: int | None = None,
 ) -> FeaturedSplit:
-    """Split by query, fit TF-IDF on the train side, build and store the features of both."""
+    """Split by query, fit TF-IDF on the train side, build and store the features of both.
+
+    ``max_train_rows`` keeps whole train queries up to that many rows; the test side is never cut.
+    """
     if test_keys is None:
         train, test = split_by_query(judgements, test_size, seed, query_key)
     else:
         train, test = split_by_keys(judgements, test_keys, query_key)
+    train = cap_whole_queries(train, max_train_rows, seed, query_key)
     terms = materialise(tfidf_fit(train), "tfidf-terms")
 
     def featured(rows: DataFrame, name: str) -> DataFrame:
@@ -145,27 +141,54 @@ def train_large(
     learning_rate: float = 0.05,
     num_leaves: int = 63,
     min_data_in_leaf: int = 20,
+    out: str | None = None,
 ) -> tuple[TrainingRun, DataFrame]:
-    """The run on judgement shards: capped scan, 0.2 test split, lexical features, report.
+    """The run on judgement shards: 0.2 test split, capped train side, lexical features, report.
 
+    ``max_rows`` bounds the rows that the model is fitted on; all test rows are measured. With ``out`` the
+    model, its terms, the featured rows and the report are stored below that path.
     The report row has the keys ``rows_train, rows_test`` and NDCG@10, MRR and MAP of both scores.
     """
-    judgements = scan_capped(spark, path, max_rows, seed)
+    judgements = with_row_keys(scan_capped(spark, path))
     data = featurise_split(
-        judgements, 0.2, seed, add_semantic=use_semantic, query_key="query_id", doc_key="document"
+        judgements, 0.2, seed, add_semantic=use_semantic, query_key="query_id", max_train_rows=max_rows
     )
     run = train_and_evaluate(
         data,
         ALL_FEATURES if use_semantic else LEXICAL_FEATURES,
         k=10,
-        tie="document",
+        tie="row_key",
         n_estimators=n_estimators,
         learning_rate=learning_rate,
         num_leaves=num_leaves,
         min_data_in_leaf=min_data_in_leaf,
         seed=seed,
     )
-    return run, large_report(run)
+    report = large_report(run)
+    if out:
+        save_run(run, out)
+        write_json(report, f"{out}/report")
+    return run, report
+
+
+def with_row_keys(judgements: DataFrame) -> DataFrame:
+    """Add ``row_key``, short and unique in a query: the text's hash and its occurrence among equal rows.
+
+    Equal rows of a query are interchangeable, so it does not matter which of them comes first.
+    """
+    digest = F.md5("document")
+    same = Window.partitionBy("query_id", "_digest").orderBy("relevance")
+    numbered = judgements.withColumn("_digest", digest).withColumn("_nth", F.row_number().over(same))
+    key = F.concat_ws("|", F.substring("_digest", 1, 16), F.lpad(F.col("_nth").cast("string"), 9, "0"))
+    return numbered.withColumn("row_key", key).drop("_digest", "_nth")
+
+
+def save_run(run: TrainingRun, path: str) -> None:
+    """The model, the fitted terms and the featured rows of a run, for another session to load."""
+    run.ranker.save(path)
+    save_terms(run.data.terms, path)
+    for name, rows in (("train", run.data.train), ("test", run.data.test)):
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/featured/{name}")
 
 
 def large_report(run: TrainingRun) -> DataFrame:

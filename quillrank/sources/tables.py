@@ -15,9 +15,9 @@ from quillrank.schemas import EXPERIMENT_LOG, JUDGEMENT_SHARD, NESTED_RECORDS
 ROWS_PER_SHARD = 250_000
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:
-    """CSV with a header. Quoted values may span lines; files without such values are split over
-    tasks with ``multiline=False``. A missing path raises ``FileNotFoundError``."""
+def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+    """CSV with a header, split over tasks. Files whose quoted values span lines need ``multiline=True``,
+    which reads each file in one task. A missing path raises ``FileNotFoundError``."""
     reader = spark.read.schema(schema).option("header", True).option("multiLine", multiline)
     return _existing(lambda: reader.option("quote", '"').option("escape", '"').csv(path), "Data", path)
 
@@ -34,9 +34,9 @@ def read_parquet(
 
 
 def scan_capped(
-    spark: SparkSession, path: str, max_rows: int | None = 1_500_000, seed: int = 42
+    spark: SparkSession, path: str, max_rows: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """The judgement shards below ``path``: their four columns, whole queries up to ``max_rows``.
+    """The judgement shards below ``path``: their four columns, all rows or whole queries up to ``max_rows``.
 
     Raises ``RuntimeError`` if there are no shards or no rows.
     """

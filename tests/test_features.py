@@ -1,9 +1,12 @@
+import hashlib
+
 import pytest
 from brute import tfidf_cosines
 from pyspark.sql import functions as F
 
+from quillrank.functions.text import with_clean_texts
 from quillrank.operators.features import build_features
-from quillrank.operators.semantic import semantic_cosine, text_embed
+from quillrank.operators.semantic import semantic_cosine, text_embed, with_text_similarity
 from quillrank.operators.tfidf import tfidf_cosine, tfidf_fit
 from quillrank.schemas import ALL_FEATURES, require_columns
 
@@ -20,12 +23,20 @@ def test_tfidf_edge_cases(spark):
     df = spark.createDataFrame(rows, "query_id STRING, query STRING, doc_id LONG, document STRING")
     tokens = {row["token"] for row in tfidf_fit(df).collect()}
     assert tokens == {"red", "blue", "green"}
-    # One document key stands for one text.
-    df = df.withColumn("doc_key", F.col("document"))
-    got = {(r["query_id"], r["doc_id"]): r["tfidf_cosine_sim"] for r in tfidf_cosine(df, doc_key="doc_key").collect()}
+    got = {(r["query_id"], r["doc_id"]): r["tfidf_cosine_sim"] for r in tfidf_cosine(df).collect()}
     assert got == {("q", 1): 1.0, ("q", 2): 0.0, ("r", 1): 0.0, ("s", 1): 0.0}
 
 
+def test_rows_that_share_an_id_keep_their_own_texts(spark):
+    rows = [("q", "red chair", 1, "red chair"), ("q", "red chair", 1, "red table lamp"), ("q", "blue", 1, "red chair")]
+    df = spark.createDataFrame(rows, "query_id STRING, query STRING, doc_id LONG, document STRING")
+    got = {(r["query"], r["document"]): r["tfidf_cosine_sim"] for r in tfidf_cosine(df).collect()}
+    unique = df.withColumn("query_id", F.col("query")).withColumn("doc_id", F.xxhash64("document"))
+    assert got == {(r["query"], r["document"]): r["tfidf_cosine_sim"] for r in tfidf_cosine(unique).collect()}
+    assert got["red chair", "red chair"] == 1.0 and got["blue", "red chair"] == 0.0
+    assert 0.0 < got["red chair", "red table lamp"] < 1.0
+
+
 def test_unseen_tokens_are_dropped(spark, held_out):
     terms = tfidf_fit(held_out).cache()
     row = [("q", "laptop unseen", 1, "laptop other")]
@@ -60,6 +71,20 @@ def test_text_embed_unit_vectors(spark):
     assert dot(1, 2) > 0.5 > dot(1, 3)
 
 
+def test_same_text_has_the_same_vector_in_every_call(spark):
+    df = spark.createDataFrame([(1, "Student laptop", "student laptop!"), (2, "laptop", "chair")], "id LONG, query STRING, document STRING")
+    first, second = (
+        {r["id"]: r["vector"] for r in text_embed(df, column).collect()} for column in ("query", "document")
+    )
+    assert first[1] == second[1]
+    # fixed by MD5, so another session gives the same
+    places = {int(hashlib.md5(piece.encode()).hexdigest()[:15], 16) % 256 for piece in ("laptop", "5:lapto", "4:lapt")}
+    assert {i for i, x in enumerate(first[2]) if x} == places
+    for _ in range(2):
+        got = {r["id"]: r["semantic_cosine_sim"] for r in with_text_similarity(with_clean_texts(df)).collect()}
+        assert got[1] == 1.0 and got[2] < 0.5
+
+
 def test_semantic_cosine_from_tables(spark):
     pairs = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "query_id LONG, doc_id LONG")
     queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id LONG, vector ARRAY<FLOAT>")

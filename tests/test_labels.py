@@ -85,6 +85,12 @@ def test_dedup_keeps_highest_relevance(spark):
     assert rows_of(got, "doc_id") == [("q", "q", 1, "d", 3), ("q", "q", 2, "e", 1)]
 
 
+def test_dedup_keeps_the_whole_best_row(spark):
+    rows = [(1, 1, 0, "of zero", None), (1, 1, 3, "of three", 5), (1, 1, 3, "of three", 4), (1, 2, None, "z", 1)]
+    df = spark.createDataFrame(rows, "query_id LONG, doc_id LONG, relevance INT, note STRING, n INT")
+    assert rows_of(labels.dedup_max_relevance(df), "doc_id") == [(1, 1, 3, "of three", 5), (1, 2, None, "z", 1)]
+
+
 def test_unused_docs(spark, catalog):
     used = spark.createDataFrame([(1, d) for d in range(3, 21)], "query_id LONG, doc_id LONG")
     assert rows_of(labels.unused_docs(catalog, used).select("doc_id"), "doc_id") == [(1,), (2,)]
@@ -115,6 +121,8 @@ def test_cap_keeps_whole_queries_in_hash_order(spark, cap):
     df = spark.createDataFrame([(q, d) for q, n in sizes.items() for d in range(n)], "query_id LONG, d INT")
     kept, total = set(), 0
     for q in sorted(sizes, key=lambda q: hashlib.md5(f"42|{q}".encode()).hexdigest()):
+        if cap is not None and sizes[q] > cap:
+            continue  # can never fit
         total += sizes[q]
         if cap is not None and total > cap:
             break
@@ -123,6 +131,13 @@ def test_cap_keeps_whole_queries_in_hash_order(spark, cap):
     assert {r["query_id"]: r["count"] for r in got} == {q: sizes[q] for q in kept}
 
 
+def test_one_large_query_does_not_empty_the_scan(spark):
+    df = spark.createDataFrame([(1, d) for d in range(10)] + [(q, 0) for q in range(2, 5)], "query_id LONG, d INT")
+    assert labels.cap_whole_queries(df, 5).count() == 3
+    alone = df.where("query_id = 1")
+    assert labels.cap_whole_queries(alone, 5).count() == 0 and labels.cap_whole_queries(alone, 10).count() == 10
+
+
 NESTED = [
     (1, "a", (["n1", "p1", "n2", "n3", "n4", "n5", "p2"], [0, 1, 0, 0, 0, 0, 1])),
     (2, "none selected", (["x", "y"], [0, 0])),

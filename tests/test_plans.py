@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from quillrank.operators.bm25 import bm25_retrieve
 from quillrank.operators.judgements import build_judgements
+from quillrank.operators.ranker import load_ranker
+from quillrank.operators.tfidf import load_terms
 from quillrank.plans import search as searching
 from quillrank.plans import training
 from quillrank.schemas import CATALOG, JUDGEMENT_SHARD, NESTED_RECORDS, QUERIES
@@ -86,8 +88,19 @@ def test_train_large(spark, held_out, tmp_path):
     path = str(tmp_path / "shards")
     shards = held_out.select(F.xxhash64("query").alias("query_id"), "query", "document", "relevance")
     tables.write_shards(shards, path)
-    run, report = training.train_large(spark, path, n_estimators=2, min_data_in_leaf=1)
+    out = str(tmp_path / "run")
+    run, report = training.train_large(spark, path, n_estimators=2, min_data_in_leaf=1, out=out)
     row = report.first().asDict()
+    assert spark.read.json(f"{out}/report").first().asDict() == row
+    for side, rows in (("train", run.data.train), ("test", run.data.test)):
+        assert spark.read.parquet(f"{out}/featured/{side}").count() == rows.count()
+    # what a server in another session needs
+    request = spark.createDataFrame([(1, "office chair", ["mesh chair", "sock"])], "query_id LONG, query STRING, documents ARRAY<STRING>")
+    loaded, terms = load_ranker(spark, out), load_terms(spark, out)
+    again = searching.rank_documents(request, loaded, terms).orderBy("document").collect()
+    assert again == searching.rank_documents(request, run.ranker, run.data.terms).orderBy("document").collect()
+    with pytest.raises(FileNotFoundError, match="Run training first"):
+        load_terms(spark, str(tmp_path / "nowhere"))
     assert row["rows_train"] + row["rows_test"] == 25
     assert set(row) == {
         "rows_train", "rows_test", "bm25_NDCG@10", "model_NDCG@10", "bm25_MRR", "model_MRR", "bm25_MAP", "model_MAP",
@@ -97,11 +110,25 @@ def test_train_large(spark, held_out, tmp_path):
     assert spark.read.json(str(tmp_path / "report")).count() == 1
 
 
+def test_train_cap_leaves_the_test_side_whole(spark, held_out, tmp_path):
+    path = str(tmp_path / "shards")
+    shards = held_out.select(F.xxhash64("query").alias("query_id"), "query", "document", "relevance")
+    tables.write_shards(shards.unionByName(shards), path)  # every passage twice in its query
+    run, _ = training.train_large(spark, path, max_rows=20, n_estimators=1, min_data_in_leaf=1)
+    whole, _ = training.train_large(spark, path, max_rows=None, n_estimators=1, min_data_in_leaf=1)
+    assert run.data.train.count() <= 20 < whole.data.train.count()
+    assert run.data.test.count() == whole.data.test.count() > 0
+    keys = whole.data.train.groupBy("query_id", "row_key").count()
+    assert keys.where("count > 1").count() == 0
+
+
 def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "csv")
     rows = [(1, 'say "hi", twice', "a"), (2, "two\nlines", "b"), (3, None, "c")]
     tables.write_csv(spark.createDataFrame(rows, CATALOG), path)
-    assert rows_of(tables.read_csv(spark, path, CATALOG), "doc_id") == rows
+    assert rows_of(tables.read_csv(spark, path, CATALOG, multiline=True), "doc_id") == rows
+    tables.write_csv(spark.createDataFrame(rows[:1], CATALOG), path)
+    assert rows_of(tables.read_csv(spark, path, CATALOG), "doc_id") == rows[:1]
     with pytest.raises(FileNotFoundError, match="nowhere"):
         tables.read_csv(spark, str(tmp_path / "nowhere"), CATALOG)
 

@@ -58,6 +58,8 @@ def test_newton_steps_equal_brute_force(featured, truncation, hot_rows):
     scores = featured.select(F.col("query_id").alias("query"), F.col("doc_id").alias("row"), F.col("signal").alias("score"))
     steps = _newton_steps(data.join(scores, ["query", "row"]), truncation, largest > truncation)
     got = {(r["query"], r["row"]): (r["gradient"], r["curvature"]) for r in steps.collect()}
+    for r in steps.collect():  # so that a leaf is the sum of gradients over the sum of curvatures
+        assert r["target"] * r["curvature"] == pytest.approx(r["gradient"], abs=1e-9)
     rows = [(r["query_id"], r["doc_id"], r["relevance"], r["signal"]) for r in featured.collect()]
     expected = {key: value for key, value in brute_steps(rows, truncation).items() if value[1] > 0}
     assert got.keys() == expected.keys()
