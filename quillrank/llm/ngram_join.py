@@ -41,7 +41,10 @@ MAX_HASHES = 256
 SMALL_BUCKET, BLOCK = 16, 512
 #: Columns of the incidence matrix that a block task multiplies at once.
 COLUMNS = 4096
-REMEMBERED = 400_000
+#: Word hashes that a Python worker remembers; beyond it they are emptied.
+REMEMBERED = 100_000
+#: Rows of an Arrow batch that are turned into Python objects at once.
+AT_ONCE = 512
 SMALL = 16 * 1024 * 1024
 WORD = re.compile(r"\w+")
 
@@ -105,6 +108,12 @@ def band_hashes(grams: np.ndarray, bands: int, rows: int) -> list[int]:
     ]
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE)
+
+
 def _raw(text: str) -> Column:
     """Digest of the text as it is; null texts have one of their own."""
     return F.coalesce(F.md5(text), F.lit("null"))
@@ -116,7 +125,7 @@ def signatures(df: DataFrame, key: str, text: str, n: int, bands: int, rows: int
     kind = kept.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             digests: list[bytes | None] = []
             hashes: list[list[int] | None] = []
             for content in batch.column(2).to_pylist():
@@ -174,12 +183,12 @@ def _verified_pairs(pairs: DataFrame, texts: DataFrame, n: int, threshold: float
 
         def grams(cid: int, content: str) -> np.ndarray:
             if cid not in known:
-                if len(known) >= 2_000:
+                if len(known) >= AT_ONCE:
                     known.clear()
                 known[cid] = ngram_set(WORD.findall(content.lower()), n)
             return known[cid]
 
-        for batch in batches:
+        for batch in _sliced(batches):
             a, b, text_a, text_b = (column.to_pylist() for column in batch.columns)
             keep = []
             for i in range(batch.num_rows):
