@@ -6,19 +6,19 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle
-from quillrank.functions.text import clean_text, tokens
+from quillrank.functions.text import clean_text, tokens, with_clean_texts
 from quillrank.operators import bm25, judgements, labels, metrics, semantic, tfidf
 from quillrank.operators.features import build_features, lexical_features
 from quillrank.operators.ranker import feature_importance, load_ranker
 from quillrank.plans import search as searching
 from quillrank.plans import training
-from quillrank.schemas import LEXICAL_FEATURES
+from quillrank.schemas import ALL_FEATURES
 from quillrank.session import materialise, new_work_path
 from quillrank.sources import tables
 from quillrank.streaming import jobs
@@ -29,7 +29,9 @@ try:  # the only place that knows whether the training-data subpackage is there
 except ImportError:
     corpus_pipeline = llm_queries = None
 
+# Boosting rounds of the fits below; the library's own defaults are 200 and 300.
 ROUNDS = 10
+FOUND = ["query_id", "query", "doc_id", "document", "category", "bm25_score"]
 SMALL = "/root/testdata/sf0.001"
 
 _stored: dict[tuple, object] = {}
@@ -67,10 +69,20 @@ def _index(spark: SparkSession, sf_dir: str) -> bm25.Bm25Index:
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graded candidates: 3 if the document holds the whole passage, 1 if half its tokens, else 0."""
+    """Graded documents: 3 if one holds the whole passage, 1 if half its tokens, else 0.
+
+    The candidates are the best by BM25 and every other document that holds the passage, in ``doc_id`` order.
+    """
 
     def make() -> DataFrame:
-        found = bm25.bm25_retrieve(_queries(spark, sf_dir), _index(spark, sf_dir), oracle.TOP_K)
+        queries, index = _queries(spark, sf_dir), _index(spark, sf_dir)
+        best = bm25.bm25_retrieve(queries, index, oracle.TOP_K)
+        best = materialise(best.select("query_id", "query", "rank", "doc_id", "document"), "best")
+        holding = bm25.containing_ids(queries, index).join(best, ["query_id", "doc_id"], "left_anti")
+        after = Window.partitionBy("query_id").orderBy("doc_id")
+        holding = holding.withColumn("rank", F.row_number().over(after) + oracle.TOP_K)
+        holding = holding.join(queries, "query_id").join(index.docs.select("doc_id", "document"), "doc_id")
+        found = best.unionByName(holding)
         grade = F.when(F.col("exact_match") == 1, 3).when(F.col("overlap_ratio") >= 0.5, 1).otherwise(0)
         graded = lexical_features(found).withColumn("relevance", grade)
         return materialise(
@@ -137,7 +149,7 @@ def _large(spark: SparkSession, sf_dir: str) -> tuple[training.TrainingRun, Data
         spark,
         sf_dir,
         "large",
-        lambda: training.train_large(spark, _shards(spark, sf_dir), n_estimators=ROUNDS, num_leaves=31),
+        lambda: training.train_large(spark, _shards(spark, sf_dir), n_estimators=ROUNDS),
     )
 
 
@@ -282,13 +294,19 @@ def semantic_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return semantic.text_embed(_corpus(spark, sf_dir), "document").select("doc_id", "vector")
+    embedded = semantic.text_embed(_corpus(spark, sf_dir), "document")
+    coordinates = embedded.select("doc_id", F.posexplode("vector").alias("dimension", "x")).where("x <> 0")
+    return coordinates.select("doc_id", "dimension", F.round("x", 6).alias("value"))
+
+
+def text_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = with_clean_texts(_judgements(spark, sf_dir))
+    return semantic.with_text_similarity(pairs).select("query_id", "doc_id", "semantic_cosine_sim")
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    featured = build_features(_judgements(spark, sf_dir), add_semantic=False)
-    return featured.select(
-        "query_id", "doc_id", "relevance", *LEXICAL_FEATURES
+    return build_features(_judgements(spark, sf_dir)).select(
+        "query_id", "doc_id", "relevance", *ALL_FEATURES
     ).withColumn("overlap_ratio", F.round("overlap_ratio", 6))
 
 
@@ -366,26 +384,33 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, store and load the model, then score the test rows with it."""
+    """Train, store and load the model, then score the test rows with it; the scores are tested apart."""
     run = _run(spark, sf_dir)
     path = new_work_path(spark, "ranker")
     run.ranker.save(path)
-    return load_ranker(spark, path).predict(run.data.test).select(
-        "query_id", "doc_id", "relevance", "bm25_score", "model_score"
-    )
+    scored = load_ranker(spark, path).predict(run.data.test).where(F.col("model_score").isNotNull())
+    return scored.select("query_id", "doc_id", "relevance", "bm25_score")
+
+
+# What a model's score decides is checked by pytest; the queries below return what SQL can state too.
+
+
+def ndcg_at_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _scored(spark, sf_dir).withColumn("model_score", F.col("bm25_score"))
+    return training.ndcg_at_ranks(scored, training.LARGE_EVAL_AT)
 
 
 def rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
     candidates = materialise(bm25_topk(spark, sf_dir), "candidates")
-    return searching.rerank(candidates, run.ranker, run.data.terms)
+    return searching.rerank(candidates, run.ranker, run.data.terms).select(*FOUND)
 
 
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
     return searching.search(
         _queries(spark, sf_dir), _index(spark, sf_dir), run.ranker, run.data.terms, oracle.TOP_K
-    )
+    ).select(*FOUND)
 
 
 def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,7 +418,8 @@ def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = tables.read_nested(spark, _nested(spark, sf_dir)).select(
         "query_id", "query", F.col("passages.passage_text").alias("documents")
     )
-    return searching.rank_documents(requests, run.ranker, run.data.terms)
+    ranked = searching.rank_documents(requests, run.ranker, run.data.terms)
+    return ranked.select("query_id", "query", "document")
 
 
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,15 +435,16 @@ def _ablation(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 
 def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ablation(spark, sf_dir)[0]
+    return _ablation(spark, sf_dir)[0].select("experiment", "features")
 
 
 def experiment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.experiment_log(spark, _ablation(spark, sf_dir)[1])
+    logged = training.experiment_log(spark, _ablation(spark, sf_dir)[1])
+    return logged.select("experiment_name", "features", "notes")
 
 
 def train_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _large(spark, sf_dir)[1]
+    return _large(spark, sf_dir)[1].select(*[F.col(c).cast("long").alias(c) for c in ("rows_train", "rows_test")])
 
 
 def rank_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,6 +475,21 @@ def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_answers(spark, sink)
 
 
+def stream_search_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run(spark, sf_dir)
+    source, sink = new_work_path(spark, "stream-queries"), new_work_path(spark, "stream-answers")
+    _queries(spark, sf_dir).repartition(2).write.parquet(source)
+    jobs.stream_queries(
+        spark,
+        source,
+        sink,
+        new_work_path(spark, "stream-state"),
+        jobs.two_stage(_index(spark, sf_dir), run.ranker, run.data.terms, oracle.TOP_K),
+        max_files_per_trigger=2,
+    ).awaitTermination()
+    return jobs.read_answers(spark, sink).select(*FOUND)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Two-stage search for every benchmark passage over all documents."""
     return search(spark, SMALL)
@@ -473,6 +515,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_cosine": tfidf_cosine,
         "semantic_cosine": semantic_cosine,
         "text_embed": text_embed,
+        "text_similarity": text_similarity,
         "build_features": features,
         "label_lookup": label_lookup,
         "hard_negatives": hard_negatives,
@@ -487,6 +530,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "precision_curve": precision_curve,
         "eval_per_query": eval_per_query,
         "eval_metrics": eval_metrics,
+        "ndcg_at_ranks": ndcg_at_ranks,
         "failures": failures,
         "train_ranker": train_ranker,
         "rerank": rerank,
@@ -500,6 +544,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rank_record": rank_record,
         "stream_judgements": stream_judgements,
         "stream_search": stream_search,
+        "stream_search_two_stage": stream_search_two_stage,
     }
     if llm_queries is not None:
         registered |= llm_queries.queries()

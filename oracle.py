@@ -65,8 +65,10 @@ PART_NAMES = "SELECT min(p_partkey) AS query_id, p_name AS query FROM part GROUP
 TEXT = corpus_ctes(DOCS, ASKED)
 
 JUDGED = TEXT | {
-    "pairs": f"""SELECT *, {words('query_clean')} AS qw, {words('doc_clean')} AS dw
-        FROM all_ranks WHERE rank <= {TOP_K}""",
+    "pairs": f"""SELECT * REPLACE (CASE WHEN rank <= {TOP_K} THEN rank ELSE {TOP_K} + row_number()
+            OVER (PARTITION BY query_id, rank <= {TOP_K} ORDER BY doc_id) END AS rank),
+          {words('query_clean')} AS qw, {words('doc_clean')} AS dw
+        FROM all_ranks WHERE rank <= {TOP_K} OR contains(doc_clean, query_clean)""",
     "shared": """SELECT *, len(qw) AS query_len, len(dw) AS doc_len,
           len(list_distinct(list_intersect(qw, dw))) AS overlap_count,
           contains(doc_clean, query_clean)::INTEGER AS exact_match FROM pairs""",
@@ -118,6 +120,26 @@ VECTORS = {
         FROM j LEFT JOIN v_dots USING (query_id, doc_id)""",
 }
 
+
+
+def embedded(texts: str) -> dict[str, str]:
+    """``e_unit(t, b, x)``: the non-zero coordinates of each distinct cleaned text of ``texts(t)``."""
+    bucket = hash_number("p") + " % 256"
+    return {
+        "e_words": f"SELECT DISTINCT t, {words('t')} AS ws FROM ({texts})",
+        "e_pieces": """SELECT t, unnest(list_concat(ws, list_transform(ws, lambda w: '5:' || substr(w, 1, 5)),
+            list_transform(ws, lambda w: '4:' || substr(w, 1, 4)))) AS p FROM e_words""",
+        "e_counts": f"SELECT t, {bucket} AS b, count(*) AS n FROM e_pieces GROUP BY ALL",
+        "e_unit": "SELECT t, b, n / sqrt(sum(n * n) OVER (PARTITION BY t)) AS x FROM e_counts",
+    }
+
+
+SIMILAR = embedded("SELECT query_clean AS t FROM j UNION ALL SELECT doc_clean FROM j") | {
+    "likeness": """SELECT j.query_id, j.doc_id, round(coalesce(sum(a.x * b.x), 0.0), 6) AS semantic_cosine_sim
+        FROM j LEFT JOIN e_unit a ON a.t = query_clean LEFT JOIN e_unit b ON b.t = doc_clean AND b.b = a.b
+        GROUP BY ALL""",
+}
+
 RANKED = GROUPED | {
     "r": """SELECT *, row_number() OVER w AS score_rank,
           (sum((relevance >= 1)::INTEGER) OVER w)::BIGINT AS hits,
@@ -156,6 +178,11 @@ LABELLED = JUDGED | {
         WHERE nth <= 2""",
 }
 
+SPLIT = {
+    "split_places": """SELECT query_id, row_number() OVER (ORDER BY md5('42|' || query_id)) AS place,
+          count(*) OVER () AS n FROM (SELECT DISTINCT query_id FROM j)""",
+}
+
 NESTED_NEGATIVES = """SELECT query_id, query, document, relevance FROM (
       SELECT query_id, query, document, 3 AS relevance FROM j WHERE relevance = 3
       UNION ALL
@@ -178,6 +205,24 @@ def top_k(ctes: dict[str, str]) -> str:
     )
 
 
+def found(ctes: dict[str, str]) -> str:
+    columns = "query_id, query, doc_id, document, category, bm25_score"
+    return sql(ctes, f"SELECT {columns} FROM all_ranks WHERE rank <= {TOP_K}")
+
+
+def named_features(separator: str) -> str:
+    """The four nested feature sets of the ablation, as SQL values."""
+    lexical = ["query_len", "doc_len", "overlap_count", "overlap_ratio", "exact_match"]
+    scores = ["bm25_score", "tfidf_cosine_sim", "overlap_count", "overlap_ratio"]
+    sets = {
+        "bm25_only": scores[:1],
+        "bm25_tfidf": scores[:2],
+        "bm25_tfidf_overlap": scores,
+        "hybrid_full": [*lexical, "tfidf_cosine_sim", "bm25_score", "semantic_cosine_sim"],
+    }
+    return ", ".join(f"('{name}', '{separator.join(features)}')" for name, features in sets.items())
+
+
 def statements() -> dict[str, str]:
     judgements = sql(JUDGED, NESTED_NEGATIVES)
     return {
@@ -226,10 +271,15 @@ def statements() -> dict[str, str]:
                   LEFT JOIN embeddings d ON d.vec_id = doc_id""",
         ),
         "build_features": sql(
-            GROUPED | VECTORS,
+            GROUPED | VECTORS | SIMILAR,
             """SELECT query_id, doc_id, relevance, query_len, doc_len, overlap_count, overlap_ratio,
-                  exact_match, tfidf_cosine_sim, bm25_score
-                FROM scored JOIN v_cosines USING (query_id, doc_id)""",
+                  exact_match, tfidf_cosine_sim, bm25_score, semantic_cosine_sim
+                FROM scored JOIN v_cosines USING (query_id, doc_id) JOIN likeness USING (query_id, doc_id)""",
+        ),
+        "text_similarity": sql(JUDGED | SIMILAR, "SELECT * FROM likeness"),
+        "text_embed": sql(
+            {"texts": f"SELECT doc_id, {clean('text')} AS t FROM documents"} | embedded("SELECT t FROM texts"),
+            """SELECT doc_id, b::INTEGER AS dimension, round(x, 6) AS value FROM texts JOIN e_unit USING (t)""",
         ),
         "label_lookup": sql(LABELLED, "SELECT * FROM labels3"),
         "hard_negatives": sql(LABELLED, "SELECT * FROM hard"),
@@ -284,6 +334,34 @@ def statements() -> dict[str, str]:
                 FROM r p JOIN r i USING (query_id)
                 WHERE p.score_rank = 1 AND i.ideal_rank = 1 AND p.document <> i.document""",
         ),
+        "ndcg_at_ranks": sql(
+            RANKED,
+            """SELECT k, round(avg(ndcg), 6) AS ndcg FROM (
+                  SELECT query_id, k, round(coalesce(
+                    sum(CASE WHEN score_rank <= k THEN (2 ** relevance - 1) / log2(score_rank + 1) END)
+                    / nullif(sum(CASE WHEN ideal_rank <= k THEN (2 ** relevance - 1) / log2(ideal_rank + 1) END), 0),
+                    0.0), 6) AS ndcg
+                  FROM r, (SELECT unnest([1, 3, 5, 10]) AS k) GROUP BY query_id, k) GROUP BY k""",
+        ),
+        "train_ranker": sql(
+            GROUPED | SPLIT,
+            """SELECT query_id, doc_id, relevance, bm25_score
+                FROM scored JOIN split_places USING (query_id) WHERE place <= ceil(0.25 * n)""",
+        ),
+        "train_large": sql(
+            JUDGED | SPLIT,
+            """SELECT count(*) FILTER (WHERE place > ceil(0.2 * n)) AS rows_train,
+                  count(*) FILTER (WHERE place <= ceil(0.2 * n)) AS rows_test
+                FROM j JOIN split_places USING (query_id)""",
+        ),
+        "rerank": found(TEXT),
+        "search": found(TEXT),
+        "stream_search_two_stage": found(TEXT),
+        "rank_documents": sql(JUDGED, "SELECT query_id, query, document FROM j"),
+        "ablation": f"SELECT * FROM (VALUES {named_features(', ')}) AS v(experiment, features)",
+        "experiment_log": f"""SELECT experiment_name, features,
+            (length(features) - length(replace(features, ',', '')) + 1) || ' features' AS notes
+            FROM (VALUES {named_features(',')}) AS v(experiment_name, features)""",
         "build_judgements": judgements,
         "stream_judgements": judgements,
         "stream_search": top_k(TEXT),

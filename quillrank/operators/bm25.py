@@ -314,6 +314,32 @@ def bm25_top_ids(
     )
 
 
+def containing_ids(queries: DataFrame, index: Bm25Index) -> DataFrame:
+    """``(query_id, doc_id)`` of the documents whose cleaned text holds the whole cleaned query.
+
+    All but the first and last token of a query must be tokens of such a document, so only the documents
+    of the rarest of them are compared. A query of one or two tokens is looked up by whole tokens.
+    """
+    asked = queries.select("query_id", clean_text(F.col("query")).alias("query_clean"))
+    words = asked.withColumn("words", tokens(F.col("query_clean"))).where(F.size("words") > 0)
+    inner = F.when(F.size("words") > 2, F.slice("words", F.lit(2), F.size("words") - 2)).otherwise(F.col("words"))
+    rarest = (
+        words.select("query_id", F.explode(inner).alias("token"))
+        .join(index.terms.select("token", "df"), "token")
+        .groupBy("query_id")
+        .agg(F.min(F.struct("df", "token"))["token"].alias("token"))
+    )
+    candidates = index.postings.select("token", "doc_id").join(rarest, "token").select("query_id", "doc_id")
+    candidates = materialise(candidates, "containing-candidates")
+    texts = index.docs.select("doc_id", clean_text(F.col("document")).alias("document_clean"))
+    return (
+        texts.join(candidates, "doc_id")
+        .join(asked, "query_id")
+        .where(F.contains("document_clean", "query_clean"))
+        .select("query_id", "doc_id")
+    )
+
+
 def _narrowed(index: Bm25Index, terms: DataFrame) -> Bm25Index:
     """The index cut to the tokens of a small query batch, as filters the scans can skip by."""
     asked = [row["token"] for row in terms.select("token").distinct().limit(PUSHED_TOKENS + 1).collect()]
