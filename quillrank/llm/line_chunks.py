@@ -122,7 +122,9 @@ def repeated_chunks(
     texts = df.where(F.col(text).isNotNull()).select(
         F.col(key).alias("doc"), F.xxhash64(text).alias("digest"), F.col(text).alias("text")
     )
-    holding = _joined(texts.alias("t"), held.alias("h"), _same_doc("t", "h"), "inner")
+    ids = met.select("doc", "digest").distinct()
+    holding = _joined(texts.alias("t"), ids.alias("i"), _same_doc("t", "i"), "left_semi")
+    holding = holding.alias("t").join(held.alias("h"), _same_doc("t", "h"))
     own_lines = F.slice("lines", F.col("m.first") + 1, F.col("m.last") - F.col("m.first") + 1)
     cut = (
         holding.select("t.doc", "t.digest", _lines(F.col("text")).alias("lines"), "met")
