@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from quillrank.llm.common import map_batches
 from quillrank.session import materialise
 
-#: Texts of each label that the field is fitted on, those with the lowest text hash.
+#: About so many texts of each label are fitted on: those in the lowest share of text hashes that is expected
+#: to hold that number.
 TRAINING_TEXTS = 1_200
 #: A feature marks toxic tokens if it is in so many toxic texts at least, as a share and a number ...
 MIN_SHARE, MIN_TEXTS = 0.002, 5
@@ -190,8 +191,12 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", texts: in
         return None
     contents: list[list[str]] = []
     labels: list[np.ndarray] = []
+    sizes = {r[toxic]: r["n"] for r in usable.groupBy(toxic).agg(F.count(F.lit(1)).alias("n")).collect()}
     for label in (1, 0):
-        sample = usable.where(F.col(toxic) == label).orderBy("digest").select(text).limit(texts)
+        # the share of all hashes that is expected to hold so many texts; nothing is sorted or gathered
+        share = min(1.0, texts / max(1, sizes.get(label, 0)))
+        limit = -(1 << 63) + int(share * ((1 << 64) - 1))
+        sample = usable.where((F.col(toxic) == label) & (F.col("digest") <= limit)).select(text)
         for row in sample.toLocalIterator():
             words = WORDS.findall(row[0].lower())
             for at in range(0, len(words), STRETCH):
