@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -23,12 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import map_batches
+from quillrank.llm.common import held, map_batches
 
 # Fixed value: the characters with the Unicode property White_Space.
 SPACES = r"\t-\r \x85\xa0  -     　"
 #: Pieces and token pairs that a Python worker remembers of each; beyond it they are emptied.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 
 def default_vocabulary() -> str:
@@ -292,9 +291,8 @@ class EditableText:
         return Prefixes(self.encoder.vocabulary, data)
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(load_ranks(path), pattern)
+    return held(f"encoder {path} {pattern}", lambda: Encoder(load_ranks(path), pattern))
 
 
 def encode(

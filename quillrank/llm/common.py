@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -29,3 +30,24 @@ def map_batches(
     """``mapInArrow`` for functions of this package."""
     let_workers_import(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def hash_limit(wanted: int, there: int) -> int:
+    """The signed 64-bit hash up to which about ``wanted`` of ``there`` evenly spread hashes lie."""
+    share = min(1.0, wanted / max(1, there))
+    return min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+
+
+_held: list = ["", None]
+
+
+def held(name: str, make: Callable[[], object]):
+    """What a Python worker keeps from one batch and task to the next: one thing at a time.
+
+    A worker serves one operator after the other; what the last one kept goes before the next one's is made.
+    """
+    if _held[0] != name:
+        _held[:] = ["", None]
+        gc.collect()
+        _held[:] = [name, make()]
+    return _held[1]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import map_batches
+from quillrank.llm.common import held, map_batches
 from quillrank.operators.grouping import measured_bytes
 
 K1, B = 1.2, 0.75
@@ -45,7 +45,7 @@ BLOCK = 4
 SLACK = 1e-9
 #: Bytes of items that are indexed and broadcast at once; larger item tables are searched in such blocks.
 INDEX_BYTES = 16 * 1024 * 1024
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 WORD = re.compile(r"\w+")
 
 
@@ -256,14 +256,8 @@ def text_matches(text: str | None, index: Index, words: _Words) -> dict[int, tup
     return out
 
 
-_tables: dict[str, _Words] = {}
-
-
 def _worker_words(name: str, index: Index) -> _Words:
-    if name not in _tables:
-        _tables.clear()
-        _tables[name] = _Words(index)
-    return _tables[name]
+    return held(name, lambda: _Words(index))
 
 
 def _shared(df: DataFrame, index: Index):

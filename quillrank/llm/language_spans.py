@@ -6,8 +6,8 @@ log probability from character n-grams of the word, and Viterbi finds the best s
 where each change costs ``SWITCH``. The text's language is the one whose spans hold most letters, its
 score their share of all letters times the mean certainty of those words.
 
-Learned from a sample of labelled texts: per language, at most ``TRAINING_TEXTS`` texts with the lowest
-hash of their text, which bounds the model's training for any input size.
+Learned from a sample of labelled texts: per language, those in the lowest share of text hashes that is
+expected to hold ``TRAINING_TEXTS`` distinct texts, which bounds the model for any input size.
 
 Defined results: a text that is null or has no letters has language ``und``, score 0 and no spans; ties
 go to the language first in alphabetical order; texts are never cut; rows are independent, so repeated
@@ -26,10 +26,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import map_batches
+from quillrank.llm.common import hash_limit, held, map_batches
 
 UNKNOWN = "und"
 TRAINING_TEXTS = 1_000
@@ -37,9 +37,9 @@ NGRAMS = (1, 2, 3, 4)
 #: Cost of a change of language, in the unit of the words' log probabilities.
 SWITCH = 6.0
 #: Word scores that a Python worker remembers; beyond it the memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Texts that Viterbi walks through together.
-TOGETHER = 4096
+TOGETHER = 2048
 
 # First and last code point of the main blocks of scripts.
 SCRIPTS = {
@@ -97,11 +97,10 @@ class LanguageModel:
         return sorted(allowed) or list(range(len(self.languages)))
 
     def score(self, word: str) -> np.ndarray:
-        """Log posterior of the languages given the word alone; minus infinity if not a candidate."""
-        lowered = word.lower()
+        """Log posterior of the languages given the lower-case word alone; minus infinity if not a candidate."""
         get = self.rows.get
-        total = self.weights[[get(gram, len(gram)) for gram in word_ngrams(lowered)]].sum(0) / len(NGRAMS)
-        allowed = self.candidates(lowered)
+        total = self.weights[[get(gram, len(gram)) for gram in word_ngrams(word)]].sum(0) / len(NGRAMS)
+        allowed = self.candidates(word)
         if len(allowed) < len(total):
             barred = np.full(len(total), -np.inf)
             barred[allowed] = total[allowed]
@@ -119,13 +118,11 @@ def fit(df: DataFrame, text: str = "text", language: str = "lang", texts: int =
     labelled = df.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(language).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("digest")
     )
-    # hashes alone are sorted, and cut in each task before the shuffle
-    order = Window.partitionBy("lang").orderBy("digest")
-    lowest = labelled.select("lang", "digest").distinct().withColumn("n", F.row_number().over(order))
-    limits = lowest.where(F.col("n") <= texts).groupBy("lang").agg(F.max("digest").alias("limit")).collect()
+    # the share of all hashes that is expected to hold so many distinct texts; nothing is sorted or gathered
+    counts = labelled.select("lang", "digest").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     within = F.lit(False)
-    for row in limits:  # one row a language
-        within = within | ((F.col("lang") == row["lang"]) & (F.col("digest") <= row["limit"]))
+    for row in counts:  # one row a language
+        within = within | ((F.col("lang") == row["lang"]) & (F.col("digest") <= hash_limit(texts, row["n"])))
     sample = labelled.where(within).dropDuplicates(["lang", "digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +219,7 @@ class _Words(dict):
     def __init__(self, model: LanguageModel) -> None:
         super().__init__()
         self.model = model
-        self.scores = np.zeros((1024, len(model.languages)))
+        self.scores = np.zeros((1024, len(model.languages)), np.float32)
         self.letters = np.zeros(1024, np.int64)
 
     def __missing__(self, word: str) -> int:
@@ -236,17 +233,12 @@ class _Words(dict):
         return row
 
 
-_tables: dict[str, _Words] = {}
-
-
 def _word_table(model: LanguageModel, name: str) -> _Words:
-    """One table for each model and worker."""
-    if name not in _tables:
-        _tables.clear()
-        _tables[name] = _Words(model)
-    elif len(_tables[name]) >= REMEMBERED:
-        _tables[name] = _Words(model)
-    return _tables[name]
+    """One table for each model and worker; a full one is emptied."""
+    table = held(name, lambda: _Words(model))
+    if len(table) >= REMEMBERED:
+        table.clear()
+    return table
 
 
 def label_texts(
@@ -258,8 +250,8 @@ def label_texts(
         return [(UNKNOWN, 0.0, []) for _ in texts]
     rows = []
     for text in texts:
-        words = WORDS.findall(text or "")
-        rows.append(np.fromiter(map(table.__getitem__, words), np.int64, len(words)))
+        words = WORDS.findall((text or "").lower())  # lower case changes no word's place in the order
+        rows.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
     labels = viterbi([table.scores[r] for r in rows], switch)
     out = []
     for text, own, label in zip(texts, rows, labels):

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import let_workers_import, map_batches
+from quillrank.llm.common import held, let_workers_import, map_batches
 from quillrank.operators.grouping import is_small
 from quillrank.session import materialise
 
@@ -71,14 +71,11 @@ class _Words(dict):
         return value
 
 
-_hashes = _Words()
-
-
 def ngram_set(words: list[str], n: int = N) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams."""
     if not words:
         return np.zeros(0, np.uint64)
-    values = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    values = np.fromiter(map(held("word hashes", _Words).__getitem__, words), np.uint64, len(words))
     n = min(n, len(words))
     mixed = np.full(len(words) - n + 1, n, np.uint64)
     for i in range(n):

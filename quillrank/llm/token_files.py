@@ -19,7 +19,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import map_batches
+from quillrank.llm.common import held, map_batches
 from quillrank.operators.grouping import is_small
 
 # Fixed values: (ids in a word, bits of each) by selector; selectors 0 and 1 are runs of zeros.
@@ -199,9 +198,8 @@ class _Words(dict):
         self.pending = []
 
 
-@lru_cache(maxsize=2)
 def _words(path: str) -> _Words:
-    return _Words(path)
+    return held(f"words {path}", lambda: _Words(path))
 
 
 def token_ids(texts: list[str | None], words: _Words, end_id: int) -> list[bytes]:

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import map_batches
+from quillrank.llm.common import hash_limit, held, map_batches
 from quillrank.session import materialise
 
 #: About so many texts of each label are fitted on: those in the lowest share of text hashes that is expected
@@ -40,7 +40,7 @@ STRETCH = 256
 PREFIXES = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 COUNTED = 0.1
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 TOGETHER = 4096
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-3
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -194,8 +194,7 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", texts: in
     sizes = {r[toxic]: r["n"] for r in usable.groupBy(toxic).agg(F.count(F.lit(1)).alias("n")).collect()}
     for label in (1, 0):
         # the share of all hashes that is expected to hold so many texts; nothing is sorted or gathered
-        share = min(1.0, texts / max(1, sizes.get(label, 0)))
-        limit = -(1 << 63) + int(share * ((1 << 64) - 1))
+        limit = hash_limit(texts, sizes.get(label, 0))
         sample = usable.where((F.col(toxic) == label) & (F.col("digest") <= limit)).select(text)
         for row in sample.toLocalIterator():
             words = WORDS.findall(row[0].lower())
@@ -215,21 +214,10 @@ class _Words(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        score = self[word] = self.field.score(word.lower())
+        score = self[word] = self.field.score(word)
         return score
 
 
-_tables: dict[str, _Words] = {}
-
-
-def _word_table(name: str, field: ToxicField) -> _Words:
-    """One table for each field and worker."""
-    if name not in _tables:
-        _tables.clear()
-        _tables[name] = _Words(field)
-    return _tables[name]
-
-
 def text_score(marginals: np.ndarray) -> float:
     if not len(marginals):
         return 0.0
@@ -241,7 +229,7 @@ def tag_texts(texts: list[str | None], table: _Words) -> list[tuple[float, list[
     """Score and spans of each text, as first character and end."""
     rows = []
     for text in texts:
-        words = WORDS.findall(text or "")
+        words = WORDS.findall((text or "").lower())  # lower case changes no word's place in the order
         rows.append(np.fromiter(map(table.__getitem__, words), float, len(words)))
     order = sorted((i for i in range(len(rows)) if len(rows[i])), key=lambda i: -len(rows[i]))
     out: list[tuple[float, list[tuple[int, int]]]] = [(0.0, [])] * len(texts)
@@ -285,7 +273,7 @@ def score_texts(df: DataFrame, field: ToxicField | None, text: str = "text") ->
             else:
                 results = []
                 for at in range(0, batch.num_rows, TOGETHER):
-                    results += tag_texts(batch.column(0).slice(at, TOGETHER).to_pylist(), _word_table(name, shared.value))
+                    results += tag_texts(batch.column(0).slice(at, TOGETHER).to_pylist(), held(name, lambda: _Words(shared.value)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([r[0] for r in results], pa.float64()),
                  pa.array([[{"first": a, "end": b} for a, b in r[1]] for r in results], kind)],
