@@ -302,7 +302,7 @@ def bm25_top_ids(
         fillers = fillers.join(complete, "query_id", "left_anti")
         weights = _with_every_doc(weights, index.n_docs)
 
-    scores = bm25_scores(weights, index, broadcast=is_small(terms, broadcast_bytes))
+    scores = bm25_scores(weights, index, broadcast=is_small(weights, broadcast_bytes))
     matched = top_k_per_group(scores, ["query_id"], order, top_k).drop("rank")
     candidates = (
         matched.unionByName(fillers)

@@ -171,8 +171,9 @@ def _range_sorted_sums(
     inside = (
         Window.partitionBy(*group, "_share").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
     )
+    offsets = F.broadcast(offsets) if is_small(offsets) else offsets
     return (
-        numbered.join(F.broadcast(offsets), [*matches, F.col("_share") == F.col("_key_share")])
+        numbered.join(offsets, [*matches, F.col("_share") == F.col("_key_share")])
         .withColumns({
             name: F.col(f"_base_{name}") + F.sum(f"_add_{name}").over(inside) for name in sums
         })

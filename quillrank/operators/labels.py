@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillrank.functions.text import hash_number, seeded_hash
 from quillrank.operators.bm25 import Bm25Index, bm25_top_ids
-from quillrank.operators.grouping import hashed_order, top_k_per_group
+from quillrank.operators.grouping import hashed_order, skew_join, top_k_per_group
 from quillrank.schemas import require_columns
 from quillrank.session import materialise
 
@@ -32,10 +32,9 @@ def labelled_ids(specs: DataFrame) -> DataFrame:
 
 
 def label_lookup(specs: DataFrame, catalog: DataFrame) -> DataFrame:
-    """The labelled ids with their documents."""
-    return labelled_ids(specs).join(catalog.select("doc_id", "document"), "doc_id").select(
-        "query_id", "query", "doc_id", "document", "relevance"
-    )
+    """The labelled ids with their documents; a document labelled for very many queries is split."""
+    found = skew_join(labelled_ids(specs), catalog.select("doc_id", "document"), ["doc_id"], ["query_id"])
+    return found.select("query_id", "query", "doc_id", "document", "relevance")
 
 
 def unmatched_labels(specs: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -143,12 +142,9 @@ def build_training_set(
         .unionByName(hard.withColumn("relevance", F.lit(NEGATIVE)))
         .unionByName(random.withColumn("relevance", F.lit(NEGATIVE)))
     )
-    return (
-        dedup_max_relevance(ids)
-        .join(catalog.select("doc_id", "document"), "doc_id")
-        .join(queries, "query_id")
-        .select("query_id", "query", "doc_id", "document", "relevance")
-    )
+    best = materialise(dedup_max_relevance(ids), "training-ids")
+    found = skew_join(best, catalog.select("doc_id", "document"), ["doc_id"], ["query_id"])
+    return found.join(queries, "query_id").select("query_id", "query", "doc_id", "document", "relevance")
 
 
 # --------------------------------------------------------------------------- splits and caps

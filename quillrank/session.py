@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +42,7 @@ def work_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="quillrank-")
         spark.conf.set(CHECKPOINT_CONF, folder)
@@ -51,7 +54,31 @@ def work_folder(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the work folder, in a folder of this application's own."""
     application = spark.sparkContext.applicationId
-    return f"{work_folder(spark).rstrip('/')}/quillrank/{application}/{name}-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark).rstrip('/')}/quillrank/{application}/{name}-{uuid.uuid4().hex}"
+    for made in getattr(_scopes, "open", []):
+        made.append(path)
+    return path
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Remove the working tables that this thread makes inside, once the block is done.
+
+    What is read from them must be written elsewhere before the block ends.
+    """
+    made: list[str] = []
+    _scopes.open = [*getattr(_scopes, "open", []), made]
+    try:
+        yield
+    finally:
+        _scopes.open = _scopes.open[:-1]
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(configuration).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -13,6 +13,8 @@ from quillrank.operators.judgements import MAX_NEGATIVES, build_judgements
 from quillrank.operators.ranker import Ranker
 from quillrank.plans.search import search
 from quillrank.schemas import NESTED_RECORDS, QUERIES
+from quillrank.session import discarding
+from quillrank.sources.tables import ROWS_PER_SHARD
 
 
 def stream_judgements(
@@ -22,9 +24,12 @@ def stream_judgements(
     checkpoint: str,
     max_negatives: int = MAX_NEGATIVES,
     max_files_per_trigger: int = 1000,
+    rows_per_shard: int = ROWS_PER_SHARD,
 ) -> StreamingQuery:
     """Turn nested records arriving as Parquet files into judgement shards, each exactly once.
 
+    No file holds more than ``rows_per_shard`` rows.
+
     The plan is the batch one and keeps no state. Processes what is there and stops; started again
     with the same checkpoint it goes on with newer files.
     """
@@ -37,6 +42,7 @@ def stream_judgements(
         build_judgements(records, max_negatives)
         .writeStream.format("parquet")
         .option("compression", "zstd")
+        .option("maxRecordsPerFile", rows_per_shard)
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
@@ -55,7 +61,8 @@ def stream_queries(
 ) -> StreamingQuery:
     """Answer queries ``(query_id, query)`` arriving as Parquet files, one job per micro-batch.
 
-    A batch overwrites its own ``batch_id`` folder, so repeating it after a failure adds nothing.
+    A batch overwrites its own ``batch_id`` folder, so repeating it after a failure adds nothing. Its working
+    tables are removed once its answers are written.
     """
     queries = (
         spark.readStream.schema(QUERIES)
@@ -65,7 +72,8 @@ def stream_queries(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        answer(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        with discarding(batch.sparkSession):
+            answer(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
         batch.unpersist()
 
     return (

@@ -1,4 +1,5 @@
 import json
+import pathlib
 
 import pytest
 from conftest import rows_of
@@ -11,6 +12,7 @@ from quillrank.operators.tfidf import load_terms
 from quillrank.plans import search as searching
 from quillrank.plans import training
 from quillrank.schemas import CATALOG, JUDGEMENT_SHARD, NESTED_RECORDS, QUERIES
+from quillrank.session import new_work_path
 from quillrank.sources import tables
 from quillrank.streaming import jobs
 
@@ -185,6 +187,9 @@ def test_query_stream_equals_batch(spark, queries, catalog_index, run, tmp_path)
 
     stage_one = answers("retrieved", jobs.retrieval(catalog_index, 4))
     assert rows_of(stage_one, "query_id", "rank") == rows_of(bm25_retrieve(queries, catalog_index, 4), "query_id", "rank")
+    folder = pathlib.Path(new_work_path(spark, "x")).parent
+    before = set(folder.iterdir())
     full = answers("searched", jobs.two_stage(catalog_index, run.ranker, run.data.terms, 4))
+    assert set(folder.iterdir()) == before  # batches leave no working tables
     batch = searching.search(queries, catalog_index, run.ranker, run.data.terms, 4)
     assert rows_of(full, "query_id", "rank") == rows_of(batch, "query_id", "rank")
