@@ -449,7 +449,8 @@ def train_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rank_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, _ = _large(spark, sf_dir)
     nested = tables.read_nested(spark, _nested(spark, sf_dir))
-    return searching.rank_record(nested, run.ranker, run.data.terms, oracle.TOP_K)
+    ranked = searching.rank_record(nested, run.ranker, run.data.terms, oracle.TOP_K)
+    return ranked.select("query_id", "query", "document", "bm25_score")
 
 
 def stream_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:

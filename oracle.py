@@ -357,6 +357,12 @@ def statements() -> dict[str, str]:
         "rerank": found(TEXT),
         "search": found(TEXT),
         "stream_search_two_stage": found(TEXT),
+        "rank_record": sql(
+            GROUPED,
+            f"""SELECT query_id, query, document, bm25_score FROM (
+                  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY bm25_score DESC, rank) AS place
+                  FROM scored) WHERE place <= {TOP_K}""",
+        ),
         "rank_documents": sql(JUDGED, "SELECT query_id, query, document FROM j"),
         "ablation": f"SELECT * FROM (VALUES {named_features(', ')}) AS v(experiment, features)",
         "experiment_log": f"""SELECT experiment_name, features,
