@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_AT_ONCE = 2_000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -27,8 +29,16 @@ def let_workers_import(spark: SparkSession) -> None:
 def map_batches(
     df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
-    """``mapInArrow`` for functions of this package."""
-    let_workers_import(df.sparkSession)
+    """``mapInArrow`` for functions of this package, in batches of at most ``ROWS_AT_ONCE`` rows.
+
+    Batches bound what an executor holds outside its heap and what a worker turns into Python objects; the
+    session's setting is lowered to this, never raised.
+    """
+    session = df.sparkSession
+    let_workers_import(session)
+    now = int(session.conf.get(BATCH_CONF, "10000"))
+    if not 0 < now <= ROWS_AT_ONCE:
+        session.conf.set(BATCH_CONF, ROWS_AT_ONCE)
     return df.mapInArrow(run, schema)
 
 
@@ -49,5 +59,6 @@ def held(name: str, make: Callable[[], object]):
     if _held[0] != name:
         _held[:] = ["", None]
         gc.collect()
+        pa.default_memory_pool().release_unused()
         _held[:] = [name, make()]
     return _held[1]
