@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import held, map_batches
+from quillrank.llm.common import give_back, held, map_batches
 
 # Fixed value: the characters with the Unicode property White_Space.
 SPACES = r"\t-\r \x85\xa0  -     　"
@@ -133,6 +133,9 @@ class Vocabulary:
         self._pairs[left << 32 | right] = apart
         return apart
 
+    def forget_pairs(self) -> None:
+        self._pairs.clear()
+
     def extend(self, last: list[int], data: bytes) -> None:
         """Add to ``last``, which holds the last token of some prefixes of ``data``, that of all others.
 
@@ -217,6 +220,11 @@ class Encoder:
     def encode(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(map(self.pieces.__getitem__, self.splitter.findall(text or ""))))
 
+    def forget(self) -> None:
+        """Drop the remembered pieces and pairs; the vocabulary stays."""
+        self.pieces.clear()
+        self.vocabulary.forget_pairs()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
@@ -342,6 +350,8 @@ def token_digests(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(decoded_digests)],
                 ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        encoder.forget()
+        give_back()
 
     kind = kept.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"

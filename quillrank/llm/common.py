@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterator
@@ -62,3 +63,17 @@ def held(name: str, make: Callable[[], object]):
         pa.default_memory_pool().release_unused()
         _held[:] = [name, make()]
     return _held[1]
+
+
+def give_back(name: str = "") -> None:
+    """Drop what is held under ``name`` and return free memory to the system, at the end of a task.
+
+    Workers stay for the tasks of later operators, which need the room.
+    """
+    if name and _held[0] == name:
+        _held[:] = ["", None]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import held, map_batches
+from quillrank.llm.common import give_back, held, map_batches
 from quillrank.operators.grouping import measured_bytes
 
 K1, B = 1.2, 0.75
@@ -313,6 +313,7 @@ def clean(
             for batch in batches:
                 keep = [not text_matches(content, shared.value, words) for content in batch.column(place).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
+            give_back(name)
 
         df = map_batches(df, run, df.schema)
     return df

@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import hash_limit, held, map_batches
+from quillrank.llm.common import give_back, hash_limit, held, map_batches
 
 UNKNOWN = "und"
 TRAINING_TEXTS = 1_000
@@ -305,6 +305,7 @@ def identify(
                 kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
                 columns.append(pa.array([[dict(zip(("first", "end", "lang"), s)) for s in r[2]] for r in results], kind))
             yield pa.RecordBatch.from_arrays(columns, names)
+        give_back(name)
 
     return map_batches(kept, run, schema)
 
@@ -327,5 +328,6 @@ def accept(
                 part = part.set_column(labelled, part.schema.field(labelled), pa.array(filled, part.schema.field(labelled).type))
                 keep = [lang != UNKNOWN and score >= min_score for lang, score, _ in results]
                 yield part.filter(pa.array(keep, pa.bool_()))
+        give_back(name)
 
     return map_batches(df, run, df.schema)

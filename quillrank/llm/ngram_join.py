@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.common import held, let_workers_import, map_batches
+from quillrank.llm.common import give_back, held, let_workers_import, map_batches
 from quillrank.operators.grouping import is_small
 from quillrank.session import materialise
 
@@ -133,6 +133,7 @@ def signatures(df: DataFrame, key: str, text: str, n: int, bands: int, rows: int
                 [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))],
                 ["key", "raw", "digest", "bands"],
             )
+        give_back("word hashes")
 
     return map_batches(kept, run, f"key {kind}, raw string, digest binary, bands array<long>")
 
