@@ -391,7 +391,8 @@ def train_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("query_id", "doc_id", "relevance", "bm25_score")
 
 
-# What a model's score decides is checked by pytest; the queries below return what SQL can state too.
+# What a model's score decides is checked by pytest. The queries below compute and store it, and return what
+# SQL can state too; their rows come in the order of the model.
 
 
 def ndcg_at_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,26 +400,46 @@ def ndcg_at_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.ndcg_at_ranks(scored, training.LARGE_EVAL_AT)
 
 
-def rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ordered(ranked: DataFrame, name: str) -> DataFrame:
+    """The whole result with rank and score, stored before it is projected, in the order of the ranks.
+
+    Without the stored table Spark would prune the model from a projection that leaves its columns out.
+    """
+    return materialise(ranked, name).orderBy("query_id", "rank")
+
+
+def _reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
     candidates = materialise(bm25_topk(spark, sf_dir), "candidates")
-    return searching.rerank(candidates, run.ranker, run.data.terms).select(*FOUND)
+    return _ordered(searching.rerank(candidates, run.ranker, run.data.terms), "reranked")
 
 
-def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reranked(spark, sf_dir).select(*FOUND)
+
+
+def _searched(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
-    return searching.search(
+    found = searching.search(
         _queries(spark, sf_dir), _index(spark, sf_dir), run.ranker, run.data.terms, oracle.TOP_K
-    ).select(*FOUND)
+    )
+    return _ordered(found, "searched")
 
 
-def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _searched(spark, sf_dir).select(*FOUND)
+
+
+def _ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
     requests = tables.read_nested(spark, _nested(spark, sf_dir)).select(
         "query_id", "query", F.col("passages.passage_text").alias("documents")
     )
-    ranked = searching.rank_documents(requests, run.ranker, run.data.terms)
-    return ranked.select("query_id", "query", "document")
+    return _ordered(searching.rank_documents(requests, run.ranker, run.data.terms), "ranked-documents")
+
+
+def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked_documents(spark, sf_dir).select("query_id", "query", "document")
 
 
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,14 +464,18 @@ def experiment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _large(spark, sf_dir)[1].select(*[F.col(c).cast("long").alias(c) for c in ("rows_train", "rows_test")])
+    report = materialise(_large(spark, sf_dir)[1], "large-report")  # with NDCG, MRR and MAP of both scores
+    return report.select(*[F.col(c).cast("long").alias(c) for c in ("rows_train", "rows_test")])
 
 
-def rank_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ranked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, _ = _large(spark, sf_dir)
     nested = tables.read_nested(spark, _nested(spark, sf_dir))
-    ranked = searching.rank_record(nested, run.ranker, run.data.terms, oracle.TOP_K)
-    return ranked.select("query_id", "query", "document", "bm25_score")
+    return _ordered(searching.rank_record(nested, run.ranker, run.data.terms, oracle.TOP_K), "ranked-records")
+
+
+def rank_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked_records(spark, sf_dir).select("query_id", "query", "document", "bm25_score")
 
 
 def stream_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,8 +516,8 @@ def stream_search_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Two-stage search for every benchmark passage over all documents."""
-    return search(spark, SMALL)
+    """Two-stage search for every benchmark passage over all documents, with rank and model score."""
+    return _searched(spark, SMALL)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
