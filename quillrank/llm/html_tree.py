@@ -8,7 +8,8 @@ half or more. The potentials are fitted by gradient ascent on labelled pages, wh
 lays out by rule, as the tables hold none: the usual parts of pages in many orders and markups.
 
 Defined results: a null or empty page, or one without content, gives an empty text; broken or cut markup is
-read as far as it goes: unknown and unclosed elements end with their parent; pages are read whole;
+read as far as it goes: unknown and unclosed elements end with their parent, left-out ones at the next block if
+that comes first, and a head where the body begins; text outside every block belongs to the page; pages are read whole;
 rows are independent, so repeated rows and further columns do not matter; an empty table gives an empty table.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -48,6 +50,10 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-label|data-main)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 NAME = re.compile(r"[a-z]+")
+#: End tags of elements whose inside is text up to there; a title's only in the head.
+RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in ("script", "style", "textarea", "title")}
+END_TAG = re.compile(r"</([a-zA-Z][^\s/>]*)")
+IN_HEAD = frozenset("html head title meta link base style script noscript template".split())
 SPACE = re.compile(r"\s+")
 
 
@@ -63,16 +69,90 @@ class Node:
     stops: int = 0
 
 
+def tokens(html: str) -> Iterator[re.Match | None]:
+    """Tokens of a page without the inside of scripts and the like; None stands before what follows such an inside.
+
+    A raw element ends with its end tag only, whatever it holds; without one, a script or style sheet ends with
+    an element that it stands in, and the text of the others is read as mark-up.
+    """
+    at, missing, opened, in_head = 0, set(), Counter(), False
+    while at < len(html):
+        match = TOKEN.match(html, at)
+        at = match.end()
+        yield match
+        if match.group(2) is None:
+            continue
+        name, closing = match.group(2).lower(), match.group(1)
+        if name == "head":
+            in_head = not closing
+        elif name in BLOCKS and name != "html":
+            in_head = False
+        if name in BLOCKS or name == "head":
+            opened[name] = max(0, opened[name] - 1) if closing else opened[name] + 1
+        if closing or name not in RAW or (name == "title" and not in_head):
+            continue
+        end = None if name in missing else RAW[name].search(html, at)
+        if end:
+            at = end.end()
+            yield None
+            continue
+        missing.add(name)  # nor is there one further on
+        if name not in ("script", "style"):
+            continue
+        at = next((m.start() for m in END_TAG.finditer(html, at) if opened[m.group(1).lower()]), len(html))
+        yield None
+
+
+def skips(found: list[re.Match | None]) -> dict[int, int]:
+    """Token after each skipped element that has its end tag within its parent, by the place of its start."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    open_now: Counter = Counter()
+    for i, match in enumerate(found):
+        if match is None or match.group(2) is None:
+            continue
+        name = match.group(2).lower()
+        if name in VOID or not (name in BLOCKS or name in SKIPPED) or name == "head":
+            continue
+        if not match.group(1):
+            if i + 1 < len(found) and found[i + 1] is None:  # its inside is left out already
+                ends[i] = i + 2
+            elif name in BLOCKS or not match.group(3).endswith("/"):
+                stack.append((name, i))
+                open_now[name] += 1
+        elif open_now[name]:
+            while True:
+                last, start = stack.pop()
+                open_now[last] -= 1
+                if last == name:
+                    break
+            if name in SKIPPED:
+                ends[start] = i + 1
+    return ends
+
+
 def parse(html: str) -> list[Node]:
-    """Block elements in page order, parents first; node 0 is the page."""
+    """Block elements in page order, parents first; node 0 is the page.
+
+    A skipped element without an end tag in its parent ends at the next block or with its parent, the head also
+    at whatever cannot be in one.
+    """
     nodes = [Node("page")]
     stack = [0]
-    place, links, skipping = 0, 0, ""
-    for match in TOKEN.finditer(html):
+    place, links, skipping, beyond = 0, 0, "", 0
+    found = list(tokens(html))
+    ends = skips(found)
+    for i, match in enumerate(found):
+        if match is None or i < beyond:
+            continue
         name = match.group(2)
         if name is None:
             raw = match.group()
-            if skipping or raw[:2] in ("<!", "<?"):
+            if raw[:2] in ("<!", "<?"):
+                continue
+            if skipping == "head" and not raw.isspace():
+                skipping = ""
+            if skipping:
                 continue
             text = unescape(raw)
             node = nodes[stack[-1]]
@@ -84,13 +164,22 @@ def parse(html: str) -> list[Node]:
                 node.linked += bare
             continue
         name, closing = name.lower(), match.group(1)
-        if skipping:
-            if closing and name == skipping:
+        if skipping == "head":
+            if name == "title" and not closing:
+                if i + 1 == len(found) or found[i + 1] is not None:
+                    skipping = name
+                continue
+            if name not in IN_HEAD or (name == "head" and closing):
                 skipping = ""
-            continue
+        elif skipping and (name in BLOCKS or (closing and name == skipping)):
+            skipping = ""
         if name in SKIPPED:
-            if not closing and not match.group(3).endswith("/"):
+            if not closing and i in ends:
+                beyond = ends[i]
+            elif not closing and not skipping and not match.group(3).endswith("/"):
                 skipping = name
+        elif skipping:
+            continue
         elif name == "a":
             links = 0 if closing else 1
         elif name == "br" or name in VOID:
@@ -357,7 +446,7 @@ def extract(html: str | None, model: TreeModel) -> str:
     """Blocks of the main text, joined by an empty line."""
     nodes = parse(html or "")
     keep = model.marginals(nodes, node_features(nodes))
-    pieces = [(place, text) for node, p in zip(nodes, keep) if p >= 0.5 and node.tag != "page" for place, text in node.texts]
+    pieces = [(place, text) for node, p in zip(nodes, keep) if p >= 0.5 for place, text in node.texts]
     blocks: dict[int, list[str]] = {}
     for place, text in pieces:
         blocks.setdefault(place, []).append(text)
