@@ -2,7 +2,7 @@
 
 Labelled tokens come from labelled texts: a word of a toxic text is a toxic token if one of its features
 (the word, its first three to six letters) stands in enough toxic and hardly any clean texts. These
-counts cover every labelled text. The field is fitted by gradient ascent on a bounded sample of texts
+counts cover every labelled text, near copies as one. The field is fitted by gradient ascent on a bounded sample of texts
 with their token labels; forward-backward gives each word's marginal. Words with a marginal of one half
 or more form the offending spans. The score of a text is the chance that at least one of the words with a
 marginal of ``COUNTED`` or more is toxic, or the largest marginal if no word reaches that.
@@ -35,6 +35,10 @@ MIN_SHARE, MIN_TEXTS = 0.002, 5
 #: ... and if so large a share of the texts that hold it are toxic, both labels weighing the same and
 #: one clean text added, so that a few chance hits do not do.
 PURITY = 0.98
+#: Near copies count as one text: those that share one of so many smallest hashes of word n-grams.
+SKETCHES, NGRAM = 6, 5
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_SALTS = np.array([crc32(b"%d" % i) << 32 | crc32(b"salt %d" % i) for i in range(SKETCHES)], np.uint64)
 #: The field is fitted on stretches of so many words; every word of a training text is in one.
 STRETCH = 256
 PREFIXES = (3, 4, 5, 6)
@@ -136,30 +140,71 @@ def fit_field(texts: list[list[str]], labels: list[np.ndarray], rounds: int = RO
     return ToxicField(weights.astype(np.float32), float(bias), changes)
 
 
+def sketch(words: list[str], known: dict[str, int]) -> list[int]:
+    """Smallest hashes of the text's word n-grams under ``SKETCHES`` hash functions; near copies share some."""
+    if len(known) >= REMEMBERED:
+        known.clear()
+    ids = []
+    for word in words:
+        at = known.get(word)
+        if at is None:
+            at = known[word] = crc32(word.encode())
+        ids.append(at)
+    n = max(1, min(NGRAM, len(ids)))
+    hashed = np.array(ids or [0], np.uint64)
+    grams = np.zeros(len(hashed) - n + 1, np.uint64)
+    for i in range(n):
+        grams = (grams * _MIX + hashed[i : i + len(grams)]) * _MIX
+        grams ^= grams >> np.uint64(29)
+    mixed = (grams[:, None] ^ _SALTS) * _MIX
+    mixed ^= mixed >> np.uint64(32)
+    return (mixed * _MIX).min(0).view(np.int64).tolist()
+
+
+def one_a_class(rows: DataFrame) -> DataFrame:
+    """``rows(text, toxic)`` with one text of each class of near copies of a label.
+
+    Of the texts that share one of the sketch's hashes the one with the smallest digest stays, hash by hash.
+    Each step adds up by key, so that a huge class does not meet in one task.
+    """
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            made = [sketch(WORDS.findall(text.lower()), known) for text in batch.column(2).to_pylist()]
+            columns = [pa.array([each[i] for each in made], pa.int64()) for i in range(SKETCHES)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names)
+
+    names = ["digest", "toxic", *[f"h{i}" for i in range(SKETCHES)]]
+    schema = ", ".join(["digest long", "toxic boolean", *[f"{name} long" for name in names[2:]]])
+    kept = map_batches(rows.select("digest", "toxic", "text"), run, schema)
+    for i in range(SKETCHES):
+        first = F.min(F.struct(*[name for name in names if name not in ("toxic", f"h{i}")])).alias("first")
+        kept = kept.groupBy("toxic", f"h{i}").agg(first).select("toxic", f"h{i}", "first.*")
+    return rows.join(kept.select("digest", "toxic"), ["digest", "toxic"], "left_semi").select("text", "toxic")
+
+
 def token_marks(labelled: DataFrame, text: str, toxic: str) -> set[str]:
     """Features that mark toxic tokens, counted over all labelled texts.
 
-    In toxic texts a feature counts once for each word it follows, so that the words of a text with many
-    near copies, which always follow the same, do not pass for toxic. Each task counts its own texts
-    first. At most ``features of a text / MIN_SHARE`` reach the driver.
+    Texts are counted on both sides, near copies of a label as one, so that the words of a text with many
+    near copies do not pass for toxic and the rule is the same for any number of texts. Each task counts its
+    own texts first. At most ``features of a text / MIN_SHARE`` reach the driver.
     """
     rows = labelled.select(F.col(text).alias("text"), (F.col(toxic) == 1).alias("toxic"))
+    rows = materialise(one_a_class(rows), "text-classes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, int], int] = {}
+            counts: dict[str, list[int]] = {}
             for content, bad in zip(*(column.to_pylist() for column in batch.columns)):
-                words = WORDS.findall(content.lower())
-                if bad:
-                    after = {word: crc32(left.encode()) for left, word in zip(["", *words], words)}
-                else:
-                    after = dict.fromkeys(words, -1)
-                for place in {(f, left) for word, left in after.items() for f in features(word)}:
-                    counts[place] = counts.get(place, 0) + 1
+                for feature in {f for word in set(WORDS.findall(content.lower())) for f in features(word)}:
+                    counts.setdefault(feature, [0, 0])[bad] += 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in counts], pa.string()), pa.array([left for _, left in counts], pa.int64()),
-                 pa.array(counts.values(), pa.int64())],
-                ["feature", "left", "n"],
+                [pa.array(counts, pa.string()), pa.array([n for n, _ in counts.values()], pa.int64()),
+                 pa.array([n for _, n in counts.values()], pa.int64())],
+                ["feature", "clean", "toxic"],
             )
 
     sizes = {bool(r["toxic"]): r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -167,14 +212,9 @@ def token_marks(labelled: DataFrame, text: str, toxic: str) -> set[str]:
     if not clean or not bad:
         return set()
     counted = (
-        map_batches(rows, run, "feature string, left long, n long")
-        .groupBy("feature", "left")
-        .agg(F.sum("n").alias("n"))
+        map_batches(rows, run, "feature string, clean long, toxic long")
         .groupBy("feature")
-        .agg(
-            F.sum(F.when(F.col("left") < 0, F.col("n")).otherwise(0)).alias("clean"),
-            F.sum(F.when(F.col("left") >= 0, 1).otherwise(0)).alias("toxic"),
-        )
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(F.col("toxic") >= max(MIN_TEXTS, MIN_SHARE * bad))
         .where(F.col("toxic") / bad >= PURITY * (F.col("toxic") / bad + (F.col("clean") + 1) / clean))
     )
