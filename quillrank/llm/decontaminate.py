@@ -4,8 +4,8 @@ The items are indexed, every passage of every training text is a query. A term's
 its BM25 share of the item's own full score, so a passage that holds all of an item's terms scores 1.
 Blocks of items whose highest impacts cannot sum to ``THRESHOLD`` are skipped; in the others WAND walks the
 postings in item order, from one pivot that can reach it to the next. All items at or above it are retrieved. A retrieved item counts if
-the passage holds enough word n-grams of its question and of its answer. A benchmark row without separate
-answer takes its last fifth of words, one at least, as the answer.
+the passage holds enough word n-grams of its question and of its answer; of short ones, words in order do too.
+A benchmark row without separate answer is verified as one whole.
 
 Passages are windows of three times as many words as the longest item has, twice as many words apart, so
 that any item's text fits one window whole; nothing is cut or skipped.
@@ -23,7 +23,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,8 @@ THRESHOLD = 0.5
 #: Shares of the question's and the answer's n-grams that a passage must hold.
 QUESTION, ANSWER = 0.6, 0.5
 NGRAM = 5
+#: Parts of fewer words are also verified by their words in order.
+SHORT = 4 * NGRAM
 #: Items of a block.
 BLOCK = 4
 #: Rounding error allowed for in comparing sums of impacts with the threshold.
@@ -140,11 +142,7 @@ def build_index(rows: list[tuple[object, str, str | None]], n: int, mean: float,
     """``rows`` are (key, question or whole text, answer or None); ``n``, ``mean``, ``df`` are of all items."""
     items = []
     for key, question, answer in rows:
-        asked, replied = words_of(question), words_of(answer)
-        if answer is None and asked:
-            cut = len(asked) - max(1, len(asked) // 5)
-            asked, replied = asked[:cut], asked[cut:]
-        items.append(Item(key, asked, replied))
+        items.append(Item(key, words_of(question), words_of(answer)))
     items.sort(key=lambda item: len(item.question) + len(item.answer))
     terms: dict[str, int] = {}
     lists: list[list[tuple[int, float]]] = []
@@ -221,6 +219,41 @@ def _share(part: list[str], passage: list[str], n: int) -> float:
     return sum(gram in held for gram in wanted) / len(wanted)
 
 
+def _ordered(part: list[str], passage: list[str]) -> float:
+    """Share of the words of ``part`` that a stretch of the passage about as long holds in the same order."""
+    n = len(part)
+    places: dict[str, int] = {}
+    for i, word in enumerate(part):
+        places[word] = places.get(word, 0) | 1 << i
+    own = [places.get(word, 0) for word in passage]
+    width = n + max(1, n // NGRAM)
+    seen = [0, *accumulate(map(bool, own))]
+    best, whole = 0, (1 << n) - 1
+    for start, bits in enumerate(own):
+        if not bits or seen[min(len(own), start + width)] - seen[start] <= best:
+            continue
+        row = whole  # bit-parallel longest common subsequence; its zeros are the words met
+        for each in own[start : start + width]:
+            met = row & each
+            row = ((row + met) | (row - met)) & whole
+        best = max(best, n - row.bit_count())
+    return best / n
+
+
+def _held_share(part: list[str], passage: list[str]) -> float:
+    """Share of the part's n-grams that the passage holds, or of its words in order if the part is short.
+
+    One changed word takes ``NGRAM`` n-grams, too much of a short part. Words in order count from ``QUESTION`` on,
+    and for three words at least.
+    """
+    share = _share(part, passage, NGRAM)
+    if share < 1.0 and 3 <= len(part) < SHORT:
+        ordered = _ordered(part, passage)
+        if ordered >= QUESTION:
+            return max(share, ordered)
+    return share
+
+
 class _Words(dict):
     """Term numbers of the words in each stretch without white space, -1 for a word outside the index."""
 
@@ -250,7 +283,7 @@ def text_matches(text: str | None, index: Index, words: _Words) -> dict[int, tup
                 spelled = words_of(text)
             passage = spelled[start : start + 3 * index.step]
             item = index.items[number]
-            asked, replied = _share(item.question, passage, NGRAM), _share(item.answer, passage, NGRAM)
+            asked, replied = _held_share(item.question, passage), _held_share(item.answer, passage)
             if asked >= QUESTION and replied >= ANSWER and (score, asked, replied) > out.get(number, (0.0, 0.0, 0.0)):
                 out[number] = (score, asked, replied)
     return out
