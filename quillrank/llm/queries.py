@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 from quillrank.llm import (
     byte_bpe,
     decontaminate,
+    heap_clusters,
     html_tree,
     language_spans,
     line_chunks,
+    merkle_manifest,
     ngram_join,
+    nn_descent,
     quality_ledger,
     sharding,
     token_files,
     toxic_spans,
 )
 from quillrank.operators.grouping import is_small
-from quillrank.session import new_work_path
+from quillrank.session import materialise, new_work_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +99,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth id, by greedy search in a neighbour graph of all vectors."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nn_descent.search(nn_descent.build(vectors), vectors.where(F.col("vec_id") % 100 == 0), top_k=10)
+
+
+def op12_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after five rounds of exact k-means, with distances and centroid digests."""
+    vectors = heap_clusters.whole_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    assigned, heaps = heap_clusters.cluster(materialise(vectors, "whole-vectors"))
+    found = heap_clusters.with_inertia(assigned, heaps)
+    return found.withColumn("vec_id", F.col("vec_id").cast("long"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether what it claims folds to the root."""
+    found = merkle_manifest.document_proofs(_table(spark, sf_dir, "documents"), _fold(7) == 0)
+    return found.withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_extendible_shards": op1_extendible_shards,
@@ -108,6 +131,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_ledger": op8_quality_ledger,
         "op9_toxic_spans": op9_toxic_spans,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_nn_descent": op11_nn_descent,
+        "op12_heap_clusters": op12_heap_clusters,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
@@ -230,10 +256,105 @@ def _join_sql() -> str:
     """
 
 
+def _cluster_sql() -> str:
+    """Every round compares every vector with every centroid."""
+    k, size, scale = heap_clusters.CLUSTERS, heap_clusters.DIMENSIONS, heap_clusters.SCALE
+    ctes = [f"""
+    whole AS (
+      SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda c: floor(c::DOUBLE * {scale})::BIGINT) AS x
+      FROM embeddings
+      WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda c: isfinite(c))) = {size}),
+    c0 AS (
+      SELECT (row_number() OVER (ORDER BY h, x) - 1)::INTEGER AS j, x AS c
+      FROM (SELECT x, sha256('{heap_clusters.SEED}:' || coalesce(vec_id::VARCHAR, 'null')) AS h FROM whole)
+      ORDER BY h, x LIMIT {k})"""]
+    for step in range(heap_clusters.ROUNDS + 1):
+        ctes.append(f"""
+    d{step} AS (
+      SELECT r, j, list_sum(list_transform(range(1, {size + 1}), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d
+      FROM whole, c{step}),
+    a{step} AS (SELECT r, j, d FROM d{step} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1)""")
+        if step < heap_clusters.ROUNDS:
+            ctes.append(f"""
+    s{step} AS (
+      SELECT j, i, sum(v) AS s, count(*) AS n
+      FROM (SELECT j, unnest(x) AS v, unnest(range(1, {size + 1})) AS i FROM a{step} JOIN whole USING (r)) GROUP BY ALL),
+    m{step} AS (SELECT j, list((s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END)::BIGINT ORDER BY i) AS c FROM s{step} GROUP BY j),
+    c{step + 1} AS (SELECT c{step}.j, coalesce(m{step}.c, c{step}.c) AS c FROM c{step} LEFT JOIN m{step} USING (j))""")
+    last = heap_clusters.ROUNDS
+    return f"""
+    WITH {",".join(ctes)}
+    SELECT vec_id, j AS cluster, d AS distance, (sum(d) OVER (PARTITION BY j))::BIGINT AS cluster_inertia,
+      (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{last} JOIN whole USING (r) JOIN c{last} USING (j)
+    """
+
+
+def _merkle_sql() -> str:
+    """Levels by recursion; the CRC-32 that marks claimed rows from its table of 256 remainders."""
+
+    def leaf(n_chars: str) -> str:
+        values = ["doc_id::VARCHAR", "source", "lang", n_chars, "text"]
+        parts = [f"coalesce(strlen({v})::VARCHAR || ':' || {v}, '-')" for v in values]
+        return f"sha256({' || '.join(parts)})"
+
+    steps, crc = [], "n"
+    for step in range(8):
+        steps.append(f"b{step} AS (SELECT i, xor({crc} >> 1, 3988292384 * ({crc} & 1)) AS n FROM {f'b{step - 1}' if step else 'seed'})")
+    return f"""
+    WITH RECURSIVE seed AS (SELECT i, i AS n FROM (SELECT unnest(range(256)) AS i)),
+    {", ".join(steps)},
+    remainders AS (SELECT list(n ORDER BY i) AS t FROM b7),
+    coded AS (
+      SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS g, {leaf("n_chars::VARCHAR")} AS leaf,
+        {leaf("(n_chars::HUGEINT + 1)::VARCHAR")} AS claim, n_chars,
+        xor(list_reduce(
+          list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+          lambda crc, c: xor(crc >> 8, t[(xor(crc, c) & 255) + 1])), 4294967295) AS crc
+      FROM documents, remainders),
+    leaves AS (
+      SELECT r, doc_id, g, leaf, CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN claim ELSE leaf END AS claimed,
+        row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n
+      FROM coded),
+    tree AS (
+      SELECT g, 0 AS level, pos, n, leaf AS h FROM leaves
+      UNION ALL
+      SELECT g, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+      FROM tree WHERE n > 1 GROUP BY g, level, pos // 2, n),
+    subroots AS (
+      SELECT g, h AS subroot, level AS height, row_number() OVER (ORDER BY g) - 1 AS place, count(*) OVER () AS groups
+      FROM tree WHERE n = 1),
+    crown AS (
+      SELECT 0 AS level, place AS pos, groups AS n, subroot AS h FROM subroots
+      UNION ALL
+      SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+      FROM crown WHERE n > 1 GROUP BY level, pos // 2, n),
+    top AS (SELECT h AS root, level AS rise FROM crown WHERE n = 1),
+    ways AS (
+      SELECT r, g, claimed, pos, place, height, rise, 0 AS level, claimed AS folded, '' AS proof
+      FROM leaves JOIN subroots USING (g), top
+      UNION ALL
+      SELECT r, w.g, claimed, w.pos, place, height, rise, w.level + 1,
+        sha256(CASE WHEN spot % 2 = 1 THEN s || folded ELSE folded || s END), proof || s
+      FROM (
+        SELECT w.*, CASE WHEN w.level < height THEN w.pos >> w.level ELSE place >> (w.level - height) END AS spot,
+          coalesce(t.h, c.h, '') AS s
+        FROM ways w
+        LEFT JOIN tree t ON w.level < height AND t.g = w.g AND t.level = w.level AND t.pos = xor(w.pos >> w.level, 1)
+        LEFT JOIN crown c ON w.level >= height AND c.level = w.level - height AND c.pos = xor(place >> (w.level - height), 1)
+        WHERE w.level < height + rise) w)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM ways JOIN leaves USING (r) JOIN subroots ON subroots.g = leaves.g, top WHERE ways.level = ways.height + ways.rise
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_extendible_shards": _shard_sql(),
         "op3_line_chunks": _line_sql(),
         "op4_ngram_join": _join_sql(),
         "op8_quality_ledger": _quality_sql(),
+        "op12_heap_clusters": _cluster_sql(),
+        "op13_merkle_manifest": _merkle_sql(),
     }
