@@ -34,13 +34,13 @@ from quillrank.llm.common import hash_limit, map_batches
 from quillrank.operators.grouping import top_k_per_group
 from quillrank.session import materialise
 
-K, REVERSE = 16, 16
+K, REVERSE = 32, 32
 ORDERS, SIGNS, BLOCK = 4, 32, 64
-BEAM = 32
+BEAM = 256
 #: Nodes from which searches start (about; chosen by hash), and how many of them each query takes.
 ENTRIES, STARTS = 64, 2
 #: Iterations end when at most this share of the list entries is new.
-UNCHANGED = 0.005
+UNCHANGED = 0.02
 SEED = 11
 _EDGES = "u long, v long, d double"
 _GRAPH = "node long, ids array<long>, ds array<double>, fresh array<boolean>"
