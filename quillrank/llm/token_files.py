@@ -11,7 +11,7 @@ holds up to ``BLOCK_IDS`` ids or the ids of one longer document; a document neve
 
 Defined results: a null or empty text has the end id alone; rows that share a key follow each other in
 the order of their text's hash, nulls first; further columns are ignored; an empty table gives an empty
-dataset; texts are never cut.
+dataset; texts are never cut; the strings of special tokens count as the tokenizer's file says.
 """
 
 from __future__ import annotations
@@ -142,7 +142,6 @@ class _Words(dict):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from quillrank.llm import byte_bpe, token_files
 from quillrank.llm.byte_bpe import EditableText, Encoder
@@ -14,6 +15,12 @@ LETTERS = "ab eé\n\t\x1c\x85 '’st日本кот12🙂́​ zzzΣσς<|endoftext
 TEXTS = [None, "", " ", "a b\n\n c", "it's the IT'S", "日本 кот", "x" * 5000, "the. the, The", "don't\x1cstop\x85now"]
 
 
+SPECIAL = [
+    "foo <|endoftext|> bar", "foo<|endoftext|>bar", "<|startoftext|><|endoftext|>", " <|ENDOFTEXT|>. x",
+    "<|endoftext|>", "a\n<|endoftext|>\t<|endoftext|>!", "the <|endoftext| >", "İ<|endoftext|>ﬁ",
+]
+
+
 def random_texts(n, seed, longest=40):
     draw = random.Random(seed)
     return ["".join(draw.choice(LETTERS) for _ in range(draw.randint(0, longest))) for _ in range(n)]
@@ -106,11 +113,12 @@ def test_simple8b_round_trip():
 
 def test_word_ids_equal_library():
     words = token_files._Words(token_files.default_tokenizer())
-    texts = TEXTS + random_texts(5000, 5)
+    fresh = Tokenizer.from_file(token_files.default_tokenizer())
+    texts = TEXTS + SPECIAL + random_texts(5000, 5)
     for at in range(0, len(texts), 64):
         part = texts[at : at + 64]
         for text, ids in zip(part, token_files.token_ids(part, words, 1)):
-            expected = words.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+            expected = fresh.encode(text or "", add_special_tokens=False).ids + [1]
             assert np.frombuffer(ids, "<u4").tolist() == expected, text
 
 
