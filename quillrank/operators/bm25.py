@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillrank.functions.text import bind, clean_text, count_token, tokens, with_clean_texts
@@ -35,6 +35,20 @@ MAX_BUCKETS = 65_536
 # testing every row group for many tokens would cost more than it saves.
 PUSHED_TOKENS = 50
 
+# Pruning changes what is read, never the result. A query's rarest tokens, up to this share of the documents, name
+# its seeds, this many times k; the k-th best of their full scores is the floor of its answer.
+SEED_SHARE, SEEDS = 0.3, 3
+# Its most frequent tokens are left for last, as many as can add up to this share of the floor.
+LATE_SHARE = 0.9
+# Documents of like length per block of the highest contributions, in about this many classes of length, for tokens
+# with at least one document a block.
+BLOCK_DOCS, LENGTH_CLASSES = 64, 64
+# Room for rounding: final scores count at SCORE_DIGITS.
+BOUND_SLACK = 1e-5
+
+# The partition column of ``docs``.
+PART = "_part"
+
 # Every document also has a posting for this token, which no text can produce.
 EVERY_DOC = ""
 
@@ -82,16 +96,41 @@ def corpus_stats(postings: DataFrame) -> DataFrame:
     )
 
 
-def document_frequencies(postings: DataFrame) -> DataFrame:
+def document_frequencies(postings: DataFrame, avg_len: Column) -> DataFrame:
+    """``(token, df, top)``: documents with the token and its highest saturated frequency in one."""
     return (
         postings.where(F.col("token") != EVERY_DOC)
         .groupBy("token")
-        .agg(F.count("*").alias("df"))
+        .agg(
+            F.count("*").alias("df"),
+            F.max(term_weight(F.col("tf"), F.col("doc_len"), avg_len)).alias("top"),
+        )
+    )
+
+
+def block_of(doc_id: Column, doc_len: Column, slices: int) -> Column:
+    """Block of documents of like length: eight classes an octave, each cut into ``slices`` by hash."""
+    length = F.floor(8 * F.log2(doc_len + 1)).cast("long")
+    return length * slices + F.pmod(F.xxhash64(doc_id), F.lit(slices))
+
+
+def block_bounds(postings: DataFrame, terms: DataFrame, n_docs: int, avg_len: Column, slices: int) -> DataFrame:
+    """``(token, block, block_top)`` of the tokens with a document a block on average: the highest saturated frequency.
+
+    Such tokens are at most ``BLOCK_DOCS`` times as many as a document has.
+    """
+    frequent = terms.where(F.col("df") * BLOCK_DOCS >= n_docs).select("token")
+    frequent = F.broadcast(frequent) if is_small(frequent) else frequent
+    weight = term_weight(F.col("tf"), F.col("doc_len"), avg_len)
+    return (
+        postings.join(frequent, "token")
+        .groupBy("token", block_of(F.col("doc_id"), F.col("doc_len"), slices).alias("block"))
+        .agg(F.max(weight).alias("block_top"))
     )
 
 
 def term_table(frequencies: DataFrame, stats: DataFrame) -> DataFrame:
-    """``(token, df, raw_idf, idf)``; the floor is taken over the whole vocabulary."""
+    """``(token, df, top, raw_idf, idf)``; the floor is taken over the whole vocabulary."""
     raw = frequencies.withColumn("raw_idf", raw_idf(stats.select("n_docs").scalar(), F.col("df")))
     floor = raw.agg((EPSILON * F.avg("raw_idf")).alias("floor")).scalar()
     return raw.withColumn("idf", floored_idf(F.col("raw_idf"), floor))
@@ -99,14 +138,20 @@ def term_table(frequencies: DataFrame, stats: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Bm25Index:
-    """A corpus index kept as ordinary tables, with its three corpus-wide numbers."""
+    """A corpus index kept as ordinary tables, with its corpus-wide numbers.
+
+    ``docs`` has its bucket's number as the partition column ``PART``.
+    """
 
     docs: DataFrame
     postings: DataFrame
     terms: DataFrame
+    bounds: DataFrame
     n_docs: int
     avg_len: float
     idf_floor: float
+    buckets: int
+    slices: int
 
 
 def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None = None) -> Bm25Index:
@@ -121,20 +166,27 @@ def build_index(corpus: DataFrame, path: str | None = None, buckets: int | None
     spark = corpus.sparkSession
     path = path or new_work_path(spark, "bm25-index")
     corpus = corpus.withColumn("doc_id", F.col("doc_id").cast("long"))
-    buckets = buckets or _bucket_count(corpus)
+    size, n_docs = _measured(corpus)
+    buckets = buckets or bucket_count(size, spark.sparkContext.defaultParallelism)
+    slices = max(1, -(-n_docs // (BLOCK_DOCS * LENGTH_CLASSES)))
 
-    _write_bucketed(corpus.repartition(buckets, "doc_id"), f"{path}/docs", buckets, "doc_id")
-    docs = _bucketed_table(spark, f"{path}/docs", buckets)
+    dealt = corpus.repartition(buckets, "doc_id").withColumn(PART, bucket_of(F.col("doc_id"), buckets))
+    _write_bucketed(dealt, f"{path}/docs", buckets, "doc_id", PART)
+    docs = _bucketed_table(spark, f"{path}/docs", buckets, PART)
     _write_bucketed(postings_table(docs), f"{path}/postings", buckets, "token")
     postings = _bucketed_table(spark, f"{path}/postings", buckets)
-    document_frequencies(postings).write.mode("overwrite").parquet(f"{path}/frequencies")
-    frequencies = spark.read.parquet(f"{path}/frequencies")
     stats = corpus_stats(postings)
+    average = F.lit(stats.first()["avg_len"])
+    document_frequencies(postings, average).write.mode("overwrite").parquet(f"{path}/frequencies")
+    frequencies = spark.read.parquet(f"{path}/frequencies")
     term_table(frequencies, stats).sort("token").write.mode("overwrite").parquet(f"{path}/terms")
-    floor = spark.read.parquet(f"{path}/terms").agg((EPSILON * F.avg("raw_idf")).alias("floor"))
+    terms = spark.read.parquet(f"{path}/terms")
+    block_bounds(postings, terms, n_docs, average, slices).write.mode("overwrite").parquet(f"{path}/bounds")
+    floor = terms.agg((EPSILON * F.avg("raw_idf")).alias("floor"))
     stats.withColumns({
         "idf_floor": F.coalesce(floor.scalar(), F.lit(0.0)),
         "buckets": F.lit(buckets),
+        "slices": F.lit(slices),
     }).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
     return load_index(spark, path)
 
@@ -143,33 +195,43 @@ def load_index(spark: SparkSession, path: str) -> Bm25Index:
     """Open an index written by :func:`build_index`, in any session."""
     stats = spark.read.parquet(f"{path}/stats").first()
     return Bm25Index(
-        docs=_bucketed_table(spark, f"{path}/docs", stats["buckets"]),
+        docs=_bucketed_table(spark, f"{path}/docs", stats["buckets"], PART),
         postings=_bucketed_table(spark, f"{path}/postings", stats["buckets"]),
         terms=spark.read.parquet(f"{path}/terms"),
+        bounds=spark.read.parquet(f"{path}/bounds"),
         n_docs=stats["n_docs"],
         avg_len=stats["avg_len"],
         idf_floor=stats["idf_floor"],
+        buckets=stats["buckets"],
+        slices=stats["slices"],
     )
 
 
-def _bucket_count(corpus: DataFrame) -> int:
-    """Buckets of about ``BUCKET_BYTES`` of text, at least one per core, at most ``MAX_BUCKETS``."""
-    size = corpus.agg(F.coalesce(F.sum(F.octet_length("document").cast("long")), F.lit(0))).first()[0]
-    return bucket_count(size, corpus.sparkSession.sparkContext.defaultParallelism)
+def _measured(corpus: DataFrame) -> tuple[int, int]:
+    """Bytes of text and number of documents."""
+    size = F.coalesce(F.sum(F.octet_length("document").cast("long")), F.lit(0))
+    return tuple(corpus.agg(size, F.count("*")).first())
+
+
+def bucket_of(doc_id: Column, buckets: int) -> Column:
+    """The bucket Spark writes a document to, as a column to prune directories by."""
+    return F.pmod(F.hash(doc_id), F.lit(buckets))
 
 
 def bucket_count(size: int, cores: int) -> int:
+    """Buckets of about ``BUCKET_BYTES`` of text, at least one per core, at most ``MAX_BUCKETS``."""
     return min(MAX_BUCKETS, max(cores, -(-size // BUCKET_BYTES)))
 
 
-def _write_bucketed(df: DataFrame, path: str, buckets: int, sort: str) -> None:
+def _write_bucketed(df: DataFrame, path: str, buckets: int, sort: str, part: str | None = None) -> None:
     """Buckets by document; sorting inside lets a scan skip what it does not ask for."""
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
     writer = df.write.mode("overwrite").bucketBy(buckets, "doc_id").sortBy(sort).option("path", path)
+    writer = writer.partitionBy(part) if part else writer
     writer.saveAsTable(_table_name(path))
 
 
-def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> DataFrame:
+def _bucketed_table(spark: SparkSession, path: str, buckets: int, part: str | None = None) -> DataFrame:
     """The table over the files at ``path``, declared in this session anew.
 
     Only the declaration is dropped and made; the files stay.
@@ -178,11 +240,14 @@ def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> DataFrame:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     fields = spark.read.parquet(path).schema.fields
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+    parts = f"PARTITIONED BY (`{part}`) " if part else ""
     quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet "
+        f"CREATE TABLE {table} ({columns}) USING parquet {parts}"
         f"CLUSTERED BY (doc_id) INTO {buckets} BUCKETS LOCATION '{quoted}'"
     )
+    if part:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)
 
 
@@ -204,9 +269,9 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def query_weights(terms: DataFrame, index: Bm25Index) -> DataFrame:
-    """``(query_id, token, df, weight)`` of the :func:`query_terms` the corpus knows."""
+    """``(query_id, token, df, top, weight)`` of the :func:`query_terms` the corpus knows."""
     return terms.join(index.terms, "token").select(
-        "query_id", "token", "df", (F.col("qf") * F.col("idf")).alias("weight")
+        "query_id", "token", "df", "top", (F.col("qf") * F.col("idf")).alias("weight")
     )
 
 
@@ -223,6 +288,7 @@ def _with_every_doc(weights: DataFrame, n_docs: int) -> DataFrame:
             "query_id",
             F.lit(EVERY_DOC).alias("token"),
             F.lit(n_docs).cast("long").alias("df"),
+            F.lit(0.0).alias("top"),
             F.lit(0.0).alias("weight"),
         )
     )
@@ -237,6 +303,18 @@ def bm25_scores(
     bucketed by document, so they never move. Otherwise rows meet on the token, and a token in more
     than ``hot_rows`` documents is split by document.
     """
+    return _sums(weights, index, broadcast, hot_rows).select(
+        "query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("bm25_score")
+    )
+
+
+def _contribution(index: Bm25Index) -> Column:
+    return F.col("weight") * term_weight(F.col("tf"), F.col("doc_len"), F.lit(index.avg_len))
+
+
+def _sums(weights: DataFrame, index: Bm25Index, broadcast: bool, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(query_id, doc_id, doc_len, score)``: the weighted tokens' contributions, not rounded."""
+    weights = weights.select("query_id", "token", "df", "weight")
     postings = index.postings
     if broadcast:
         matched = postings.join(F.broadcast(weights), "token")
@@ -257,10 +335,113 @@ def bm25_scores(
         )
         copies = weights.withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("df")
         matched = spread.join(copies, ["token", "slot"])
-    contribution = F.col("weight") * term_weight(F.col("tf"), F.col("doc_len"), F.lit(index.avg_len))
     return matched.groupBy("query_id", "doc_id").agg(
-        F.round(F.sum(contribution), SCORE_DIGITS).alias("bm25_score")
+        F.max("doc_len").alias("doc_len"), F.sum(_contribution(index)).alias("score")
+    )
+
+
+# --------------------------------------------------------------------------- pruning
+
+
+def _small(df: DataFrame, broadcast_bytes: int) -> DataFrame:
+    return F.broadcast(df) if is_small(df, broadcast_bytes) else df
+
+
+def _completed(
+    pairs: DataFrame, weights: DataFrame, index: Bm25Index, broadcast: bool, broadcast_bytes: int
+) -> DataFrame:
+    """``(query_id, doc_id, added)``: what the weighted tokens add to these pairs, which are looked up one by one."""
+    weights = weights.select("query_id", "token", "weight")
+    weights = F.broadcast(weights) if broadcast else weights
+    wanted = _small(pairs.select("query_id", "doc_id").join(weights, "query_id"), broadcast_bytes)
+    met = index.postings.join(wanted, ["doc_id", "token"])
+    return met.groupBy("query_id", "doc_id").agg(F.sum(_contribution(index)).alias("added"))
+
+
+def score_floors(
+    weights: DataFrame, index: Bm25Index, top_k: int, broadcast: bool, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``(query_id, floor)``: a score above 0 that at least ``top_k`` documents reach, for the queries that have one.
+
+    It is the ``top_k``-th best full score of the seeds: the documents that are best by the query's rarest tokens.
+    """
+    before = Window.partitionBy("query_id").orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
+    positive = weights.where(F.col("weight") > 0).withColumn("before", F.coalesce(F.sum("df").over(before), F.lit(0)))
+    rare = positive.where(F.col("before") < SEED_SHARE * index.n_docs)
+    order = [F.col("score").desc(), F.col("doc_id")]
+    seeds = top_k_per_group(_sums(rare, index, broadcast), ["query_id"], order, SEEDS * top_k)
+    seeds = materialise(seeds.select("query_id", "doc_id"), "bm25-seeds")
+    full = _completed(seeds, weights, index, broadcast, broadcast_bytes)
+    ranked = top_k_per_group(full, ["query_id"], [F.col("added").desc(), F.col("doc_id")], top_k)
+    kth = ranked.where((F.col("rank") == top_k) & (F.col("added") > 2 * BOUND_SLACK))
+    return kth.select("query_id", (F.col("added") - BOUND_SLACK).alias("floor"))
+
+
+@dataclass(frozen=True)
+class Pruned:
+    """Pairs that may reach the floor of their query, scored but for its late tokens."""
+
+    pairs: DataFrame
+    late: DataFrame
+
+
+def possible_pairs(
+    weights: DataFrame,
+    floors: DataFrame,
+    index: Bm25Index,
+    broadcast: bool,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> Pruned:
+    """The pairs of ``floors``' queries that can still reach the floor, ``(query_id, doc_id, score)``.
+
+    A query's most frequent tokens come late: those that together stay below its floor cannot lift a document that
+    has none of the others. The others are scored where they occur. A pair stays if what the late tokens could add
+    anywhere, and then what they could add in its block, reaches the floor.
+    """
+    floors = F.broadcast(floors) if broadcast else floors  # a query has at least one weight
+    reach = F.greatest(F.col("weight"), F.lit(0.0)) * F.col("top")
+    frequent_first = Window.partitionBy("query_id").orderBy(F.desc("df"), "token")
+    upto = frequent_first.rowsBetween(Window.unboundedPreceding, 0)
+    staged = weights.join(floors, "query_id").withColumns({"reach": reach, "rest": F.sum(reach).over(upto)})
+    staged = materialise(staged.withColumn("is_late", F.col("rest") <= LATE_SHARE * F.col("floor")), "bm25-staged")
+    late, early = staged.where("is_late"), staged.where(~F.col("is_late"))
+
+    by_block = F.col("df") * BLOCK_DOCS >= index.n_docs
+    limits = staged.groupBy("query_id").agg(
+        F.first("floor").alias("floor"),
+        F.coalesce(F.max(F.when(F.col("is_late"), F.col("rest"))), F.lit(0.0)).alias("anywhere"),
+        F.coalesce(F.sum(F.when(F.col("is_late") & ~by_block, F.col("reach"))), F.lit(0.0)).alias("outside"),
+    )
+    limits = F.broadcast(limits) if broadcast else limits
+    met = _sums(early, index, broadcast).join(limits, "query_id").where(
+        F.col("score") + F.col("anywhere") >= F.col("floor")
     )
+    met = met.withColumn("block", block_of(F.col("doc_id"), F.col("doc_len"), index.slices))
+    met = materialise(met.drop("doc_len", "anywhere"), "bm25-met")
+
+    asked = late.where(by_block).select("query_id", "token", "weight")
+    asked = F.broadcast(asked) if broadcast else asked
+    bounds = index.bounds.join(asked, "token").groupBy("query_id", "block")
+    bounds = bounds.agg(F.sum(F.greatest(F.col("weight"), F.lit(0.0)) * F.col("block_top")).alias("inside"))
+    possible = met.join(_small(bounds, broadcast_bytes), ["query_id", "block"], "left").where(
+        F.col("score") + F.coalesce("inside", F.lit(0.0)) + F.col("outside") >= F.col("floor")
+    )
+    return Pruned(materialise(possible.select("query_id", "doc_id", "score"), "bm25-possible"), late)
+
+
+def pruned_scores(
+    weights: DataFrame,
+    floors: DataFrame,
+    index: Bm25Index,
+    broadcast: bool,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``(query_id, doc_id, bm25_score)`` of every document that can be among the best of its query."""
+    left = possible_pairs(weights, floors, index, broadcast, broadcast_bytes)
+    added = _completed(left.pairs, left.late, index, broadcast, broadcast_bytes)
+    score = F.col("score") + F.coalesce("added", F.lit(0.0))
+    whole = left.pairs.join(added, ["query_id", "doc_id"], "left")
+    return whole.select("query_id", "doc_id", F.round(score, SCORE_DIGITS).alias("bm25_score"))
 
 
 def bm25_retrieve(
@@ -273,27 +454,50 @@ def bm25_retrieve(
     joined last, to the surviving ids only.
     """
     require_columns(queries, ["query_id", "query"], "query columns")
-    best = bm25_top_ids(queries, index, top_k, broadcast_bytes)
-    if queries.count() * top_k * 64 <= broadcast_bytes:
-        best = F.broadcast(best)
-    docs = index.docs
-    attributes = [name for name in docs.columns if name not in ("doc_id", "query", "query_id")]
+    best = materialise(bm25_top_ids(queries, index, top_k, broadcast_bytes), "bm25-best")
+    attributes = [name for name in index.docs.columns if name not in ("doc_id", "query", "query_id", PART)]
     return (
-        docs.join(best, "doc_id")
+        fetch_documents(best.where(F.col("rank") <= top_k), index, broadcast_bytes)
         .join(queries.select("query_id", "query"), "query_id")
         .select("query_id", "query", "rank", "doc_id", *attributes, "bm25_score")
     )
 
 
+def fetch_documents(found: DataFrame, index: Bm25Index, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows with a ``doc_id`` joined to their documents; only the buckets that hold one of them are read.
+
+    The buckets are found while the query runs, from the ids that a filter of ``found`` has left.
+    """
+    found = found.withColumn(PART, bucket_of(F.col("doc_id"), index.buckets))
+    return index.docs.join(_small(found, broadcast_bytes), [PART, "doc_id"]).drop(PART)
+
+
 def bm25_top_ids(
     queries: DataFrame, index: Bm25Index, top_k: int, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """:func:`bm25_retrieve` before texts are joined: ``(query_id, rank, doc_id, bm25_score)``."""
     terms = query_terms(queries)
     index = _narrowed(index, terms)
-    weights = query_weights(terms, index)
+    weights = materialise(query_weights(terms, index), "bm25-weights")
     order = [F.col("bm25_score").desc(), F.col("doc_id")]
 
+    # A query with a floor above 0 has its answer among the pairs that can reach the floor. The others, with few
+    # documents or negative weights, are scored in full.
+    broadcast = is_small(weights, broadcast_bytes)
+    floors = materialise(score_floors(weights, index, top_k, broadcast, broadcast_bytes), "bm25-floors")
+    pruned = pruned_scores(weights, floors, index, broadcast, broadcast_bytes)
+    best = top_k_per_group(pruned, ["query_id"], order, top_k)
+    open_queries = queries.select("query_id").join(floors, "query_id", "left_anti")
+    if not open_queries.isEmpty():
+        rest = _all_scores(open_queries, weights.join(open_queries, "query_id"), index, top_k, broadcast_bytes)
+        best = best.unionByName(top_k_per_group(rest, ["query_id"], order, top_k))
+    return best.select("query_id", "rank", "doc_id", "bm25_score")
+
+
+def _all_scores(
+    queries: DataFrame, weights: DataFrame, index: Bm25Index, top_k: int, broadcast_bytes: int
+) -> DataFrame:
+    """``(query_id, doc_id, bm25_score)`` of all candidates: the best matched documents and those that fill up."""
     # Only the first top_k documents by id can fill a result up: each has fewer unmatched documents
     # before it than any other. A matched one keeps its own score, which is at least 0.
     fillers = _first_documents(queries, index, top_k)
@@ -303,15 +507,13 @@ def bm25_top_ids(
         weights = _with_every_doc(weights, index.n_docs)
 
     scores = bm25_scores(weights, index, broadcast=is_small(weights, broadcast_bytes))
+    order = [F.col("bm25_score").desc(), F.col("doc_id")]
     matched = top_k_per_group(scores, ["query_id"], order, top_k).drop("rank")
-    candidates = (
+    return (
         matched.unionByName(fillers)
         .groupBy("query_id", "doc_id")
         .agg(F.max("bm25_score").alias("bm25_score"))
     )
-    return top_k_per_group(candidates, ["query_id"], order, top_k).select(
-        "query_id", "rank", "doc_id", "bm25_score"
-    )
 
 
 def containing_ids(queries: DataFrame, index: Bm25Index) -> DataFrame:
@@ -331,10 +533,10 @@ def containing_ids(queries: DataFrame, index: Bm25Index) -> DataFrame:
     )
     candidates = index.postings.select("token", "doc_id").join(rarest, "token").select("query_id", "doc_id")
     candidates = materialise(candidates, "containing-candidates")
-    texts = index.docs.select("doc_id", clean_text(F.col("document")).alias("document_clean"))
+    texts = fetch_documents(candidates, index)
+    texts = texts.select("query_id", "doc_id", clean_text(F.col("document")).alias("document_clean"))
     return (
-        texts.join(candidates, "doc_id")
-        .join(asked, "query_id")
+        texts.join(asked, "query_id")
         .where(F.contains("document_clean", "query_clean"))
         .select("query_id", "doc_id")
     )
