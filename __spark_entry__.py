@@ -15,7 +15,7 @@ import oracle
 from quillrank.functions.text import clean_text, tokens, with_clean_texts
 from quillrank.operators import bm25, judgements, labels, metrics, semantic, tfidf
 from quillrank.operators.features import build_features, lexical_features
-from quillrank.operators.ranker import feature_importance, load_ranker
+from quillrank.operators.ranker import feature_importance, gradients, load_ranker
 from quillrank.plans import search as searching
 from quillrank.plans import training
 from quillrank.schemas import ALL_FEATURES
@@ -382,6 +382,24 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.failures(_scored(spark, sf_dir), "bm25_score")
 
 
+def ranker_gradients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pair gradients and curvatures of all judged rows, ranked by BM25."""
+    pulls = gradients(_scored(spark, sf_dir), "bm25_score").select(
+        "query_id", "doc_id", F.round("gradient", 6).alias("gradient"), F.round("curvature", 6).alias("curvature")
+    )
+    return pulls.where(F.col("curvature") > 0)
+
+
+def training_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NDCG of the held-out queries after each round, at the ranks of the evaluation."""
+
+    def make() -> DataFrame:
+        run = training.train_and_evaluate(_featured(spark, sf_dir), n_estimators=ROUNDS // 2, validate=True)
+        return run.ranker.history_table()
+
+    return _once(spark, sf_dir, "history", make)
+
+
 def train_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, store and load the model, then score the test rows with it; the scores are tested apart."""
     run = _run(spark, sf_dir)
@@ -557,6 +575,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eval_metrics": eval_metrics,
         "ndcg_at_ranks": ndcg_at_ranks,
         "failures": failures,
+        "ranker_gradients": ranker_gradients,
+        "training_history": training_history,
         "train_ranker": train_ranker,
         "rerank": rerank,
         "search": search,

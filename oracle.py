@@ -157,6 +157,22 @@ RANKED = GROUPED | {
         FROM r GROUP BY query_id""",
 }
 
+PULLS = GROUPED | {
+    "places": """SELECT query_id, doc_id, bm25_score AS s, 2 ** relevance - 1 AS gain,
+          row_number() OVER (PARTITION BY query_id ORDER BY bm25_score DESC, doc_id) AS rk,
+          row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC) AS ideal_rk FROM scored""",
+    "ideals": """SELECT query_id, sum(gain / log2(ideal_rk + 1)) AS ideal FROM places WHERE ideal_rk <= 30
+        GROUP BY query_id""",
+    "valued": """SELECT *, CASE WHEN rk <= 30 THEN 1 / log2(rk + 1) ELSE 0 END AS d FROM places""",
+    "met": """SELECT a.query_id, a.doc_id, CASE WHEN a.gain > b.gain THEN 1 ELSE -1 END AS way,
+          abs(a.gain - b.gain) * abs(a.d - b.d) / ideal AS change, a.s - b.s AS ahead
+        FROM valued a JOIN valued b ON a.query_id = b.query_id AND a.gain <> b.gain AND (a.rk <= 30 OR b.rk <= 30)
+          JOIN ideals ON ideals.query_id = a.query_id""",
+    "pulled": "SELECT *, 1 / (1 + exp(way * ahead)) AS doubt FROM met",
+    "pulls": """SELECT query_id, doc_id, round(sum(way * doubt * change), 6) AS gradient,
+          round(sum(doubt * (1 - doubt) * change), 6) AS curvature FROM pulled GROUP BY query_id, doc_id""",
+}
+
 LABELLED = JUDGED | {
     "labels3": "SELECT query_id, query, doc_id, document, relevance FROM j WHERE relevance > 0",
     "hard": f"""SELECT query_id, doc_id FROM (
@@ -327,6 +343,7 @@ def statements() -> dict[str, str]:
             """SELECT round(avg(ndcg), 6) AS ndcg, round(avg(rr), 6) AS mrr, round(avg(ap), 6) AS map,
                   count(*) AS queries FROM per_query""",
         ),
+        "ranker_gradients": sql(PULLS, "SELECT * FROM pulls WHERE curvature > 0"),
         "failures": sql(
             RANKED,
             """SELECT p.query_id, p.query, p.document AS predicted_top_doc,

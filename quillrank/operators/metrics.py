@@ -122,6 +122,33 @@ def evaluate(featured: DataFrame, score: str, k: int = 10, **options) -> DataFra
     )
 
 
+def ndcg_by_rank(
+    featured: DataFrame,
+    score: str,
+    ranks: Sequence[int],
+    query_key: str = "query_id",
+    tie: str = "doc_id",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``(k, ndcg)`` for several ranks: the rows are ranked once; means over queries as in :func:`evaluate`."""
+    ranked = ranked_listing(featured, score, query_key, tie, hot_rows=hot_rows)
+    ranks, rank = sorted(set(ranks)), F.col("rank")
+    share = gain(F.col("relevance")) * discount(rank)
+    grades = ranked.groupBy(query_key, "relevance").agg(
+        F.count("*").alias("n"), *[F.sum(F.when(rank <= k, share).otherwise(0.0)).alias(f"dcg{k}") for k in ranks]
+    )
+    levels = F.sort_array(F.collect_list(F.struct("relevance", "n")), asc=False)
+    queries = grades.groupBy(query_key).agg(*[F.sum(f"dcg{k}").alias(f"dcg{k}") for k in ranks], levels.alias("levels"))
+
+    def mean(k: int) -> Column:
+        ratio = F.coalesce(F.try_divide(F.col(f"dcg{k}"), ideal_dcg(F.col("levels"), k)), F.lit(0.0))
+        return F.round(F.coalesce(F.avg(F.round(ratio, METRIC_DIGITS)), F.lit(0.0)), METRIC_DIGITS)
+
+    means = queries.agg(*[mean(k).alias(f"ndcg{k}") for k in ranks])
+    each = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"ndcg{k}").alias("ndcg")) for k in ranks])
+    return means.select(F.explode(each).alias("e")).select("e.k", "e.ndcg")
+
+
 def evaluate_scores(featured: DataFrame, scores: Sequence[str], k: int = 10, **options) -> DataFrame:
     """:func:`evaluate` for several score columns: one row per ``score``."""
     parts = [

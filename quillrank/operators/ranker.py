@@ -1,8 +1,8 @@
-"""A pairwise gradient-boosted ranker (LambdaMART) built from Spark ML regression trees.
+"""A pairwise gradient-boosted ranker (LambdaMART) whose trees are grown best first, as a Spark ML model.
 
 Each round ranks every query by the current score, derives a gradient and a curvature per row from
-the pairs whose exchange would change NDCG, and fits one tree to ``gradient / curvature`` weighted
-by ``curvature``: its leaves are then Newton steps and its split gains Newton gains.
+the pairs whose exchange would change NDCG, and grows one tree on their sums (:mod:`quillrank.operators.trees`):
+its leaves are Newton steps and its split gains Newton gains.
 
 NDCG is cut at ``truncation`` ranks, so only pairs with a row among the first ``truncation`` count:
 every row meets a list of at most that many rows, never its whole query.
@@ -10,37 +10,42 @@ every row meets a list of at most that many rows, never its whole query.
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
-    GBTRegressionModel,
-)
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrank.operators.grouping import HOT_ROWS, skew_join, top_k_per_group
-from quillrank.operators.metrics import discount, gain, ideal_dcg
+from quillrank.operators.metrics import discount, gain, ideal_dcg, ndcg_by_rank
+from quillrank.operators.trees import MAX_BINS, Tree, add_scores, bin_edges, grow, spark_tree, with_bins
 from quillrank.schemas import ALL_FEATURES, require_columns
-from quillrank.session import materialise, new_work_path, work_folder
+from quillrank.session import let_workers_import, materialise, new_work_path, work_folder
 
 TRUNCATION = 30
-MAX_BINS = 255
 # Training rows per partition; every round runs several small jobs over all of them.
 ROWS_PER_PARTITION = 20_000
-_VECTOR = "_features"
+_VECTOR, _VALUES = "_features", "_values"
+# The ranks at which NDCG of the validation rows is measured after each round.
+EVAL_AT = (1, 3, 5)
 
 
 @dataclass(frozen=True)
 class Ranker:
-    """A trained ensemble with the names of the features it reads."""
+    """A trained ensemble with the names of the features it reads.
+
+    ``history`` has ``(round, k, ndcg)`` of the validation rows after each round, if there were any.
+    """
 
     features: list[str]
     model: GBTRegressionModel
+    history: tuple[tuple[int, int, float], ...] = ()
+
+    def history_table(self) -> DataFrame:
+        return SparkSession.active().createDataFrame(list(self.history), "round INT, k INT, ndcg DOUBLE")
 
     def predict(self, featured: DataFrame, score: str = "model_score") -> DataFrame:
         """Add the model's score per row; no shuffle."""
@@ -68,11 +73,15 @@ def load_ranker(spark: SparkSession, path: str) -> Ranker:
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Add the feature vector; absent values count as 0."""
-    filled = df.withColumns({f"_f_{name}": F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in features})
+    filled = df.withColumns({f"_f_{name}": _number(name) for name in features})
     inputs = [f"_f_{name}" for name in features]
     return VectorAssembler(inputCols=inputs, outputCol=_VECTOR).transform(filled).drop(*inputs)
 
 
+def _number(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+
+
 def train_ranker(
     featured: DataFrame,
     features: Sequence[str] | None = None,
@@ -80,50 +89,94 @@ def train_ranker(
     learning_rate: float = 0.05,
     num_leaves: int = 31,
     min_data_in_leaf: int = 1,
-    seed: int = 42,
+    min_data_in_bin: int = 1,
+    max_bins: int = MAX_BINS,
     truncation: int = TRUNCATION,
     query_key: str = "query_id",
     tie: str = "doc_id",
     checkpoint_every: int = 10,
     hot_rows: int = HOT_ROWS,
+    validation: DataFrame | None = None,
+    eval_at: Sequence[int] = EVAL_AT,
+    patience: int | None = None,
 ) -> Ranker:
-    """Boost ``n_estimators`` trees of about ``num_leaves`` leaves on ``featured`` rows.
+    """Boost ``n_estimators`` trees of ``num_leaves`` leaves on ``featured`` rows.
 
+    A tree has fewer leaves only if no further split gains anything; training ends with a tree that cannot be
+    split at all. ``validation`` rows are scored along, and NDCG at the ranks ``eval_at`` is kept for every round.
+    With ``patience`` training stops once none of these has risen for so many rounds, and the trees after the
+    last rise are left out.
     Raises ``ValueError`` for absent features, or if no query has rows of different relevance.
     """
     features = list(features or ALL_FEATURES)
     require_columns(featured, features, "features")
     require_columns(featured, [query_key, tie, "relevance"])
     work_folder(featured.sparkSession)
+    let_workers_import(featured.sparkSession)
 
     data, largest = _training_rows(featured, features, truncation, query_key, tie, hot_rows)
     if largest == 0:
         raise ValueError("no query has two rows of different relevance to learn from")
-    state = data.withColumn("score", F.lit(0.0))
-    held = state.persist()
-    trees: list[DecisionTreeRegressionModel] = []
-    for round_number in range(n_estimators):
-        steps = _newton_steps(state, truncation, largest > truncation).persist()
-        tree = DecisionTreeRegressor(
-            featuresCol=_VECTOR,
-            labelCol="target",
-            weightCol="curvature",
-            maxDepth=max(1, math.ceil(math.log2(num_leaves))),
-            minInstancesPerNode=min_data_in_leaf,
-            maxBins=MAX_BINS,
-            seed=seed,
-        ).fit(steps)
+    edges = bin_edges(featured.select(*[_number(name).alias(name) for name in features]), features, max_bins, min_data_in_bin)
+    widths = [len(own) + 1 for own in edges]
+    rows = _Boosted(with_bins(data, _VALUES, edges), len(edges), learning_rate, checkpoint_every)
+    held_out = None
+    if validation is not None:
+        values = F.array(*[_number(name) for name in features]).alias(_VALUES)
+        kept = with_bins(validation.select(query_key, tie, "relevance", values), _VALUES, edges)
+        held_out = _Boosted(kept, len(edges), learning_rate, checkpoint_every)
+
+    trees: list[Tree] = []
+    history: list[tuple[int, int, float]] = []
+    best, best_round = dict.fromkeys(eval_at, -1.0), 0
+    for number in range(1, n_estimators + 1):
+        steps = _newton_steps(rows.state, truncation, largest > truncation, "bins").persist()
+        tree = grow(steps, widths, num_leaves, min_data_in_leaf)
         steps.unpersist()
+        if trees and tree.leaves() == 1:
+            break
         trees.append(tree)
-        moved = tree.setPredictionCol("step").transform(state)
-        state = moved.withColumn("score", F.col("score") + learning_rate * F.col("step")).drop("step")
-        if (round_number + 1) % checkpoint_every == 0:
-            # Cuts the chain of tree predictions; in between it stays short and is recomputed.
-            state = state.checkpoint()
-            held.unpersist()
-            held = state.persist()
-    held.unpersist()
-    return Ranker(features, _ensemble(trees, learning_rate))
+        rows.add(tree)
+        if held_out is not None:
+            held_out.add(tree)
+            measured = ndcg_by_rank(held_out.state, "score", eval_at, query_key=query_key, tie=tie).collect()
+            history += sorted((number, row["k"], row["ndcg"]) for row in measured)
+            for row in measured:
+                if row["ndcg"] > best[row["k"]]:
+                    best[row["k"]], best_round = row["ndcg"], number
+            if patience and number - best_round >= patience:
+                trees = trees[:best_round]
+                break
+    rows.release()
+    if held_out is not None:
+        held_out.release()
+    return Ranker(features, _ensemble(trees, edges, learning_rate), tuple(history))
+
+
+class _Boosted:
+    """Rows whose ``score`` grows tree by tree.
+
+    Trees are added to the rows as last stored, in one pass over all of them; every ``checkpoint_every``
+    rounds the scores are written to the shared folder.
+    """
+
+    def __init__(self, rows: DataFrame, features: int, weight: float, checkpoint_every: int) -> None:
+        self.base = materialise(rows.withColumn("score", F.lit(0.0)), "boosted")
+        self.features, self.weight, self.checkpoint_every = features, weight, checkpoint_every
+        self.pending: list[Tree] = []
+        self.state = self.base.persist()
+
+    def add(self, tree: Tree) -> None:
+        self.pending.append(tree)
+        raised = add_scores(self.base, self.pending, self.weight, self.features)
+        if len(self.pending) == self.checkpoint_every:
+            raised = self.base = materialise(raised, "boosted")
+            self.pending = []
+        before, self.state = self.state, raised.persist()
+        before.unpersist()
+
+    def release(self) -> None:
+        self.state.unpersist()
 
 
 def _training_rows(
@@ -147,9 +200,8 @@ def _training_rows(
         ),
         "ranker-queries",
     )
-    rows = assemble(featured.select(query_key, tie, "relevance", *features), features).select(
-        query_key, tie, gain(F.col("relevance")).alias("gain"), _VECTOR
-    )
+    values = F.array(*[_number(name) for name in features]).alias(_VALUES)
+    rows = featured.select(query_key, tie, gain(F.col("relevance")).alias("gain"), values)
     rows = skew_join(rows, queries, [query_key], [tie], F.col("rows"), hot_rows=hot_rows)
     blocked = rows.select(
         F.col(query_key).alias("query"),
@@ -158,7 +210,7 @@ def _training_rows(
         "blocks",
         "gain",
         "inverse_ideal",
-        _VECTOR,
+        _VALUES,
     )
     sizes = queries.agg(
         F.coalesce(F.max("rows"), F.lit(0)).alias("largest"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total")
@@ -167,6 +219,24 @@ def _training_rows(
     return blocked.repartition(partitions, "query", "block"), sizes["largest"]
 
 
+def gradients(
+    featured: DataFrame,
+    score: str,
+    truncation: int = TRUNCATION,
+    query_key: str = "query_id",
+    tie: str = "doc_id",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``(query_key, tie, gradient, curvature, target)``: where the next round would move the rows from ``score``.
+
+    Only rows that some pair pulls on are given.
+    """
+    data, largest = _training_rows(featured, [score], truncation, query_key, tie, hot_rows)
+    state = data.withColumn("score", F.get(_VALUES, F.lit(0)))
+    steps = _newton_steps(state, truncation, largest > truncation)
+    return steps.select(F.col("query").alias(query_key), F.col("row").alias(tie), "gradient", "curvature", "target")
+
+
 def _pair(row_gain: Column, row_score: Column, row_discount: Column, top: Column, scale: Column) -> Column:
     """Gradient and curvature one row gets from its pair with a top row."""
     sign = F.when(row_gain > top["gain"], 1.0).otherwise(-1.0)
@@ -177,8 +247,8 @@ def _pair(row_gain: Column, row_score: Column, row_discount: Column, top: Column
     )
 
 
-def _newton_steps(state: DataFrame, truncation: int, beyond: bool) -> DataFrame:
-    """``(features, target, curvature)`` of the rows some pair pulls on."""
+def _newton_steps(state: DataFrame, truncation: int, beyond: bool, carried: str = _VALUES) -> DataFrame:
+    """``(query, row, carried, gradient, curvature, target)`` of the rows some pair pulls on."""
     order = [F.round(F.col("score"), 6).desc(), F.col("row")]
     ranked = top_k_per_group(
         state.select("query", "block", "blocks", "row", "score", "gain"), ["query"], order, truncation
@@ -224,13 +294,13 @@ def _newton_steps(state: DataFrame, truncation: int, beyond: bool) -> DataFrame:
         gradient = gradient - F.coalesce("back_gradient", F.lit(0.0))
         curvature = curvature + F.coalesce("back_curvature", F.lit(0.0))
     return (
-        pulled.select("query", "row", _VECTOR, gradient.alias("gradient"), curvature.alias("curvature"))
+        pulled.select("query", "row", carried, gradient.alias("gradient"), curvature.alias("curvature"))
         .where(F.col("curvature") > 0)
         .withColumn("target", F.col("gradient") / F.col("curvature"))
     )
 
 
-def _ensemble(trees: Sequence[DecisionTreeRegressionModel], weight: float) -> GBTRegressionModel:
+def _ensemble(trees: Sequence[Tree], edges: Sequence[Sequence[float]], weight: float) -> GBTRegressionModel:
     """The trees as one Spark ML model, through its public JVM constructor."""
     context = SparkSession.active().sparkContext
     jvm, gateway = context._jvm, context._gateway
@@ -238,9 +308,9 @@ def _ensemble(trees: Sequence[DecisionTreeRegressionModel], weight: float) -> GB
     members = gateway.new_array(ml.DecisionTreeRegressionModel, len(trees))
     weights = gateway.new_array(jvm.double, len(trees))
     for position, tree in enumerate(trees):
-        members[position] = tree._java_obj
+        members[position] = spark_tree(tree, edges, f"quillrank_tree_{position}")
         weights[position] = float(weight)
-    uid = f"quillrank_{trees[0].uid}"
+    uid = f"quillrank_{uuid.uuid4().hex[:12]}"
     return GBTRegressionModel(ml.GBTRegressionModel(uid, members, weights)).setFeaturesCol(_VECTOR)
 
 

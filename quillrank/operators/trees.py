@@ -1,9 +1,10 @@
 """Regression trees of an exact number of leaves, grown best first from histograms.
 
 Features are cut into at most 255 bins once. A tree is grown on the driver from sums of gradient, curvature and rows
-by ``(node, feature, bin)``, a table whose size depends on the tree and the bins alone; the rows stay where they are.
+by ``(node, feature, bin)``, a table whose size depends on the tree and the bins alone.
 Each pass over the rows gathers the histograms of one child of every leaf that may still be split, the smaller one;
-its sibling's is the parent's less that. A heap then splits the leaf of the highest gain, as long as the histograms
+its sibling's is the parent's less that. Of a node with no more rows than a histogram has places, the rows
+themselves are gathered, and what lies below it needs no further pass. A heap then splits the leaf of the highest gain, as long as the histograms
 of its children are known, until there are ``num_leaves`` leaves. A leaf beyond the number of splits that are left
 cannot be reached and is not looked into, so a tree takes about as many passes as it is deep.
 """
@@ -18,13 +19,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BINS = 255
 # Accuracy of the approximate quantiles that part the bins.
 _QUANTILE_ACCURACY = 10_000
 # A split must gain more than rounding can make up.
 MIN_GAIN = 1e-9
-_SUMS = "node int, place int, g double, h double, n long"
+# The sums of up to this many tasks are added up by the driver; those of more by a shuffle.
+FEW_PARTITIONS = 16
+_SUMS = "node int, place int, g double, h double, n long, bins array<smallint>"
 
 
 def bin_edges(rows: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS, min_data_in_bin: int = 1) -> list[list[float]]:
@@ -75,7 +79,7 @@ def _merged(edges: list[float], counts: list[int], least: int) -> list[float]:
 def with_bins(rows: DataFrame, values: str, edges: Sequence[Sequence[float]]) -> DataFrame:
     """``bins array<short>`` in place of the array of feature values."""
     limits = [np.array(own, np.float64) for own in edges]
-    schema = rows.drop(values).schema.add("bins", "array<smallint>")
+    schema = rows.drop(values).schema.add("bins", T.ArrayType(T.ShortType()))
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,53 +138,96 @@ class Tree:
         return np.array([node.value for node in self.nodes])[self.nodes_of(bins)]
 
 
-def _bin_matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+def _bin_matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def histograms(steps: DataFrame, tree: Tree, wanted: Sequence[int], widths: Sequence[int]) -> dict[int, np.ndarray]:
-    """Sums of ``(gradient, curvature, rows)`` by place, one array for each wanted node; places are feature and bin.
+@dataclass
+class Rows:
+    """The rows of a node that take no more room than its histogram."""
+
+    bins: np.ndarray
+    g: np.ndarray
+    h: np.ndarray
+
+    def where(self, kept: np.ndarray) -> Rows:
+        return Rows(self.bins[kept], self.g[kept], self.h[kept])
+
+
+class Places:
+    """Where a feature's bins stand in a histogram."""
+
+    def __init__(self, widths: Sequence[int]) -> None:
+        self.widths = list(widths)
+        self.starts = np.concatenate([[0], np.cumsum(widths)]).astype(np.int64)
+        self.size = int(self.starts[-1])
+
+    def sums(self, rows: Rows, slot: np.ndarray, slots: int) -> np.ndarray:
+        """Gradient, curvature and number of the rows by ``(slot, place)``."""
+        place = (slot[:, None] * self.size + self.starts[:-1] + rows.bins).ravel()
+        weights = (rows.g, rows.h, np.ones(len(rows.g)))
+        flat = [np.bincount(place, np.repeat(w, len(self.widths)), slots * self.size) for w in weights]
+        return np.stack(flat, -1).reshape(slots, self.size, 3)
 
-    Every task sums its own rows before the shuffle.
+
+def gather(
+    steps: DataFrame, tree: Tree, wanted: Sequence[int], places: Places, partitions: int
+) -> tuple[dict[int, np.ndarray], dict[int, Rows]]:
+    """Histograms of the wanted nodes and, of those with at most as many rows as places, the rows.
+
+    So much of a node comes to the driver and no more, whatever the number of rows. Every task sums its own rows;
+    the sums of more than a few tasks are added up before they are collected.
     """
-    starts = np.concatenate([[0], np.cumsum(widths)])
-    size, chosen = int(starts[-1]), np.full(len(tree.nodes), -1)
-    chosen[list(wanted)] = np.arange(len(wanted))
+    small = [node for node in wanted if tree.nodes[node].n <= places.size]
+    large = [node for node in wanted if tree.nodes[node].n > places.size]
+    chosen = np.full(len(tree.nodes), -1)
+    chosen[large] = np.arange(len(large))
+    sent = np.full(len(tree.nodes), -1)
+    sent[small] = np.arange(len(small))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, len(wanted) * size))
+        sums = np.zeros((len(large), places.size, 3))
         for batch in batches:
-            bins = _bin_matrix(batch.column(0))
-            if not len(bins):
+            if not batch.num_rows:
                 continue
-            slot = chosen[tree.nodes_of(bins)]
-            inside = slot >= 0
-            bins, slot = bins[inside], slot[inside]
-            g, h = (batch.column(c).to_numpy(zero_copy_only=False)[inside] for c in (1, 2))
-            place = (slot[:, None] * size + starts[:-1] + bins).ravel()
-            for k, weight in enumerate((g, h, np.ones(len(g)))):
-                sums[k] += np.bincount(place, np.repeat(weight, len(widths)), len(sums[k]))
-        filled = np.flatnonzero(sums[2])
-        if len(filled):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((filled // size).astype(np.int32)),
-                    pa.array((filled % size).astype(np.int32)),
-                    pa.array(sums[0][filled]),
-                    pa.array(sums[1][filled]),
-                    pa.array(sums[2][filled].astype(np.int64)),
-                ],
-                ["node", "place", "g", "h", "n"],
-            )
-
-    parts = steps.select("bins", "gradient", "curvature").mapInArrow(run, _SUMS)
-    table = parts.groupBy("node", "place").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).toArrow()
-    out = np.zeros((len(wanted), size, 3))
-    at = (table["node"].to_numpy(), table["place"].to_numpy())
-    for k, name in enumerate(("g", "h", "n")):
-        out[(*at, k)] = table[name].to_numpy()
-    return {node: out[i] for i, node in enumerate(wanted)}
+            rows = Rows(_bin_matrix(batch.column(0), len(places.widths)), *[batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2)])
+            ends = tree.nodes_of(rows.bins)
+            slot = chosen[ends]
+            if (slot >= 0).any():
+                sums += places.sums(rows.where(slot >= 0), slot[slot >= 0], len(large))
+            out = sent[ends] >= 0
+            if out.any():
+                n, own = int(out.sum()), rows.where(out)
+                yield _sum_batch(sent[ends][out], np.full(n, -1), own.g, own.h, np.ones(n), batch.column(0).filter(pa.array(out)))
+        node, place = np.nonzero(sums[:, :, 2])
+        if len(node):
+            yield _sum_batch(node, place, *sums[node, place].T, pa.nulls(len(node), pa.list_(pa.int16())))
+
+    sums = steps.select("bins", "gradient", "curvature").mapInArrow(run, _SUMS)
+    if partitions > FEW_PARTITIONS:
+        rows, sums = sums.where("place < 0"), sums.where("place >= 0")
+        sums = sums.groupBy("node", "place").agg(*[F.sum(name).alias(name) for name in ("g", "h", "n")])
+        sums = sums.withColumn("bins", F.lit(None).cast("array<smallint>"))
+        sums = sums.unionByName(rows) if small else sums
+    table = sums.toArrow().combine_chunks()
+    node, place, g, h, n = (table[name].to_numpy() for name in ("node", "place", "g", "h", "n"))
+    summed = place >= 0
+    out = np.zeros((len(large), places.size, 3))
+    for k, values in enumerate((g, h, n)):
+        np.add.at(out, (node[summed], place[summed], k), values[summed])
+    known = {own: out[i] for i, own in enumerate(large)}
+    local = {}
+    for i, own in enumerate(small):
+        mine = np.flatnonzero(~summed & (node == i))
+        bins = table["bins"].take(pa.array(mine)).combine_chunks()
+        local[own] = Rows(_bin_matrix(bins, len(places.widths)), g[mine], h[mine])
+        known[own] = places.sums(local[own], np.zeros(len(mine), np.int64), 1)[0]
+    return known, local
+
+
+def _sum_batch(node, place, g, h, n, bins: pa.Array) -> pa.RecordBatch:
+    columns = [pa.array(x.astype(t)) for x, t in zip((node, place, g, h, n), ("i4", "i4", "f8", "f8", "i8"))]
+    return pa.RecordBatch.from_arrays([*columns, bins], ["node", "place", "g", "h", "n", "bins"])
 
 
 def best_split(histogram: np.ndarray, widths: Sequence[int], min_data_in_leaf: int) -> tuple[float, int, int, np.ndarray]:
@@ -210,29 +257,64 @@ def grow(steps: DataFrame, widths: Sequence[int], num_leaves: int, min_data_in_l
 
     The tree that is looked into is a little larger than the one returned; the heap decides.
     """
-    looked = Tree([Node(0.0, 0.0, 0)])
-    known = histograms(steps, looked, [0], widths)
-    root = known[0][: widths[0]].sum(0)
-    looked.nodes[0] = Node(float(root[0]), float(root[1]), int(root[2]))
+    partitions, places = steps.rdd.getNumPartitions(), Places(widths)
+    looked = Tree([Node(0.0, 0.0, steps.count())])
+    known, local = gather(steps, looked, [0], places, partitions)
+    g, h, n = known[0][: widths[0]].sum(0)
+    looked.nodes[0] = Node(float(g), float(h), int(n))
     splits: dict[int, tuple[float, int, int, np.ndarray]] = {0: best_split(known[0], widths, min_data_in_leaf)}
     heap = [(-splits[0][0], 0)]
-    taken: list[int] = []  # split for good, in order
-    while heap and len(taken) < num_leaves - 1:
-        gain, at = heap[0]
-        if -gain <= MIN_GAIN:
-            break
+    taken: set[int] = set()  # split for good
+    while heap and len(taken) < num_leaves - 1 and -heap[0][0] > MIN_GAIN:
+        at = heap[0][1]
         if looked.nodes[at].feature < 0:
-            reachable = [node for g, node in heapq.nsmallest(num_leaves - 1 - len(taken), heap) if -g > MIN_GAIN]
-            _look_into(steps, looked, known, splits, [n for n in reachable if looked.nodes[n].feature < 0], widths, min_data_in_leaf)
+            reachable = [node for _, node in heapq.nsmallest(num_leaves - 1 - len(taken), heap)]
+            leaves = [n for n in reachable if splits[n][1] >= 0 and looked.nodes[n].feature < 0]
+            _look_into(steps, looked, known, local, splits, leaves, places, partitions)
+            for node in leaves:
+                for child in (looked.nodes[node].left, looked.nodes[node].right):
+                    splits[child] = best_split(known[child], widths, min_data_in_leaf)
         heapq.heappop(heap)
-        taken.append(at)
+        taken.add(at)
         for child in (looked.nodes[at].left, looked.nodes[at].right):
             heapq.heappush(heap, (-splits[child][0], child))
-    return _cut(looked, set(taken))
+    return _cut(looked, taken)
+
+
+def _look_into(
+    steps: DataFrame,
+    looked: Tree,
+    known: dict[int, np.ndarray],
+    local: dict[int, Rows],
+    splits: dict,
+    leaves: list[int],
+    places: Places,
+    partitions: int,
+) -> None:
+    """Split these leaves where it gains most and find their children's histograms, in one pass at most."""
+    smaller, parent = _split_leaves(looked, splits, leaves)
+    asked = []
+    for few in smaller:
+        at, _ = parent[few]
+        if at in local:
+            rows, node = local.pop(at), looked.nodes[at]
+            goes_left = rows.bins[:, node.feature] <= node.bin
+            for child, kept in ((node.left, goes_left), (node.right, ~goes_left)):
+                local[child] = rows.where(kept)
+            known[few] = places.sums(local[few], np.zeros(len(local[few].g), np.int64), 1)[0]
+        else:
+            asked.append(few)
+    if asked:
+        found, rows = gather(steps, looked, asked, places, partitions)
+        known.update(found)
+        local.update(rows)
+    for few in smaller:
+        at, many = parent[few]
+        known[many] = known.pop(at) - known[few]
 
 
-def _look_into(steps, looked: Tree, known: dict, splits: dict, leaves: list[int], widths, min_data_in_leaf: int) -> None:
-    """Split these leaves where it gains most, and find out what their children could gain, in one pass."""
+def _split_leaves(looked: Tree, splits: dict, leaves: list[int]) -> tuple[list[int], dict[int, tuple[int, int]]]:
+    """Split these leaves where it gains most; the smaller child of each, and for it the parent and the other one."""
     smaller, parent = [], {}
     for at in leaves:
         gain, feature, place, left = splits[at]
@@ -244,11 +326,7 @@ def _look_into(steps, looked: Tree, known: dict, splits: dict, leaves: list[int]
         few, many = sorted((node.left, node.right), key=lambda child: looked.nodes[child].n)
         smaller.append(few)
         parent[few] = at, many
-    for few, histogram in histograms(steps, looked, smaller, widths).items():
-        at, many = parent[few]
-        known[few], known[many] = histogram, known.pop(at) - histogram
-        for child in (few, many):
-            splits[child] = best_split(known[child], widths, min_data_in_leaf)
+    return smaller, parent
 
 
 def _cut(looked: Tree, taken: set[int]) -> Tree:
@@ -268,7 +346,7 @@ def _cut(looked: Tree, taken: set[int]) -> Tree:
     return out
 
 
-def add_scores(rows: DataFrame, trees: Sequence[Tree], weight: float) -> DataFrame:
+def add_scores(rows: DataFrame, trees: Sequence[Tree], weight: float, features: int) -> DataFrame:
     """``rows`` with ``score`` raised by the weighted values of ``trees``; no shuffle."""
     schema = rows.schema
     names, at = schema.names, schema.names.index("score")
@@ -277,7 +355,7 @@ def add_scores(rows: DataFrame, trees: Sequence[Tree], weight: float) -> DataFra
         for batch in batches:
             score = batch.column(at).to_numpy(zero_copy_only=False).copy()
             if len(score):
-                bins = _bin_matrix(batch.column("bins"))
+                bins = _bin_matrix(batch.column("bins"), features)
                 for tree in trees:
                     score += weight * tree.values_of(bins)
             columns = list(batch.columns)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from quillrank.operators.features import build_features
 from quillrank.operators.labels import cap_whole_queries, split_by_keys, split_by_query
-from quillrank.operators.metrics import evaluate, evaluate_scores, failures
-from quillrank.operators.ranker import Ranker, train_ranker
+from quillrank.operators.metrics import evaluate_scores, failures, ndcg_by_rank
+from quillrank.operators.ranker import EVAL_AT, Ranker, train_ranker
 from quillrank.operators.semantic import Encoder
 from quillrank.operators.tfidf import save_terms, tfidf_fit
 from quillrank.schemas import ALL_FEATURES, LEXICAL_FEATURES
@@ -25,8 +25,8 @@ ABLATION_FEATURES = {
     "bm25_tfidf_overlap": ["bm25_score", "tfidf_cosine_sim", "overlap_count", "overlap_ratio"],
     "hybrid_full": ALL_FEATURES,
 }
-# The ranks at which NDCG is reported during and after training.
-EVAL_AT, LARGE_EVAL_AT = (1, 3, 5), (1, 3, 5, 10)
+# The ranks at which NDCG is reported during and after large training.
+LARGE_EVAL_AT = (1, 3, 5, 10)
 
 
 @dataclass(frozen=True)
@@ -79,10 +79,19 @@ def featurise_split(
 
 
 def train_and_evaluate(
-    data: FeaturedSplit, features: Sequence[str] | None = None, k: int = 5, tie: str = "doc_id", **training
+    data: FeaturedSplit,
+    features: Sequence[str] | None = None,
+    k: int = 5,
+    tie: str = "doc_id",
+    validate: bool = False,
+    **training,
 ) -> TrainingRun:
-    """Train on the train side; on the test side compare BM25 and the model at rank ``k``."""
-    ranker = train_ranker(data.train, features or ALL_FEATURES, tie=tie, **training)
+    """Train on the train side; on the test side compare BM25 and the model at rank ``k``.
+
+    With ``validate`` the test side is also measured after every round, which ``ranker.history`` keeps.
+    """
+    validation = data.test if validate else None
+    ranker = train_ranker(data.train, features or ALL_FEATURES, tie=tie, validation=validation, **training)
     scored = materialise(ranker.predict(data.test), "test-scored")
     return TrainingRun(
         ranker,
@@ -95,13 +104,7 @@ def train_and_evaluate(
 
 def ndcg_at_ranks(scored: DataFrame, ranks: Sequence[int] = EVAL_AT, **options) -> DataFrame:
     """``(k, ndcg)`` of the model score for each rank."""
-    parts = [
-        evaluate(scored, "model_score", k, **options).select(F.lit(k).alias("k"), "ndcg") for k in ranks
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return ndcg_by_rank(scored, "model_score", ranks, **options)
 
 
 def ablation(
@@ -141,6 +144,8 @@ def train_large(
     learning_rate: float = 0.05,
     num_leaves: int = 63,
     min_data_in_leaf: int = 20,
+    min_data_in_bin: int = 20,
+    validate: bool = False,
     out: str | None = None,
 ) -> tuple[TrainingRun, DataFrame]:
     """The run on judgement shards: 0.2 test split, capped train side, lexical features, report.
@@ -162,7 +167,9 @@ def train_large(
         learning_rate=learning_rate,
         num_leaves=num_leaves,
         min_data_in_leaf=min_data_in_leaf,
-        seed=seed,
+        min_data_in_bin=min_data_in_bin,
+        validate=validate,
+        eval_at=LARGE_EVAL_AT,
     )
     report = large_report(run)
     if out:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import threading
 import uuid
@@ -11,6 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def build_session(app_name: str = "quillrank", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,6 +35,17 @@ def build_session(app_name: str = "quillrank", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers that start from now on import this package from where it lies.
+
+    On a cluster the package is installed on the executors or shipped with ``--py-files``, as always.
+    """
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
 def work_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and working tables that every executor can reach.
 
