@@ -15,7 +15,7 @@ import oracle
 from quillrank.functions.text import clean_text, tokens, with_clean_texts
 from quillrank.operators import bm25, judgements, labels, metrics, semantic, tfidf
 from quillrank.operators.features import build_features, lexical_features
-from quillrank.operators.ranker import feature_importance, gradients, load_ranker
+from quillrank.operators.ranker import LinearScorer, feature_importance, gradients, load_ranker
 from quillrank.plans import search as searching
 from quillrank.plans import training
 from quillrank.schemas import ALL_FEATURES
@@ -460,6 +460,25 @@ def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ranked_documents(spark, sf_dir).select("query_id", "query", "document")
 
 
+def search_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both stages with a fixed scorer, so that rank and score can be stated in SQL as well."""
+    scorer = LinearScorer(oracle.LINEAR)
+    found = searching.search(
+        _queries(spark, sf_dir), _index(spark, sf_dir), scorer, tfidf.tfidf_fit(_judgements(spark, sf_dir)), oracle.TOP_K
+    )
+    return found.select("query_id", "rank", "doc_id", "bm25_score", "model_score")
+
+
+def rank_documents_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of each record ranked by the fixed scorer, with BM25 among them."""
+    requests = tables.read_nested(spark, _nested(spark, sf_dir)).select(
+        "query_id", "query", F.col("passages.passage_text").alias("documents")
+    )
+    scorer = LinearScorer(oracle.LINEAR)
+    ranked = searching.rank_documents(requests, scorer, tfidf.tfidf_fit(_judgements(spark, sf_dir)))
+    return ranked.select("query_id", "document", "rank", "model_score")
+
+
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_importance(_run(spark, sf_dir).ranker)
 
@@ -581,6 +600,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rerank": rerank,
         "search": search,
         "rank_documents": rank_documents,
+        "search_linear": search_linear,
+        "rank_documents_linear": rank_documents_linear,
         "feature_importance": importance,
         "ablation": ablation,
         "experiment_log": experiment_log,

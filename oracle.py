@@ -14,6 +14,8 @@ WS = (
 TOP_K = 10
 DEEP_K = 20
 CAPPED_ROWS = 150
+# Weights of the fixed scorer that both sides of the re-ranking queries use.
+LINEAR = {"overlap_ratio": 4.0, "exact_match": 2.0, "bm25_score": 0.05, "doc_len": -0.01}
 
 
 def clean(column: str) -> str:
@@ -173,6 +175,21 @@ PULLS = GROUPED | {
           round(sum(doubt * (1 - doubt) * change), 6) AS curvature FROM pulled GROUP BY query_id, doc_id""",
 }
 
+def linear() -> str:
+    exact = {"overlap_ratio": "(overlap_count / greatest(query_len, 1))"}  # before it is rounded
+    terms = [f"{weight}::DOUBLE * {exact.get(name, name)}" for name, weight in LINEAR.items()]
+    return f"round({' + '.join(terms)}, 6)"
+
+
+RERANKED = JUDGED | {
+    "rescored": f"SELECT query_id, doc_id, bm25_score, {linear()} AS model_score FROM j WHERE rank <= {TOP_K}",
+}
+
+# A record lists its documents in the order of the candidates; BM25 is that of the record's own list.
+LISTED = GROUPED | {
+    "listed": f"""SELECT query_id, document, rank AS place, {linear()} AS model_score FROM scored""",
+}
+
 LABELLED = JUDGED | {
     "labels3": "SELECT query_id, query, doc_id, document, relevance FROM j WHERE relevance > 0",
     "hard": f"""SELECT query_id, doc_id FROM (
@@ -344,6 +361,16 @@ def statements() -> dict[str, str]:
                   count(*) AS queries FROM per_query""",
         ),
         "ranker_gradients": sql(PULLS, "SELECT * FROM pulls WHERE curvature > 0"),
+        "search_linear": sql(
+            RERANKED,
+            """SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY model_score DESC, doc_id) AS rank,
+              doc_id, bm25_score, model_score FROM rescored""",
+        ),
+        "rank_documents_linear": sql(
+            LISTED,
+            """SELECT query_id, document, model_score,
+              row_number() OVER (PARTITION BY query_id ORDER BY model_score DESC, place) AS rank FROM listed""",
+        ),
         "failures": sql(
             RANKED,
             """SELECT p.query_id, p.query, p.document AS predicted_top_doc,

@@ -60,6 +60,25 @@ class Ranker:
         names.coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
 
 
+@dataclass(frozen=True)
+class LinearScorer:
+    """A fixed weighted sum of features, in place of a :class:`Ranker`; absent values count as 0."""
+
+    weights: dict[str, float]
+
+    @property
+    def features(self) -> list[str]:
+        return list(self.weights)
+
+    def predict(self, featured: DataFrame, score: str = "model_score") -> DataFrame:
+        """Add the sum at six decimals."""
+        require_columns(featured, self.features, "features")
+        total = F.lit(0.0)
+        for name, weight in self.weights.items():
+            total = total + weight * _number(name)
+        return featured.withColumn(score, F.round(total, 6))
+
+
 def load_ranker(spark: SparkSession, path: str) -> Ranker:
     """Raises ``FileNotFoundError`` if nothing was saved there."""
     from quillrank.sources.tables import read_parquet

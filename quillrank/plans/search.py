@@ -9,7 +9,7 @@ from quillrank.operators.bm25 import Bm25Index, bm25_group_score, bm25_retrieve
 from quillrank.operators.features import build_features
 from quillrank.operators.grouping import top_k_per_group
 from quillrank.operators.metrics import score_order
-from quillrank.operators.ranker import Ranker
+from quillrank.operators.ranker import LinearScorer, Ranker
 from quillrank.operators.semantic import Encoder
 from quillrank.schemas import require_columns
 from quillrank.session import materialise
@@ -17,7 +17,7 @@ from quillrank.session import materialise
 
 def rerank(
     candidates: DataFrame,
-    ranker: Ranker,
+    ranker: Ranker | LinearScorer,
     terms: DataFrame,
     tie: str = "doc_id",
     embeddings: tuple[DataFrame, DataFrame] | None = None,
@@ -53,7 +53,7 @@ def _ranked(scored: DataFrame, tie: str) -> DataFrame:
 def search(
     queries: DataFrame,
     index: Bm25Index,
-    ranker: Ranker,
+    ranker: Ranker | LinearScorer,
     terms: DataFrame,
     retrieve_top_k: int = 10,
     **similarity,
@@ -63,7 +63,7 @@ def search(
     return rerank(candidates, ranker, terms, **similarity)
 
 
-def rank_documents(requests: DataFrame, ranker: Ranker, terms: DataFrame, **similarity) -> DataFrame:
+def rank_documents(requests: DataFrame, ranker: Ranker | LinearScorer, terms: DataFrame, **similarity) -> DataFrame:
     """Rank the documents each request brings along: ``(query_id, query, documents)``.
 
     BM25 is scored within the request's own list, and the place in it breaks ties.
@@ -82,7 +82,7 @@ def rank_documents(requests: DataFrame, ranker: Ranker, terms: DataFrame, **simi
 
 
 def rank_record(
-    nested: DataFrame, ranker: Ranker, terms: DataFrame, top_k: int = 10, query: str | None = None
+    nested: DataFrame, ranker: Ranker | LinearScorer, terms: DataFrame, top_k: int = 10, query: str | None = None
 ) -> DataFrame:
     """For every nested record, the ``top_k`` of its own passages by BM25, re-ranked.
 

@@ -55,3 +55,15 @@ def test_report_of_the_large_run_is_stored_whole(spark, folder):
     (path,) = {file.rsplit("/", 1)[0] for file in result.inputFiles()}
     assert spark.read.parquet(path).first().asDict().keys() >= {"model_NDCG@10", "model_MRR", "model_MAP"}
     assert result.columns == ["rows_train", "rows_test"]
+
+
+def test_fixed_scorer_decides_rank_and_score(spark, folder, monkeypatch):
+    """The rows that SQL states depend on the scorer: other weights give other ranks."""
+    rows = entry.search_linear(spark, folder).collect()
+    for row in rows:
+        better = [r for r in rows if r["query_id"] == row["query_id"] and (-r["model_score"], r["doc_id"]) < (-row["model_score"], row["doc_id"])]
+        assert row["rank"] == len(better) + 1
+    monkeypatch.setattr(entry.oracle, "LINEAR", {"doc_len": 1.0})
+    other = {(r["query_id"], r["doc_id"]): (r["rank"], r["model_score"]) for r in entry.search_linear(spark, folder).collect()}
+    assert other.keys() == {(r["query_id"], r["doc_id"]) for r in rows}
+    assert any(other[r["query_id"], r["doc_id"]] != (r["rank"], r["model_score"]) for r in rows)
