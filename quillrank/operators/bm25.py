@@ -41,8 +41,8 @@ SEED_SHARE, SEEDS = 0.3, 3
 # Its most frequent tokens are left for last, as many as can add up to this share of the floor.
 LATE_SHARE = 0.9
 # Documents of like length per block of the highest contributions, in about this many classes of length, for tokens
-# with at least one document a block.
-BLOCK_DOCS, LENGTH_CLASSES = 64, 64
+# in at least this share of all documents; late tokens are seldom rarer.
+BLOCK_DOCS, LENGTH_CLASSES, BOUNDED_SHARE = 64, 64, 1 / 12
 # Room for rounding: final scores count at SCORE_DIGITS.
 BOUND_SLACK = 1e-5
 
@@ -115,11 +115,11 @@ def block_of(doc_id: Column, doc_len: Column, slices: int) -> Column:
 
 
 def block_bounds(postings: DataFrame, terms: DataFrame, n_docs: int, avg_len: Column, slices: int) -> DataFrame:
-    """``(token, block, block_top)`` of the tokens with a document a block on average: the highest saturated frequency.
+    """``(token, block, block_top)`` of the frequent tokens: the highest saturated frequency.
 
-    Such tokens are at most ``BLOCK_DOCS`` times as many as a document has.
+    Such tokens are at most ``1 / BOUNDED_SHARE`` times as many as a document has.
     """
-    frequent = terms.where(F.col("df") * BLOCK_DOCS >= n_docs).select("token")
+    frequent = terms.where(F.col("df") >= BOUNDED_SHARE * n_docs).select("token")
     frequent = F.broadcast(frequent) if is_small(frequent) else frequent
     weight = term_weight(F.col("tf"), F.col("doc_len"), avg_len)
     return (
@@ -406,7 +406,7 @@ def possible_pairs(
     staged = materialise(staged.withColumn("is_late", F.col("rest") <= LATE_SHARE * F.col("floor")), "bm25-staged")
     late, early = staged.where("is_late"), staged.where(~F.col("is_late"))
 
-    by_block = F.col("df") * BLOCK_DOCS >= index.n_docs
+    by_block = F.col("df") >= BOUNDED_SHARE * index.n_docs
     limits = staged.groupBy("query_id").agg(
         F.first("floor").alias("floor"),
         F.coalesce(F.max(F.when(F.col("is_late"), F.col("rest"))), F.lit(0.0)).alias("anywhere"),
