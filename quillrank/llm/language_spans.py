@@ -21,7 +21,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,12 @@ NGRAMS = (1, 2, 3, 4)
 SWITCH = 6.0
 #: Word scores that a Python worker remembers; beyond it the memory is emptied.
 REMEMBERED = 400_000
+#: New words whose n-grams are looked up and summed together.
+SCORED_TOGETHER = 4096
 #: Texts that Viterbi walks through together.
-TOGETHER = 2048
+TOGETHER = 512
+#: Rounding error allowed for in comparing scores.
+SLACK = 1e-3
 
 # First and last code point of the main blocks of scripts.
 SCRIPTS = {
@@ -57,7 +61,7 @@ SCRIPTS = {
     "kana": ((0x3040, 0x30FF), (0x31F0, 0x31FF)),
     "han": ((0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2FFFF)),
 }
-WORDS = regex.compile(r"[\p{L}\p{M}]*\p{L}[\p{L}\p{M}]*")
+WORDS = regex.compile(r"(?<![\p{L}\p{M}])\p{M}*+\p{L}[\p{L}\p{M}]*+")
 
 
 @lru_cache(maxsize=1 << 16)
@@ -98,15 +102,59 @@ class LanguageModel:
 
     def score(self, word: str) -> np.ndarray:
         """Log posterior of the languages given the lower-case word alone; minus infinity if not a candidate."""
-        get = self.rows.get
-        total = self.weights[[get(gram, len(gram)) for gram in word_ngrams(word)]].sum(0) / len(NGRAMS)
-        allowed = self.candidates(word)
-        if len(allowed) < len(total):
-            barred = np.full(len(total), -np.inf)
-            barred[allowed] = total[allowed]
-            total = barred
-        total = total - total.max()
-        return total - math.log(np.exp(total).sum())
+        return self.scores([word])[0]
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """``score`` of each word, all at once."""
+        framed = [f"^{word}$" for word in words]
+        numbers, tables = self._ngrams
+        codes = numbers[np.frombuffer("".join(framed).encode("utf-32-le"), np.uint32)]
+        lengths = np.array([len(word) for word in framed])
+        starts = np.cumsum(lengths) - lengths
+        left = np.repeat(starts + lengths, lengths) - np.arange(len(codes))  # characters from here to the word's end
+        total = np.zeros((len(codes), len(self.languages)))
+        keys = np.zeros(len(codes), np.uint64)
+        for n in NGRAMS:
+            if n <= len(codes):
+                # a key has 16 bits a character; n-grams that reach beyond the word count as row 0, which is zero
+                keys = (keys[: len(codes) - n + 1] << np.uint64(16)) | codes[n - 1 :]
+                known, rows = tables[n]
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                found = np.where(known[at] == keys, rows[at], n)
+                total[: len(keys)] += self.weights[np.where(left[: len(keys)] >= n, found, 0)]
+        total = np.add.reduceat(total, starts, axis=0) / len(NGRAMS)
+        barred: dict[tuple[int, ...], list[int]] = {}  # places of the words with these candidates only
+        latin = tuple(self.candidates("a"))
+        for place, word in enumerate(words):
+            barred.setdefault(latin if word.isascii() else tuple(self.candidates(word)), []).append(place)
+        for allowed, places in barred.items():
+            others = [i for i in range(len(self.languages)) if i not in allowed]
+            if others:
+                total[np.ix_(places, others)] = -np.inf
+        total -= total.max(1, keepdims=True)
+        return total - np.log(np.exp(total).sum(1, keepdims=True))
+
+    @cached_property
+    def _ngrams(self) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+        """Number of each code point, 0 for one not seen in training, and sorted keys with rows by n-gram length."""
+        seen = sorted({letter for gram in self.rows if len(gram) == 1 for letter in gram})
+        if len(seen) >= 1 << 16:
+            raise ValueError(f"{len(seen)} letters in the training texts, at most 65,535 fit a key")
+        numbers = np.zeros(0x110000, np.uint64)
+        for number, letter in enumerate(seen, 1):
+            numbers[ord(letter)] = number
+        tables = {}
+        for n in NGRAMS:
+            grams = [gram for gram in self.rows if len(gram) == n]
+            letters = np.array([[numbers[ord(letter)] for letter in gram] for gram in grams], np.uint64).reshape(-1, n)
+            keys = np.zeros(len(grams), np.uint64)
+            for column in letters.T:
+                keys = (keys << np.uint64(16)) | column
+            order = np.argsort(keys)
+            rows = np.array([self.rows[gram] for gram in grams], np.int64)[order]
+            # the last key stands for none, so that a table is never empty
+            tables[n] = np.append(keys[order], np.uint64(2**64 - 1)), np.append(rows, n)
+        return numbers, tables
 
 
 def fit(df: DataFrame, text: str = "text", language: str = "lang", texts: int = TRAINING_TEXTS) -> LanguageModel:
@@ -170,109 +218,159 @@ def fit(df: DataFrame, text: str = "text", language: str = "lang", texts: int =
     return LanguageModel(languages, rows, np.array(weights), {name: sorted(ids) for name, ids in scripts.items()})
 
 
+def certain(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """Per row the language ahead of all others by more than two changes, else -1.
+
+    The best sequence has that language there whatever stands around the word: putting it in adds two changes at most.
+    """
+    if scores.shape[1] == 1:
+        return np.zeros(len(scores), np.int16)
+    best = scores.argmax(1)
+    top = np.partition(scores, -2, axis=1)[:, -2:]
+    return np.where(top[:, 1] > top[:, 0] + 2 * switch + SLACK, best, -1).astype(np.int16)
+
+
 def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
+    """The best language of each word of each text, given a (words, languages) array per text."""
+    if not scores:
+        return []
+    ends = np.cumsum([len(own) for own in scores])
+    labels = best_paths(np.concatenate(scores), ends - [len(own) for own in scores], switch)
+    return np.split(labels, ends[:-1])
+
+
+def best_paths(scores: np.ndarray, starts: np.ndarray, switch: float = SWITCH, sure: np.ndarray | None = None) -> np.ndarray:
     """The best language of each word, for several texts at once.
 
-    ``scores`` has a (words, languages) array per text. All texts advance word by word together, the
-    longest first, so that those still going are a prefix.
+    ``scores`` has a row for each word, the texts one after the other; text i begins at ``starts[i]``. A text
+    falls apart before each word whose language is ``certain`` (``sure``, if known), as no path takes another one there.
+    All parts advance word by word together, the longest first, so that those still going are a prefix: a long
+    text takes as many steps as its longest part.
     """
-    order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
-    lengths = np.array([len(scores[i]) for i in order])
-    longest = int(lengths.max(initial=0))
-    if not longest:
-        return [np.zeros(0, np.int8) for _ in scores]
-    going = np.searchsorted(-lengths, -np.arange(longest), side="left")  # texts with a word at each step
-    flat = np.concatenate([scores[i] for i in order])
-    starts = np.cumsum(lengths) - lengths
-    states = flat.shape[1]
+    words, states = scores.shape
+    kind = np.int8 if states <= 127 else np.int32
+    if not words:
+        return np.zeros(0, kind)
+    sure = certain(scores, switch) if sure is None else sure
+    opens = sure >= 0
+    opens[starts[starts < words]] = True
+    first = np.flatnonzero(opens)
+    lengths = np.diff(first, append=words)
+    # the language that the next part of the same text begins with, or -1
+    ends = np.append(sure[first[1:]], -1)
+    text_starts = np.zeros(words, bool)
+    text_starts[starts[starts < words]] = True
+    ends[:-1][text_starts[first[1:]]] = -1
+
+    order = np.argsort(-lengths, kind="stable")
+    first, lengths, ends = first[order], lengths[order], ends[order]
+    longest = int(lengths[0])
+    going = np.searchsorted(-lengths, -np.arange(longest), side="left")  # parts with a word at each step
+    best = scores[first].astype(np.float64)
+    fixed = sure[first]
+    known = np.flatnonzero(fixed >= 0)
+    best[known] = -np.inf
+    best[known, fixed[known]] = 0.0
     back: list[np.ndarray] = []
-    best = np.zeros((len(order), states))
-    for step in range(longest):
+    for step in range(1, longest):
         n = going[step]
-        here = flat[starts[:n] + step]
-        if step == 0:
-            best[:n] = here
-            continue
         before = best[:n]
         top = before.argmax(1)
         moved = before[np.arange(n), top] - switch
         stay = before >= moved[:, None]
-        back.append(np.where(stay, np.arange(states)[None, :], top[:, None]).astype(np.int8))
-        best[:n] = np.where(stay, before, moved[:, None]) + here
-    labels = np.zeros(len(flat), np.int8)
-    ends = best.argmax(1)
-    current = ends.astype(np.int8)
+        back.append(np.where(stay, np.arange(states)[None, :], top[:, None]).astype(kind))
+        best[:n] = np.where(stay, before, moved[:, None]) + scores[first[:n] + step]
+    top = best.argmax(1)
+    every = np.arange(len(first))
+    onward = np.where(best[every, ends] >= best[every, top] - switch, ends, top)
+    current = np.where(ends >= 0, onward, top).astype(kind)
+    labels = np.zeros(words, kind)
     for step in range(longest - 1, -1, -1):
         n = going[step]
-        labels[starts[:n] + step] = current[:n]
+        labels[first[:n] + step] = current[:n]
         if step:
             current[:n] = back[step - 1][np.arange(n), current[:n]]
-    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(scores)
-    for place, i in enumerate(order):
-        out[i] = labels[starts[place] : starts[place] + lengths[place]]
-    return out
+    return labels
 
 
 class _Words(dict):
-    """Row of each word in the growing table of scores and letters."""
+    """Row of each word in the growing table of scores, letters and certain languages."""
 
-    def __init__(self, model: LanguageModel) -> None:
+    def __init__(self, model: LanguageModel, switch: float) -> None:
         super().__init__()
         self.model = model
-        self.scores = np.zeros((1024, len(model.languages)), np.float32)
-        self.letters = np.zeros(1024, np.int64)
-
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-        self.scores[row] = self.model.score(word)
-        self.letters[row] = len(word)
-        self[word] = row
-        return row
-
-
-def _word_table(model: LanguageModel, name: str) -> _Words:
-    """One table for each model and worker; a full one is emptied."""
-    table = held(name, lambda: _Words(model))
-    if len(table) >= REMEMBERED:
-        table.clear()
-    return table
-
-
-def label_texts(
-    texts: list[str | None], table: _Words, switch: float = SWITCH, want_spans: bool = False
-) -> list[tuple[str, float, list]]:
+        self.switch = switch
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.scores = np.zeros((1024, len(self.model.languages)), np.float32)
+        self.letters = np.zeros(1024, np.int32)
+        self.sure = np.zeros(1024, np.int16)
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The rows of the words; those not met before are scored together."""
+        new = list(set(words).difference(self))
+        if len(self) + len(new) > REMEMBERED and len(self):
+            self.clear()
+            new = list(set(words))
+        while len(self) + len(new) > len(self.scores):
+            for name in ("scores", "letters", "sure"):
+                held_now = getattr(self, name)
+                setattr(self, name, np.concatenate([held_now, np.zeros_like(held_now)]))
+        for at in range(0, len(new), SCORED_TOGETHER):
+            part = new[at : at + SCORED_TOGETHER]
+            first = len(self)
+            scores = self.model.scores(part).astype(np.float32)
+            self.scores[first : first + len(part)] = scores
+            self.letters[first : first + len(part)] = [len(word) for word in part]
+            self.sure[first : first + len(part)] = certain(scores, self.switch)
+            self.update(zip(part, range(first, first + len(part))))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
+def _word_table(model: LanguageModel, name: str, switch: float = SWITCH) -> _Words:
+    """One table for each model and worker, kept from task to task; one that would outgrow its bound is emptied."""
+    return held(name, lambda: _Words(model, switch))
+
+
+def label_texts(texts: list[str | None], table: _Words, want_spans: bool = False) -> list[tuple[str, float, list]]:
     """Language, score and spans ``(first character, end, language)`` of each text."""
     languages = table.model.languages
     if not languages:
         return [(UNKNOWN, 0.0, []) for _ in texts]
-    rows = []
+    words: list[str] = []
+    starts = [0]
     for text in texts:
-        words = WORDS.findall((text or "").lower())  # lower case changes no word's place in the order
-        rows.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
-    labels = viterbi([table.scores[r] for r in rows], switch)
+        words += WORDS.findall((text or "").lower())  # lower case changes no word's place in the order
+        starts.append(len(words))
+    rows = table.rows(words)
+    scores, letters = table.scores[rows], table.letters[rows].astype(np.int64)
+    labels = best_paths(scores, np.array(starts[:-1]), table.switch, table.sure[rows])
+    of_text = np.repeat(np.arange(len(texts)), np.diff(starts))
+    mass = np.zeros((len(texts), len(languages)))
+    np.add.at(mass, (of_text, labels), letters)
+    best = mass.argmax(1)
+    mine = labels == best[of_text]
+    certainty = np.exp(scores[np.arange(len(rows)), best[of_text]].astype(np.float64)) * letters
+    sure = np.bincount(of_text[mine], certainty[mine], len(texts))
     out = []
-    for text, own, label in zip(texts, rows, labels):
-        if not len(own):
+    for i, text in enumerate(texts):
+        first, end = starts[i], starts[i + 1]
+        if first == end:
             out.append((UNKNOWN, 0.0, []))
             continue
-        letters = table.letters[own]
-        mass = np.bincount(label, weights=letters, minlength=len(languages))
-        best = int(mass.argmax())
-        mine = label == best
-        sure = float((np.exp(table.scores[own[mine], best]) * letters[mine]).sum() / letters[mine].sum())
-        score = float(mass[best] / letters.sum()) * (0.5 + 0.5 * sure)
+        most = mass[i, best[i]]
+        score = float(most / mass[i].sum()) * (0.5 + 0.5 * float(sure[i] / most))
         spans = []
         if want_spans:
             places = [match.span() for match in WORDS.finditer(text)]
-            for (first, end), each in zip(places, label.tolist()):
+            for (begin, stop), each in zip(places, labels[first:end].tolist()):
                 if spans and spans[-1][2] == languages[each]:
-                    spans[-1] = (spans[-1][0], end, languages[each])
+                    spans[-1] = (spans[-1][0], stop, languages[each])
                 else:
-                    spans.append((first, end, languages[each]))
-        out.append((languages[best], min(1.0, score), spans))
+                    spans.append((begin, stop, languages[each]))
+        out.append((languages[best[i]], min(1.0, score), spans))
     return out
 
 
@@ -284,7 +382,7 @@ def identify(
     The model is broadcast: its size is bounded by the training sample.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    name = f"model-{shared._jbroadcast.id()}-{df.sparkSession.sparkContext.applicationId}"
+    name = f"model-{shared._jbroadcast.id()}-{switch}-{df.sparkSession.sparkContext.applicationId}"
     others = [column for column in df.columns if column not in (text, "lang_pred", "score", "spans")]
     kept = df.select(F.col(f"`{text}`").alias("_text"), *[F.col(f"`{column}`") for column in others])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:])
@@ -298,14 +396,14 @@ def identify(
         for batch in batches:
             results: list = []
             for at in range(0, batch.num_rows, TOGETHER):
-                table = _word_table(shared.value, name)
-                results += label_texts(batch.column(0).slice(at, TOGETHER).to_pylist(), table, switch, spans)
+                table = _word_table(shared.value, name, switch)
+                results += label_texts(batch.column(0).slice(at, TOGETHER).to_pylist(), table, spans)
             columns = [*batch.columns[1:], pa.array([r[0] for r in results], pa.string()), pa.array([r[1] for r in results], pa.float64())]
             if spans:
                 kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
                 columns.append(pa.array([[dict(zip(("first", "end", "lang"), s)) for s in r[2]] for r in results], kind))
             yield pa.RecordBatch.from_arrays(columns, names)
-        give_back(name)
+        give_back()
 
     return map_batches(kept, run, schema)
 
@@ -315,19 +413,19 @@ def accept(
 ) -> DataFrame:
     """Rows of ``df`` with letters and a score of ``min_score`` or more; null languages are filled in."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    name = f"model-{shared._jbroadcast.id()}-{df.sparkSession.sparkContext.applicationId}"
+    name = f"model-{shared._jbroadcast.id()}-{switch}-{df.sparkSession.sparkContext.applicationId}"
     place, labelled = df.columns.index(text), df.columns.index(language)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
-                results = label_texts(part.column(place).to_pylist(), _word_table(shared.value, name), switch)
+                results = label_texts(part.column(place).to_pylist(), _word_table(shared.value, name, switch))
                 known = part.column(labelled).to_pylist()
                 filled = [own if own is not None else lang for own, (lang, _, _) in zip(known, results)]
                 part = part.set_column(labelled, part.schema.field(labelled), pa.array(filled, part.schema.field(labelled).type))
                 keep = [lang != UNKNOWN and score >= min_score for lang, score, _ in results]
                 yield part.filter(pa.array(keep, pa.bool_()))
-        give_back(name)
+        give_back()
 
     return map_batches(df, run, df.schema)
