@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,9 +46,10 @@ CLOSES = {
 }
 _P_ENDERS = BLOCKS - {"html", "body", "label", "legend"}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S
-)
+COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.S)
+TAG_START = re.compile(r"<(/?)(?=[a-zA-Z])")
+NAME_END = re.compile(r"[\s/>]")
+TAG_MARK = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-label|data-main)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 NAME = re.compile(r"[a-z]+")
 #: End tags of elements whose inside is text up to there; a title's only in the head.
@@ -69,20 +71,81 @@ class Node:
     stops: int = 0
 
 
-def tokens(html: str) -> Iterator[re.Match | None]:
+class Token(NamedTuple):
+    """A tag (with a name) or text; comments and declarations are empty text."""
+
+    raw: str
+    name: str | None = None
+    closing: bool = False
+    rest: str = ""
+
+
+class _Reader:
+    """Tokens by place, in one pass: what was looked for once from an earlier place is not looked for again.
+
+    A tag ends at the first ``>`` outside quotes; one that has none, or a quote that does not end, is text.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.last = html.rfind(">")
+        self.name_end = self.mark = -1  # the next ones, as far as looked for
+        self.open_quotes: set[int] = set()  # places of quotes that no end of a tag follows
+
+    def _next(self, pattern: re.Pattern, at: int) -> int:
+        match = pattern.search(self.html, at)
+        return match.start() if match else len(self.html)
+
+    def _tag_end(self, at: int) -> int:
+        if self.mark < at:
+            self.mark = self._next(TAG_MARK, at)
+        here, quotes = self.mark, []
+        while here < len(self.html):
+            if self.html[here] == ">":
+                return here + 1
+            close = -1 if here in self.open_quotes else self.html.find(self.html[here], here + 1)
+            quotes.append(here)
+            if close < 0:
+                break
+            here = self._next(TAG_MARK, close + 1)
+        self.open_quotes.update(quotes)
+        return -1
+
+    def token(self, at: int) -> tuple[Token, int]:
+        """The token at this place and where it ends."""
+        html = self.html
+        if html.startswith("<!--", at):
+            return Token(""), COMMENT.match(html, at).end()
+        if html[at] == "<" and at < self.last:
+            if html[at + 1] in "!?":
+                return Token(""), html.index(">", at) + 1
+            start = TAG_START.match(html, at)
+            if start:
+                if self.name_end < start.end():
+                    self.name_end = self._next(NAME_END, start.end())
+                end = self._tag_end(self.name_end)
+                if end >= 0:
+                    name = html[start.end() : self.name_end].lower()
+                    return Token(html[at:end], name, bool(start.group(1)), html[self.name_end : end - 1]), end
+        end = html.find("<", at + 1)
+        end = end if end >= 0 else len(html)
+        return Token(html[at:end]), end
+
+
+def tokens(html: str) -> Iterator[Token | None]:
     """Tokens of a page without the inside of scripts and the like; None stands before what follows such an inside.
 
     A raw element ends with its end tag only, whatever it holds; without one, a script or style sheet ends with
     an element that it stands in, and the text of the others is read as mark-up.
     """
     at, missing, opened, in_head = 0, set(), Counter(), False
+    reader = _Reader(html)
     while at < len(html):
-        match = TOKEN.match(html, at)
-        at = match.end()
-        yield match
-        if match.group(2) is None:
+        token, at = reader.token(at)
+        yield token
+        name, closing = token.name, token.closing
+        if name is None:
             continue
-        name, closing = match.group(2).lower(), match.group(1)
         if name == "head":
             in_head = not closing
         elif name in BLOCKS and name != "html":
@@ -103,21 +166,21 @@ def tokens(html: str) -> Iterator[re.Match | None]:
         yield None
 
 
-def skips(found: list[re.Match | None]) -> dict[int, int]:
+def skips(found: list[Token | None]) -> dict[int, int]:
     """Token after each skipped element that has its end tag within its parent, by the place of its start."""
     ends: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
     open_now: Counter = Counter()
-    for i, match in enumerate(found):
-        if match is None or match.group(2) is None:
+    for i, token in enumerate(found):
+        if token is None or token.name is None:
             continue
-        name = match.group(2).lower()
+        name = token.name
         if name in VOID or not (name in BLOCKS or name in SKIPPED) or name == "head":
             continue
-        if not match.group(1):
+        if not token.closing:
             if i + 1 < len(found) and found[i + 1] is None:  # its inside is left out already
                 ends[i] = i + 2
-            elif name in BLOCKS or not match.group(3).endswith("/"):
+            elif name in BLOCKS or not token.rest.endswith("/"):
                 stack.append((name, i))
                 open_now[name] += 1
         elif open_now[name]:
@@ -139,16 +202,17 @@ def parse(html: str) -> list[Node]:
     """
     nodes = [Node("page")]
     stack = [0]
+    opened: Counter = Counter()  # block elements on the stack, by name
     place, links, skipping, beyond = 0, 0, "", 0
     found = list(tokens(html))
     ends = skips(found)
-    for i, match in enumerate(found):
-        if match is None or i < beyond:
+    for i, token in enumerate(found):
+        if token is None or i < beyond:
             continue
-        name = match.group(2)
+        name, closing = token.name, token.closing
         if name is None:
-            raw = match.group()
-            if raw[:2] in ("<!", "<?"):
+            raw = token.raw
+            if not raw:
                 continue
             if skipping == "head" and not raw.isspace():
                 skipping = ""
@@ -163,7 +227,6 @@ def parse(html: str) -> list[Node]:
             if links:
                 node.linked += bare
             continue
-        name, closing = name.lower(), match.group(1)
         if skipping == "head":
             if name == "title" and not closing:
                 if i + 1 == len(found) or found[i + 1] is not None:
@@ -176,7 +239,7 @@ def parse(html: str) -> list[Node]:
         if name in SKIPPED:
             if not closing and i in ends:
                 beyond = ends[i]
-            elif not closing and not skipping and not match.group(3).endswith("/"):
+            elif not closing and not skipping and not token.rest.endswith("/"):
                 skipping = name
         elif skipping:
             continue
@@ -190,26 +253,27 @@ def parse(html: str) -> list[Node]:
         elif name in BLOCKS:
             place += 1
             if closing:
-                for at in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[at]].tag == name:
-                        del stack[at:]
+                while opened[name]:
+                    last = nodes[stack.pop()].tag
+                    opened[last] -= 1
+                    if last == name:
                         break
                 links = 0
             else:
                 if name in _P_ENDERS and nodes[stack[-1]].tag == "p":
-                    stack.pop()
+                    opened[nodes[stack.pop()].tag] -= 1
                 ended = CLOSES.get(name)
                 while ended and nodes[stack[-1]].tag in ended:
-                    stack.pop()
-                attributes = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(match.group(3))}
+                    opened[nodes[stack.pop()].tag] -= 1
+                attributes = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(token.rest)}
                 label = attributes.pop("data-main", None)
                 names = tuple(NAME.findall(" ".join(attributes.values()).lower()))
                 if "hidden" in attributes:
                     names += ("hidden",)
                 above = nodes[stack[-1]].label
                 nodes.append(Node(name, names, stack[-1], int(label) if label else above))
-                if len(stack) < 400:  # deeper ones are siblings
-                    stack.append(len(nodes) - 1)
+                stack.append(len(nodes) - 1)
+                opened[name] += 1
     return nodes
 
 

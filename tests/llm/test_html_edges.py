@@ -1,5 +1,7 @@
 """Pages whose scripts, heads or left-out elements do not end as they should keep their article."""
 
+import time
+
 import pytest
 
 from quillrank.llm import html_tree
@@ -45,3 +47,46 @@ def test_many_unclosed_elements_take_linear_time():
     assert len(html_tree.parse(page)) == 20_001
     page = "<div><button>a<object><p>x" * 20_000
     assert len(html_tree.parse(page)) == 40_001
+
+
+def shown(page):
+    nodes = html_tree.parse(page)
+    return [" ".join(text.split()) for text in ("".join(text for _, text in node.texts) for node in nodes) if text.strip()]
+
+
+def test_comments_end_as_browsers_end_them():
+    inner = "<p>one</p>{}<p>two</p><!-- x --><p>three</p>"
+    for comment in ("<!-->", "<!--->", "<!---->", "<!-- a --!>", "<!-- > <p>no</p> -->", "<!doctype html>", "<?php x ?>"):
+        assert shown(inner.format(comment)) == ["one", "two", "three"], comment
+    assert shown("<p>one</p><!-- never closed <p>two</p>\n") == ["one"]
+
+
+def test_tags_end_outside_quotes_and_unended_ones_are_text():
+    assert shown("<p title='a > b' class=\"c > d\">one</p>") == ["one"]
+    assert shown("<p>a < b and c<d") == ["a < b and c<d"]
+    assert shown("<p>one <b title=\"never closed>two") == ["one <b title=\"never closed>two"]
+    assert shown("<p>one <b title=\"never closed <i>two</i>") == ["one <b title=\"never closed two"]
+    assert shown("<p>5 <!6 <7") == ["5 <!6 <7"]
+
+
+@pytest.mark.parametrize("depth", [10, 390, 410, 20_000])
+def test_depth_changes_nothing(depth):
+    menu = '<ul class="menu nav"><li><a href=x>Home</a></li></ul>'
+    page = f"<body>{'<div>' * depth}{menu}{ARTICLE}{'</div>' * depth}</body>"
+    nodes = html_tree.parse(page)
+    li = next(i for i, node in enumerate(nodes) if node.tag == "li")
+    assert nodes[nodes[li].parent].tag == "ul" and html_tree.extract(page, html_tree.default_model()) == TEXT
+
+
+@pytest.mark.parametrize("piece", [
+    "</i x", '<a "', "<a ", "<a b='", "<!", "<?x '", "<a<a<a", "<a<b \"'", "<a \"'<b '\"", "<div>", "</p><div>", "<!--", "<p><div></b>",
+])
+def test_long_pages_of_broken_tags_take_linear_time(piece):
+    def seconds(size, end):
+        page = piece * (size // len(piece)) + end
+        start = time.process_time()
+        html_tree.parse(page)
+        return time.process_time() - start
+
+    for end in ("", ">", '">', "'>"):
+        assert seconds(1_000_000, end) < 10  # minutes, if each tag looked through the rest of the page
