@@ -4,7 +4,7 @@ The items are indexed, every passage of every training text is a query. A term's
 its BM25 share of the item's own full score, so a passage that holds all of an item's terms scores 1.
 Blocks of items whose highest impacts cannot sum to ``THRESHOLD`` are skipped; in the others WAND walks the
 postings in item order, from one pivot that can reach it to the next. All items at or above it are retrieved. A retrieved item counts if
-the passage holds enough word n-grams of its question and of its answer; of short ones, words in order do too.
+the passage holds enough word n-grams of its question and of its answer; of short ones, all words but one in order do too.
 A benchmark row without separate answer is verified as one whole.
 
 Passages are windows of three times as many words as the longest item has, twice as many words apart, so
@@ -41,6 +41,10 @@ QUESTION, ANSWER = 0.6, 0.5
 NGRAM = 5
 #: Parts of fewer words are also verified by their words in order.
 SHORT = 4 * NGRAM
+#: Parts of this many words may lie in a slightly longer stretch.
+LOOSE = 8
+#: Words of an answer one of which may differ; of a question, ``NGRAM``.
+LEAST_ANSWER = 3
 #: Items of a block.
 BLOCK = 4
 #: Rounding error allowed for in comparing sums of impacts with the threshold.
@@ -48,6 +52,7 @@ SLACK = 1e-9
 #: Bytes of items that are indexed and broadcast at once; larger item tables are searched in such blocks.
 INDEX_BYTES = 16 * 1024 * 1024
 REMEMBERED = 200_000
+NO_TERM = (-1,)
 WORD = re.compile(r"\w+")
 
 
@@ -226,7 +231,7 @@ def _ordered(part: list[str], passage: list[str]) -> float:
     for i, word in enumerate(part):
         places[word] = places.get(word, 0) | 1 << i
     own = [places.get(word, 0) for word in passage]
-    width = n + max(1, n // NGRAM)
+    width = n + (max(1, n // NGRAM) if n >= LOOSE else 0)
     seen = [0, *accumulate(map(bool, own))]
     best, whole = 0, (1 << n) - 1
     for start, bits in enumerate(own):
@@ -240,16 +245,16 @@ def _ordered(part: list[str], passage: list[str]) -> float:
     return best / n
 
 
-def _held_share(part: list[str], passage: list[str]) -> float:
-    """Share of the part's n-grams that the passage holds, or of its words in order if the part is short.
+def _held_share(part: list[str], passage: list[str], least: int = NGRAM) -> float:
+    """Share of the part's n-grams that the passage holds, or of its words if all but one stand there in order.
 
-    One changed word takes ``NGRAM`` n-grams, too much of a short part. Words in order count from ``QUESTION`` on,
-    and for three words at least.
+    One changed word takes ``NGRAM`` n-grams, too much of a short part; a part of ``SHORT`` words keeps enough of them.
+    Parts of fewer than ``least`` words must be there as they are, as a word less says too little.
     """
     share = _share(part, passage, NGRAM)
-    if share < 1.0 and 3 <= len(part) < SHORT:
+    if share < 1.0 and least <= len(part) < SHORT:
         ordered = _ordered(part, passage)
-        if ordered >= QUESTION:
+        if ordered * len(part) > len(part) - 1.5:
             return max(share, ordered)
     return share
 
@@ -262,7 +267,11 @@ class _Words(dict):
         self.terms = index.terms
 
     def __missing__(self, raw: bytes) -> tuple[int, ...]:
-        found = tuple(self.terms.get(word, -1) for word in words_of(raw.decode()))
+        word = raw.decode().lower()
+        if word.isalnum():  # the usual case: one word and nothing else
+            found = (self.terms[word],) if word in self.terms else NO_TERM
+        else:
+            found = tuple(self.terms.get(own, -1) for own in words_of(word))
         if len(self) >= REMEMBERED:
             self.clear()
         if len(raw) <= 64:
@@ -283,7 +292,7 @@ def text_matches(text: str | None, index: Index, words: _Words) -> dict[int, tup
                 spelled = words_of(text)
             passage = spelled[start : start + 3 * index.step]
             item = index.items[number]
-            asked, replied = _held_share(item.question, passage), _held_share(item.answer, passage)
+            asked, replied = _held_share(item.question, passage), _held_share(item.answer, passage, LEAST_ANSWER)
             if asked >= QUESTION and replied >= ANSWER and (score, asked, replied) > out.get(number, (0.0, 0.0, 0.0)):
                 out[number] = (score, asked, replied)
     return out

@@ -52,3 +52,25 @@ def test_order_counts_and_scattered_words_do_not():
     assert decontaminate._held_share(part, [w for word in part for w in (word, "x", "y", "z")]) < 0.6
     assert decontaminate._held_share(part, ["x", *part[:5], "y", *part[6:]]) == pytest.approx(11 / 12)
     assert decontaminate._held_share(["one", "two"], ["two", "x", "one"]) == 0.0
+
+
+@pytest.mark.parametrize("item, text, leak", [
+    ("capital of france", "the capital of spain is nice", False),
+    ("capital of france", "the Capital of France, is nice", True),
+    ("where is the lake", "where is the river then", False),
+    ("where is the old lake", "and where is the new lake then", True),
+    ("where is the old lake", "and where is it that the new lake lies", False),
+    ("one two three four five six seven", "one two x three four y six seven", False),
+    ("one two three four five six seven eight nine ten", "one x three four five six y eight nine ten", False),
+])
+def test_few_words_must_stand_there_but_for_one(spark, item, text, leak):
+    table = spark.createDataFrame([(1, item)], "item_id LONG, text STRING")
+    df = spark.createDataFrame([(1, text)], "doc_id LONG, text STRING")
+    assert decontaminate.matches(df, table).count() == (1 if leak else 0)
+
+
+def test_words_are_alike_with_and_without_the_short_cut():
+    index = decontaminate.build_index([(1, "été İx a_b 12", None)], 1, 5.0, {w: 1 for w in decontaminate.words_of("été İx a_b 12")}, 16)
+    known = decontaminate._Words(index)
+    for raw in ("été", "ÉTÉ,", "İx", "a_b", "12", "x-12", "ⅷ", "²", "·", "a’b"):
+        assert list(known[raw.encode()]) == [index.terms.get(word, -1) for word in decontaminate.words_of(raw)]
