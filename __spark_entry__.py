@@ -26,7 +26,9 @@ from quillrank.streaming import jobs
 try:  # the only place that knows whether the training-data subpackage is there
     import corpus_pipeline
     from quillrank.llm import queries as llm_queries
-except ImportError:
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "quillrank.llm"):
+        raise  # it is there, but something that it needs is not
     corpus_pipeline = llm_queries = None
 
 # Boosting rounds of the fits below; the library's own defaults are 200 and 300.

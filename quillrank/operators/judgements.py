@@ -32,8 +32,8 @@ def build_judgements(
 ) -> DataFrame:
     """``(query_id, query, document, relevance)``: all selected passages, then the first others.
 
-    Records without a selected passage are dropped. ``max_records`` keeps that many of the rest, in
-    ``query_id`` order; it needs the whole input and so works on a batch only. Stateless otherwise.
+    Records without a selected passage are dropped. ``max_records`` keeps exactly that many of the rest (all, if
+    fewer), in ``query_id`` order; it needs the whole input and so works on a batch only. Stateless otherwise.
     """
     kept = (
         nested.select(
@@ -45,11 +45,10 @@ def build_judgements(
         .where(F.size("selected") > 0)
     )
     if max_records is not None:
-        ordered = running_sums(
-            kept.select("query_id"), [], [F.col("query_id")], {"place": F.lit(1)}
-        )
-        cut = ordered.where(F.col("place") <= max_records).agg(F.max("query_id").alias("cut")).scalar()
-        kept = kept.where(F.col("query_id") <= cut)
+        # records that share an id are ordered by what they hold, so that the cap cuts between them
+        total = [F.col("query_id"), F.xxhash64(*kept.columns), *map(F.col, kept.columns[1:])]
+        ordered = running_sums(kept, [], total, {"_place": F.lit(1)})
+        kept = ordered.where(F.col("_place") <= max_records).drop("_place")
     rows = F.concat(
         _labelled(F.col("selected"), POSITIVE),
         _labelled(F.slice("others", 1, max_negatives), NEGATIVE),

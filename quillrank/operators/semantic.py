@@ -3,36 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
+from itertools import chain
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, Normalizer
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.text import bind, clean_text, hash_number, tokens
+from quillrank.functions.text import clean_text
 from quillrank.functions.vectors import cosine
 from quillrank.operators.grouping import skew_join
-from quillrank.session import materialise
+from quillrank.session import let_workers_import, materialise
 
 DIMENSIONS = 256
 SIMILARITY_DIGITS = 6
 STEM_LETTERS = (5, 4)
+# Words whose dimensions a task remembers, and texts it counts at once.
+REMEMBERED_WORDS = 200_000
+TEXTS_AT_ONCE = 1_000
 
 # Maps batches with a ``text`` column to the same batches with an added ``vector`` column.
 Encoder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
-def _stem(letters: int) -> Callable[[Column], Column]:
-    def stem(word: Column) -> Column:
-        return F.concat(F.lit(f"{letters}:"), F.left(word, F.lit(letters)))
-
-    return stem
-
-
-def subwords(words: Column) -> Column:
-    """Every word with its first five and first four letters; forms of a word share the latter."""
-    return F.concat(words, *[F.transform(words, _stem(letters)) for letters in STEM_LETTERS])
+def subwords(word: str) -> list[str]:
+    """A word with its first five and first four letters; forms of a word share the latter."""
+    return [word, *[f"{letters}:{word[:letters]}" for letters in STEM_LETTERS]]
 
 
 def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int = DIMENSIONS) -> DataFrame:
@@ -46,16 +44,53 @@ def text_embed(df: DataFrame, text: str, vector: str = "vector", dimensions: int
 
 def _embed_clean(df: DataFrame, clean: str, vector: str, dimensions: int = DIMENSIONS) -> DataFrame:
     """A piece counts in the dimension that the MD5 of its text names, the same in every session."""
+    let_workers_import(df.sparkSession)
+    return df.withColumn(vector, _embedder(dimensions)(F.col(clean)))
 
-    def dimension(piece: Column) -> Column:
-        return (hash_number(F.md5(piece)) % dimensions).cast("string")
 
-    places = df.withColumn("_places", F.transform(bind(tokens(F.col(clean)), subwords), dimension))
-    counter = CountVectorizerModel.from_vocabulary(
-        [str(i) for i in range(dimensions)], inputCol="_places", outputCol="_counts"
-    )
-    unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counter.transform(places))
-    return unit.withColumn(vector, vector_to_array("_unit")).drop("_places", "_counts", "_unit")
+def _embedder(dimensions: int) -> Callable[[Column], Column]:
+    """Cleaned texts to unit vectors, batch by batch, each distinct word of a task hashed once.
+
+    A task remembers ``REMEMBERED_WORDS`` words and counts ``TEXTS_AT_ONCE`` texts at once, whatever it reads.
+    """
+
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = _Dimensions(dimensions)
+        for batch in batches:
+            parts = [
+                words.unit_vectors(batch.slice(at, TEXTS_AT_ONCE).to_pylist())
+                for at in range(0, len(batch), TEXTS_AT_ONCE)
+            ]
+            values = np.concatenate([*parts, np.zeros((0, dimensions))]).ravel()
+            ends = np.arange(len(batch) + 1, dtype=np.int32) * dimensions
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+    return F.arrow_udf(embed, "array<double>")
+
+
+class _Dimensions(dict):
+    """The dimensions of each word's pieces, found when it is first met."""
+
+    def __init__(self, dimensions: int) -> None:
+        super().__init__()
+        self.dimensions = dimensions
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        # the first 15 hex digits of the hash as a number, as ``hash_number`` reads them
+        found = tuple(int(md5(piece.encode()).hexdigest()[:15], 16) % self.dimensions for piece in subwords(word))
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        self[word] = found
+        return found
+
+    def unit_vectors(self, texts: list[str | None]) -> np.ndarray:
+        counts = np.zeros((len(texts), self.dimensions))
+        for row, text in zip(counts, texts):
+            places = list(chain.from_iterable(map(self.__getitem__, (text or "").split())))
+            if places:
+                row += np.bincount(places, minlength=self.dimensions)
+        norms = np.sqrt((counts * counts).sum(1, keepdims=True))
+        return counts / np.where(norms > 0, norms, 1.0)
 
 
 def encode_texts(texts: DataFrame, encoder: Encoder) -> DataFrame:

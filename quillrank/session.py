@@ -88,10 +88,15 @@ def discarding(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.open = _scopes.open[:-1]
-        configuration = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in made:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(configuration).delete(folder, True)
+        remove_paths(spark, made)
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders that this library wrote, on any file system Spark reaches."""
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(configuration).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quillrank.operators.grouping import running_sums
 from quillrank.operators.labels import cap_whole_queries
 from quillrank.schemas import EXPERIMENT_LOG, JUDGEMENT_SHARD, NESTED_RECORDS
+from quillrank.session import materialise, remove_paths
 
 ROWS_PER_SHARD = 250_000
 
@@ -59,6 +61,49 @@ def write_shards(df: DataFrame, path: str, rows_per_shard: int = ROWS_PER_SHARD)
     writer.option("maxRecordsPerFile", rows_per_shard).parquet(path)
 
 
+def write_shards_to_target(
+    df: DataFrame,
+    path: str,
+    target_bytes: int,
+    order: Sequence[str] = ("query_id", "relevance", "document"),
+    rows_per_shard: int = ROWS_PER_SHARD,
+) -> DataFrame:
+    """Numbered zstd shards ``shard=0, 1, ...`` of ``rows_per_shard`` rows, up to and with the one that reaches ``target_bytes``.
+
+    Returns ``(shard, bytes, total_bytes)`` of what was written, fewer bytes than the target if the rows run out. Rows
+    are numbered in ``order`` (equal rows need no order); what the target leaves out is never encoded, but for a
+    wave's estimate: each wave of shards is one job, as large as the bytes per shard so far let expect, and shards
+    beyond the target are removed again. An empty ``df`` gives no shards.
+    """
+    spark = df.sparkSession
+    place = running_sums(df, [], [F.col(name) for name in order], {"_place": F.lit(1)})
+    shard = F.floor((F.col("_place") - 1) / F.lit(rows_per_shard)).cast("int")
+    numbered = materialise(place.withColumn("shard", shard).drop("_place"), "numbered-rows")
+    shards = numbered.agg(F.coalesce(F.max("shard") + 1, F.lit(0))).first()[0]
+    sizes = spark.createDataFrame([], "shard int, bytes long, total_bytes long")
+    numbered.where(F.lit(False)).drop("shard").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    written, total = 0, 0
+    while written < shards and total < target_bytes:
+        wave = 1 if not written else max(1, int((target_bytes - total) * written / max(1, total)))
+        last = min(shards, written + wave)
+        rows = numbered.where((F.col("shard") >= written) & (F.col("shard") < last)).repartition("shard")
+        rows.write.mode("append").option("compression", "zstd").partitionBy("shard").parquet(path)
+        written = last
+        sizes = _shard_sizes(spark, path)
+        total = sizes.agg(F.max("total_bytes")).first()[0]
+    beyond = sizes.where(F.col("total_bytes") - F.col("bytes") >= target_bytes)
+    remove_paths(spark, [f"{path}/shard={row['shard']}" for row in beyond.toLocalIterator()])
+    return sizes.where(F.col("total_bytes") - F.col("bytes") < target_bytes)
+
+
+def _shard_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """One small row a shard: its bytes and those up to it, fixed at the time of the call."""
+    files = spark.read.parquet(path).select("shard", "_metadata.file_path", "_metadata.file_size").distinct()
+    sizes = files.groupBy("shard").agg(F.sum("file_size").alias("bytes"))
+    running = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    return materialise(sizes.withColumn("total_bytes", F.sum("bytes").over(running)), "shard-sizes")
+
+
 def dataset_metadata(spark: SparkSession, path: str, **settings: object) -> DataFrame:
     """One row about written shards: rows, queries, shards and bytes, with the given settings."""
     shards = spark.read.parquet(path)
