@@ -1,11 +1,16 @@
 """Removal of line chunks that repeat across the corpus, by content-defined chunks of lines.
 
-A chunk opens at every line that holds a word. A running hash over the hashes of its lines closes it at
-the first line where it has ``min_words`` words and the hash's lowest ``boundary_bits`` bits are zero
-(no bits: at the first such line). What stands before a line changes neither where its chunk ends nor
-its hash, so inserted lines shift nothing. Chunks whose hash occurs more than once are compared byte by
-byte with the first of their hash; all but the first lose their lines. "First" is the lowest
-``(doc_id, text hash, line)``.
+Only lines that hold a word count. A rolling hash over the hashes of each line and the one before it chooses
+boundaries: a text is cut after a line whose hash has ``boundary_bits`` zero bits, and at its end. What lies
+between two boundaries is a segment of ``2 ** boundary_bits`` lines on average. A chunk opens with every segment
+and takes as many whole segments as give it two lines and ``min_words`` words. A boundary depends on two lines
+alone, so lines inserted elsewhere shift nothing.
+
+A passage of a few lines often holds no two boundaries ``min_words`` words apart. So there is a second level for
+short repeats: a chunk opens at every line and closes at the first line that reaches ``min_words`` words.
+
+Chunks of one level whose hash occurs more than once are compared byte by byte with the first of their hash;
+all but the first lose their lines. "First" is the lowest ``(doc_id, text hash, line)``.
 
 Defined results: a null text stays null and an empty one empty; texts of under ``min_words`` words stay
 as they are; lines without a word belong to no chunk and stay, except that a text that loses all its
@@ -15,6 +20,8 @@ null keys are a key of their own, ordered first; further columns are kept; an em
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +29,10 @@ from quillrank.operators.grouping import is_small
 from quillrank.session import materialise
 
 MIN_WORDS = 50
+#: Zero bits of a boundary's hash: segments of two lines on average.
+BOUNDARY_BITS = 1
+#: Factor of the line before in the rolling hash.
+ROLL = 31
 #: Broadcast bound in bytes; above it the same join shuffles.
 SMALL = 16 * 1024 * 1024
 _WHITE = " \t\x0b\f\r"
@@ -35,14 +46,27 @@ def _has_words(line: Column) -> Column:
     return F.btrim(line, F.lit(_WHITE)) != ""
 
 
+def _mark(line: Column) -> Column:
+    """32 bits of a line's MD5, which any SQL engine can compute too."""
+    return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
+
+
+def _once(expression: Callable[[Column], Column], argument: Column) -> Column:
+    """``expression`` of an argument that is computed once and not for each of its uses."""
+    return F.element_at(F.transform(F.array(argument), expression), 1)
+
+
 def _with_entries(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: key, hash of the text, and (place, words, hash) of each line that holds a word."""
+    """Per row: key, hash of the text, and places, words, hash and mark of each line that holds a word."""
     counted = F.transform(
         _lines(F.col(text)),
         lambda line, place: F.struct(
-            place.alias("place"),
+            place.alias("first"),
+            place.alias("last"),
+            F.lit(1).alias("lines"),
             F.regexp_count(line, F.lit("[^\\x20\\x09-\\x0D]+")).alias("words"),
             F.xxhash64(line).alias("hash"),
+            _mark(line).alias("mark"),
         ),
     )
     return df.where(F.col(text).isNotNull()).select(
@@ -52,49 +76,89 @@ def _with_entries(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def chunks(
-    df: DataFrame, key: str, text: str, min_words: int = MIN_WORDS, boundary_bits: int = 0
-) -> DataFrame:
-    """``doc, digest, first, last, hash``: every chunk of every text; places count all lines from 0.
+def _start(level: int) -> Column:
+    """An empty chunk; its hash names the level, so that chunks of different levels never agree."""
+    return F.struct(
+        F.lit(0).alias("lines"), F.lit(0).alias("words"), F.lit(level).cast("long").alias("hash"), F.lit(-1).alias("last")
+    )
+
+
+def _grown(s: Column, item: Column) -> Column:
+    return F.struct(
+        (s["lines"] + item["lines"]).alias("lines"),
+        (s["words"] + item["words"]).alias("words"),
+        F.xxhash64(s["hash"], item["hash"]).alias("hash"),
+        item["last"].alias("last"),
+    )
+
+
+def _opened(items: Column, level: int, min_words: int, min_lines: int) -> Column:
+    """A chunk from every item (a line or a segment) to the first one that gives it enough words and lines.
 
-    As each line holds a word, a chunk without boundary bits spans at most ``min_words`` lines; with
-    them the search for a boundary goes on for sixteen times the mean distance.
+    Each item holds a line and a word, so no chunk has more than ``reach`` items.
     """
-    reach = min_words + (16 << boundary_bits if boundary_bits else 0)
-    low = (1 << boundary_bits) - 1
+    reach = max(min_words, min_lines)
 
     def closed(s: Column) -> Column:
-        return (s["words"] >= min_words) & (s["hash"].bitwiseAND(F.lit(low)) == 0)
+        return (s["words"] >= min_words) & (s["lines"] >= min_lines)
 
-    def grow(s: Column, line: Column) -> Column:
-        grown = F.struct(
-            (s["words"] + line["words"]).alias("words"),
-            F.xxhash64(s["hash"], line["hash"]).alias("hash"),
-            line["place"].alias("last"),
+    def grow(s: Column, item: Column) -> Column:
+        return F.when(closed(s), s).otherwise(_grown(s, item))
+
+    def run(k: Column, length: int) -> Column:
+        return F.aggregate(F.slice(items, k + 1, F.lit(length)), _start(level), grow)
+
+    # mostly a few items do; the long search is for those where they don't
+    def chunk(item: Column, k: Column) -> Column:
+        found = _once(lambda s: F.when(closed(s), s).otherwise(run(k, reach)), run(k, min(4, reach)))
+        return F.struct(item["first"].alias("first"), found.alias("s"))
+
+    return F.filter(F.transform(items, chunk), lambda c: closed(c["s"]))
+
+
+def _segments(entries: Column, boundary_bits: int) -> Column:
+    """What lies between two boundaries, as items of its places, lines, words and hash."""
+
+    def ends(line: Column, k: Column) -> Column:
+        before = F.coalesce(F.get(entries, k - 1)["mark"], F.lit(0))
+        rolled = (before * ROLL + line["mark"]).bitwiseAND(F.lit((1 << 32) - 1))
+        chosen = F.shiftright(rolled, 16).bitwiseAND(F.lit((1 << boundary_bits) - 1)) == 0
+        return F.when(chosen | (k == F.size(entries) - 1), k + 1)
+
+    def segment(cuts: Column) -> Column:
+        def whole(cut: Column, i: Column) -> Column:
+            start = F.coalesce(F.get(cuts, i - 1), F.lit(0))
+            folded = F.aggregate(F.slice(entries, start + 1, cut - start), _start(0), _grown)
+            return F.struct(F.get(entries, start)["first"].alias("first"), folded.alias("s"))
+
+        return F.transform(
+            F.transform(cuts, whole),
+            lambda c: F.struct(c["first"].alias("first"), *[c["s"][name].alias(name) for name in ("last", "lines", "words", "hash")]),
         )
-        return F.when(closed(s), s).otherwise(grown)
 
-    start = F.struct(F.lit(0).alias("words"), F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("last"))
+    return _once(segment, F.filter(F.transform(entries, ends), lambda cut: cut.isNotNull()))
 
-    def run(entries: Column, k: Column, length: int) -> Column:
-        return F.aggregate(F.slice(entries, k + 1, F.lit(length)), start, grow)
 
-    def opened(entries: Column) -> Column:
-        # mostly a few lines do; the long search is for those where they don't
-        def chunk(line: Column, k: Column) -> Column:
-            near = run(entries, k, min(4, reach))
-            far = F.element_at(F.transform(F.array(near), lambda s: F.when(closed(s), s).otherwise(run(entries, k, reach))), 1)
-            return F.struct(line["place"].alias("first"), far.alias("s"))
+def chunks(
+    df: DataFrame, key: str, text: str, min_words: int = MIN_WORDS, boundary_bits: int = BOUNDARY_BITS
+) -> DataFrame:
+    """``doc, digest, level, first, last, hash``: every chunk of every text; places count all lines from 0.
 
-        return F.filter(F.transform(entries, chunk), lambda c: closed(c["s"]))
+    Level 1 is bounded by the rolling hash, level 2 by words alone.
+    """
 
-    # one element of one array, so that the lines are hashed once and not for every use
-    held = _with_entries(df, key, text).select(
-        "doc", "digest", F.element_at(F.transform(F.array("entries"), opened), 1).alias("c")
-    )
+    def levels(entries: Column) -> Column:
+        by_hash = _once(lambda segments: _opened(segments, 1, min_words, 2), _segments(entries, boundary_bits))
+        return F.array(
+            F.struct(F.lit(1).alias("level"), by_hash.alias("c")),
+            F.struct(F.lit(2).alias("level"), _opened(entries, 2, min_words, 1).alias("c")),
+        )
+
+    held = _with_entries(df, key, text).select("doc", "digest", _once(levels, F.col("entries")).alias("found"))
     return (
-        held.select("doc", "digest", F.explode("c").alias("c"))
-        .select("doc", "digest", "c.first", F.col("c.s.last").alias("last"), F.col("c.s.hash").alias("hash"))
+        held.select("doc", "digest", F.inline("found"))
+        .select("doc", "digest", "level", F.explode("c").alias("c"))
+        .select("doc", "digest", "level", "c.first", F.col("c.s.last").alias("last"), F.col("c.s.hash").alias("hash"))
     )
 
 
@@ -108,10 +172,11 @@ def _same_doc(a: str, b: str) -> Column:
 
 
 def repeated_chunks(
-    df: DataFrame, key: str, text: str, min_words: int = MIN_WORDS, boundary_bits: int = 0
+    df: DataFrame, key: str, text: str, min_words: int = MIN_WORDS, boundary_bits: int = BOUNDARY_BITS
 ) -> DataFrame:
     """``doc, digest, first, last`` of the chunks that equal an earlier one byte by byte."""
-    every = materialise(chunks(df, key, text, min_words, boundary_bits).distinct(), "line-chunks")
+    every = chunks(df, key, text, min_words, boundary_bits).drop("level").distinct()
+    every = materialise(every, "line-chunks")
     place = F.struct("doc", "digest", "first")
     earliest = every.groupBy("hash").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n"))
     earliest = materialise(earliest.where("n > 1").select("hash", "origin"), "line-origins")
@@ -149,7 +214,7 @@ def remove_repeated_chunks(
     key: str = "doc_id",
     text: str = "text",
     min_words: int = MIN_WORDS,
-    boundary_bits: int = 0,
+    boundary_bits: int = BOUNDARY_BITS,
 ) -> DataFrame:
     """The rows of ``df`` with ``text`` less the repeated chunks, ``n_lines`` and ``n_removed`` lines.
 

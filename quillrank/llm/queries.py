@@ -174,7 +174,7 @@ def _quality_sql() -> str:
 
 def line_chunk_ctes(source: str) -> str:
     """``line_kept``: the rows of ``source`` with the new text. Chunks are compared as whole strings."""
-    n = line_chunks.MIN_WORDS
+    n, bits, roll = line_chunks.MIN_WORDS, line_chunks.BOUNDARY_BITS, line_chunks.ROLL
     return rf"""
     line_docs AS (SELECT DISTINCT doc_id AS d, text AS t FROM {source} WHERE text IS NOT NULL),
     line_split AS (SELECT d, t, string_split(t, chr(10)) AS ls FROM line_docs),
@@ -185,18 +185,28 @@ def line_chunk_ctes(source: str) -> str:
 ]+'), lambda x: x <> '')) AS w
       FROM line_rows),
     line_sums AS (
-      SELECT *, sum(w) OVER own AS upto, row_number() OVER own AS k
+      SELECT *, sum(w) OVER own AS upto, row_number() OVER own AS k, lead(p) OVER own IS NULL AS at_end,
+        ('0x' || substr(md5(line), 1, 8))::BIGINT AS mark
       FROM line_words WHERE w > 0 WINDOW own AS (PARTITION BY d, t ORDER BY p)),
+    line_marks AS (
+      SELECT *, at_end OR ((({roll} * lag(mark, 1, 0) OVER own + mark) & 4294967295) >> 16) & {(1 << bits) - 1} = 0 AS edge
+      FROM line_sums WINDOW own AS (PARTITION BY d, t ORDER BY p)),
+    line_edges AS (
+      SELECT *, lag(edge, 1, true) OVER (PARTITION BY d, t ORDER BY p) AS opens FROM line_marks),
     line_ends AS (
-      SELECT a.d, a.t, a.p AS first, min(b.k) AS last_k, a.k AS first_k
+      SELECT 1 AS level, a.d, a.t, a.p AS first, min(b.k) AS last_k, a.k AS first_k
+      FROM line_edges a JOIN line_edges b ON a.d = b.d AND a.t = b.t AND b.k > a.k AND b.upto - a.upto + a.w >= {n}
+      WHERE a.opens AND b.edge GROUP BY ALL
+      UNION ALL
+      SELECT 2, a.d, a.t, a.p, min(b.k), a.k
       FROM line_sums a JOIN line_sums b ON a.d = b.d AND a.t = b.t AND b.k >= a.k AND b.upto - a.upto + a.w >= {n}
       GROUP BY ALL),
     line_chunks AS (
-      SELECT e.d, e.t, e.first, max(s.p) AS last, string_agg(s.line, chr(10) ORDER BY s.p) AS chunk
+      SELECT e.level, e.d, e.t, e.first, max(s.p) AS last, string_agg(s.line, chr(10) ORDER BY s.p) AS chunk
       FROM line_ends e JOIN line_sums s ON s.d = e.d AND s.t = e.t AND s.k BETWEEN e.first_k AND e.last_k
       GROUP BY ALL),
     line_again AS (
-      SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY d, first) AS n FROM line_chunks),
+      SELECT *, row_number() OVER (PARTITION BY level, chunk ORDER BY d, first) AS n FROM line_chunks),
     line_gone AS (SELECT DISTINCT d, t, unnest(range(first, last + 1)) AS p FROM line_again WHERE n > 1),
     line_left AS (
       SELECT r.d, r.t, count(*) AS n_lines, count(g.p) AS n_removed,

@@ -1,5 +1,6 @@
 """Quality ledger, line chunks and sharding against plain Python."""
 
+import hashlib
 import random
 import re
 
@@ -68,21 +69,31 @@ def test_ledger_runs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan.replace("ArrowEval", "")
 
 
-def python_lines(rows, min_words):
+def boundaries(lines, bits):
+    """Places after which the rolling hash of each line and the one before cuts ``lines``."""
+    marks = [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in lines]
+    rolled = [(line_chunks.ROLL * before + mark) % 2**32 for before, mark in zip([0, *marks], marks)]
+    return [k for k, r in enumerate(rolled) if (r >> 16) % 2**bits == 0 or k == len(lines) - 1]
+
+
+def python_lines(rows, min_words, bits=line_chunks.BOUNDARY_BITS, levels=(1, 2)):
     """Rows of (key, text) -> new texts, from whole chunk strings."""
     docs = sorted({(key, text) for key, text in rows if text is not None}, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     first, gone = {}, {}
     for key, text in docs:
         lines = [(i, line, len(words_of(line))) for i, line in enumerate(text.split("\n")) if words_of(line)]
-        for k in range(len(lines)):
-            total, j = 0, k
-            while j < len(lines) and total < min_words:
-                total += lines[j][2]
-                j += 1
-            if total >= min_words:
-                chunk = "\n".join(line for _, line, _ in lines[k:j])
+        cuts = boundaries([line for _, line, _ in lines], bits)
+        for level in levels:
+            opens = range(len(lines)) if level == 2 else [0, *[k + 1 for k in cuts[:-1]]]
+            closes = range(len(lines)) if level == 2 else cuts
+            for k in opens:
+                ends = (j for j in closes if j >= k + 2 - level and sum(n for _, _, n in lines[k : j + 1]) >= min_words)
+                j = next(ends, None)
+                if j is None:
+                    continue
+                chunk = level, "\n".join(line for _, line, _ in lines[k : j + 1])
                 if first.setdefault(chunk, (key, text, k)) != (key, text, k):
-                    gone.setdefault((key, text), set()).update(range(lines[k][0], lines[j - 1][0] + 1))
+                    gone.setdefault((key, text), set()).update(range(lines[k][0], lines[j][0] + 1))
     out = []
     for key, text in rows:
         drop = gone.get((key, text))
@@ -117,9 +128,45 @@ def test_inserted_lines_shift_no_chunk(spark):
     draw = random.Random(5)
     lines = [" ".join(f"w{draw.randint(0, 9999)}" for _ in range(10)) for _ in range(40)]
     df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(["new line", *lines]))], "doc_id LONG, text STRING")
-    for bits in (0, 2):
-        found = line_chunks.chunks(df, "doc_id", "text", 20, bits).groupBy("hash").count()
-        assert found.where("count = 1").count() <= 1  # at most what the new line opens
+    for bits in (0, 1, 2):
+        found = line_chunks.chunks(df, "doc_id", "text", 20, bits).groupBy("level", "hash").count()
+        assert found.where("level = 2 and count = 1").count() <= 1  # at most what the new line opens
+        # what opens at the start of either text or after the two lines whose hash holds the new one
+        assert found.where("level = 1 and count = 1").count() <= 5
+        assert found.where("level = 1 and count = 2").count() >= 5
+
+
+def test_the_rolling_hash_bounds_chunks(spark):
+    draw = random.Random(8)
+    lines = [" ".join(f"w{draw.randint(0, 9999)}" for _ in range(10)) for _ in range(300)]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n\n".join(lines[100:]))], "doc_id LONG, text STRING")
+    for bits in (1, 3, 6):
+        cuts = boundaries(lines, bits)
+        found = line_chunks.chunks(df, "doc_id", "text", 50, bits).where("doc = 1 and level = 1").collect()
+        opens = [0, *[k + 1 for k in cuts[:-1]]]
+        expected = {(k, min(j for j in cuts if j >= k + 4)) for k in opens if cuts[-1] >= k + 4}
+        assert {(r["first"], r["last"]) for r in found} == expected  # however far the next boundary is
+
+
+def test_hash_bounded_chunks_take_what_words_leave(spark):
+    """A chunk of the first level goes on to its boundary, where the second ends with ``min_words`` words."""
+    draw = random.Random(9)
+    long = " ".join(f"w{draw.randint(0, 9999)}" for _ in range(60))
+    short = ["short line " + str(draw.randint(0, 9999)) for _ in range(6)]
+    passage = [long, *short]
+    texts = ["\n".join([f"own {i} a", f"own {i} b", *passage]) for i in range(3)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    got = sorted((r["doc_id"], r["text"]) for r in line_chunks.remove_repeated_chunks(df).collect())
+    assert got == python_lines(rows, 50)
+    assert got[0] == rows[0] and all(long not in text for _, text in got[1:])
+    assert got != python_lines(rows, 50, levels=(2,))
+
+
+def test_line_chunks_run_no_python(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id LONG, text STRING").select("doc_id", "text")
+    plan = line_chunks.chunks(df, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan.replace("ArrowEval", "")
 
 
 def python_shards(rows, limit):

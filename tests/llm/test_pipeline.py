@@ -91,5 +91,5 @@ def test_empty_documents(spark, folder):
 
 def test_every_operator_is_registered_once():
     names = queries.queries()
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)
