@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillrank.functions.text import with_clean_texts
 from quillrank.operators.features import build_features
 from quillrank.operators.semantic import semantic_cosine, text_embed, with_text_similarity
-from quillrank.operators.tfidf import tfidf_cosine, tfidf_fit
+from quillrank.operators.tfidf import tfidf_cosine, tfidf_fit, weighted_terms
 from quillrank.schemas import ALL_FEATURES, require_columns
 
 
@@ -108,3 +108,13 @@ def test_user_encoder_sees_each_text_once(spark, held_out):
 def test_missing_columns_are_named(held_out):
     with pytest.raises(ValueError, match=r"\['nope'\]"):
         require_columns(held_out, ["query", "nope"], "features")
+
+
+def test_tables_that_grow_with_the_input_are_not_sent_through_the_driver(spark, held_out):
+    """The vocabulary and the vectors of texts, however small their files, are joined by a shuffle."""
+    cleaned = with_clean_texts(held_out)
+    terms = tfidf_fit(held_out)
+    texts = cleaned.select("doc_id", "document_clean").distinct()
+    for joined in (weighted_terms(texts, "doc_id", "document_clean", terms), with_text_similarity(cleaned)):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
