@@ -155,8 +155,9 @@ def chunks(
         )
 
     held = _with_entries(df, key, text).select("doc", "digest", _once(levels, F.col("entries")).alias("found"))
+    # outer, as Spark would test the array of an inner one first and search all chunks again for each test
     return (
-        held.select("doc", "digest", F.inline("found"))
+        held.select("doc", "digest", F.inline_outer("found"))
         .select("doc", "digest", "level", F.explode("c").alias("c"))
         .select("doc", "digest", "level", "c.first", F.col("c.s.last").alias("last"), F.col("c.s.hash").alias("hash"))
     )
@@ -190,15 +191,16 @@ def repeated_chunks(
     ids = met.select("doc", "digest").distinct()
     holding = _joined(texts.alias("t"), ids.alias("i"), _same_doc("t", "i"), "left_semi")
     holding = holding.alias("t").join(held.alias("h"), _same_doc("t", "h"))
-    own_lines = F.slice("lines", F.col("m.first") + 1, F.col("m.last") - F.col("m.first") + 1)
-    cut = (
-        holding.select("t.doc", "t.digest", _lines(F.col("text")).alias("lines"), "met")
-        .select("doc", "digest", "lines", F.explode("met").alias("m"))
-        .select(
-            "doc", "digest", "m.*",
-            F.array_join(F.filter(own_lines, _has_words), "\n").alias("chunk"),
-        )
-    )
+
+    def with_text(lines: Column) -> Column:
+        def chunk(m: Column) -> Column:
+            own_lines = F.slice(lines, m["first"] + 1, m["last"] - m["first"] + 1)
+            return F.struct(*[m[name].alias(name) for name in ("first", "last", "hash", "own")], F.array_join(F.filter(own_lines, _has_words), "\n").alias("chunk"))
+
+        return F.transform("met", chunk)
+
+    # cut inside the text's row: to explode first would copy all its lines for each of its chunks
+    cut = holding.select("t.doc", "t.digest", F.inline_outer(_once(with_text, _lines(F.col("text")))))
     cut = materialise(cut, "line-texts")
     origins = cut.where("own").select("hash", F.col("chunk").alias("origin_chunk")).dropDuplicates(["hash"])
     return (
@@ -228,18 +230,18 @@ def remove_repeated_chunks(
     rows = df.select(
         F.struct("*").alias("row"), F.col(key).alias("doc"), F.xxhash64(text).alias("digest"), F.col(text).alias("old")
     ).alias("r")
-    joined = _joined(rows, marks, _same_doc("r", "m"), "left").select("r.row", "r.old", "m.places", _lines(F.col("r.old")).alias("lines"))
-    kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "places"), lambda place: F.get("lines", place)
-    )
-    joined = joined.withColumn("kept", F.when(F.col("places").isNotNull(), kept))
-    new_text = (
-        F.when(F.col("places").isNull(), F.col("old"))
-        .when(F.exists("kept", _has_words), F.array_join("kept", "\n"))
-        .otherwise("")
-    )
+    joined = _joined(rows, marks, _same_doc("r", "m"), "left").select("r.row", "r.old", "m.places")
+
+    def without(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "places")
+        left = F.transform(places, lambda place: F.get(lines, place))
+        return _once(lambda kept: F.when(F.exists(kept, _has_words), F.array_join(kept, "\n")).otherwise(""), left)
+
+    new_text = F.when(F.col("places").isNull(), F.col("old")).otherwise(_once(without, _lines(F.col("old"))))
+    # exploded, as a caller's filter on the text would else move below and split the text again for each of its lines
+    joined = joined.select("*", F.explode_outer(F.array(new_text)).alias("new"))
     return joined.select(
-        *[new_text.alias(name) if name == text else F.col(f"row.`{name}`").alias(name) for name in df.columns],
-        F.when(F.col("old").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        *[F.col("new").alias(name) if name == text else F.col(f"row.`{name}`").alias(name) for name in df.columns],
+        F.when(F.col("old").isNull(), 0).otherwise(F.size(_lines(F.col("old")))).cast("long").alias("n_lines"),
         F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long").alias("n_removed"),
     )

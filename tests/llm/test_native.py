@@ -163,6 +163,38 @@ def test_hash_bounded_chunks_take_what_words_leave(spark):
     assert got != python_lines(rows, 50, levels=(2,))
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_chunks_are_searched_once_for_each_text(spark, tmp_path):
+    """Filters that Spark infers or moves must not repeat the search or the cut, nor cut inside a loop over lines."""
+    path = str(tmp_path / "docs")
+    rows = [(i, "\n".join([f"{'word ' * 60}{i % 2}", "b c", f"end {i}"])) for i in range(4)]
+    spark.createDataFrame(rows, "doc_id LONG, text STRING").write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert optimized(line_chunks.chunks(docs, "doc_id", "text")).count("md5(") == 1
+    left = line_chunks.remove_repeated_chunks(docs).where("n_removed = 0 or text != ''").select("doc_id", "text")
+    assert optimized(left).count("array_except(") == 1 and optimized(left).count("split(") == 1
+    assert sorted(map(tuple, left.collect())) == sorted(python_lines(rows, line_chunks.MIN_WORDS))
+
+
+def test_chunk_texts_are_cut_inside_their_row(spark, tmp_path, monkeypatch):
+    """No row for each chunk holds all lines of its text, which would be quadratic in the length of a text."""
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, f"{'word ' * 60}\nend {i}") for i in range(3)], "doc_id LONG, text STRING").write.parquet(path)
+    plans = {}
+
+    def kept(df, name, write=line_chunks.materialise):
+        plans[name] = optimized(df)
+        return write(df, name)
+
+    monkeypatch.setattr(line_chunks, "materialise", kept)
+    assert line_chunks.repeated_chunks(spark.read.parquet(path), "doc_id", "text").count() == 2
+    above = plans["line-texts"].split("split(")[0]
+    assert "Generate" in above and "array_join(" not in above
+
+
 def test_line_chunks_run_no_python(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id LONG, text STRING").select("doc_id", "text")
     plan = line_chunks.chunks(df, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
