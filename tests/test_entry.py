@@ -1,13 +1,17 @@
 """Registered queries that apply a model do so, although SQL can state neither rank nor score."""
 
+import glob
+import inspect
 import random
 from collections import defaultdict
 
 import pytest
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quillrank.operators.features import build_features
+from quillrank.operators.ranker import train_ranker
 from quillrank.session import work_folder
 
 WORDS = [f"w{i}" for i in range(40)]
@@ -24,6 +28,17 @@ def folder(spark, tmp_path_factory):
     return path
 
 
+def test_the_model_has_all_its_trees(spark, folder):
+    """The query fits the library's own number of trees, each split as far as it gains, and stores them all."""
+    result = entry.queries()["train_ranker"](spark, folder)
+    (path,) = glob.glob(f"{work_folder(spark).removeprefix('file://')}/quillrank/*/ranker-*/model")
+    whole = inspect.signature(train_ranker).parameters["n_estimators"].default
+    run, stored = entry._run(spark, folder), GBTRegressionModel.load(path)
+    assert run.ranker.model.getNumTrees == stored.getNumTrees == whole == 200
+    assert min(tree.numNodes for tree in stored.trees) > 1
+    assert result.count() == run.data.test.count() > 0
+
+
 @pytest.mark.parametrize("name", ["rerank", "search"])
 def test_two_stage_queries_come_in_the_order_of_the_model(spark, folder, name):
     got = [(r["query_id"], r["doc_id"]) for r in entry.queries()[name](spark, folder).collect()]
