@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -9,8 +11,10 @@ from quillrank.operators.metrics import evaluate
 from quillrank.operators.ranker import (
     _newton_steps,
     _training_rows,
+    _whole_queries,
     feature_importance,
     load_ranker,
+    pulls,
     train_ranker,
 )
 
@@ -71,6 +75,39 @@ def test_newton_steps_equal_brute_force(featured, truncation, hot_rows):
     assert all(abs(total) < 1e-9 for total in totals.values())
 
 
+@pytest.mark.parametrize("truncation", [30, 3])
+def test_pulls_of_whole_queries_equal_brute_force(featured, truncation, monkeypatch):
+    monkeypatch.setattr("quillrank.operators.ranker.PAIRED_ROWS", 7)
+    rows = sorted((r["query_id"], r["doc_id"], r["relevance"], r["signal"]) for r in featured.collect())
+    grades = {}
+    for q, _, grade, _ in rows:
+        grades.setdefault(q, []).append(2.0**grade - 1)
+    ideal = {q: sum(g / math.log2(p + 2) for p, g in enumerate(sorted(own, reverse=True)[:truncation])) for q, own in grades.items()}
+    first = np.array([i == 0 or rows[i - 1][0] != row[0] for i, row in enumerate(rows)])
+    gain = np.array([2.0 ** row[2] - 1 for row in rows])
+    gradient, curvature = pulls(first, gain, np.array([1 / ideal[row[0]] for row in rows]), np.array([row[3] for row in rows]), truncation)
+    got = {row[:2]: (g, h) for row, g, h in zip(rows, gradient, curvature) if h > 0}
+    expected = {key: value for key, value in brute_steps(rows, truncation).items() if value[1] > 0}
+    assert got.keys() == expected.keys()
+    for key, value in expected.items():
+        assert got[key] == pytest.approx(value, abs=1e-9)
+
+
+def test_an_absent_relevance_pulls_nothing():
+    first, score = np.array([True, False, False]), np.zeros(3)
+    gradient, curvature = pulls(first, np.array([1.0, np.nan, 0.0]), np.ones(3), score, 30)
+    assert gradient[1] == curvature[1] == 0 and gradient[0] == -gradient[2] > 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 9])
+def test_batches_are_cut_between_queries_only(size):
+    first = [True, False, False, True, True, False, False, False, True]
+    whole = pa.RecordBatch.from_arrays([pa.array(first), pa.array(range(9))], ["first", "n"])
+    parts = list(_whole_queries(iter([whole.slice(0, 0), *[whole.slice(i, size) for i in range(0, 9, size)]])))
+    assert [n for part in parts for n in part["n"].to_pylist()] == list(range(9))
+    assert all(part["first"][0].as_py() for part in parts)
+
+
 def test_learns_saves_and_explains(spark, featured, tmp_path):
     ranker = train_ranker(featured, FEATURES, n_estimators=6, learning_rate=0.3, num_leaves=8, checkpoint_every=2)
     scored = ranker.predict(featured)
