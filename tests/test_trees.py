@@ -169,6 +169,16 @@ def test_models_leaves_are_exact(judged):
     assert [tree.numNodes for tree in ranker.model.trees] == [13, 13]
 
 
+def test_rows_of_many_tasks_give_the_same_model(judged, monkeypatch):
+    def scores():
+        ranker = train_ranker(judged, ["signal", "noise"], 12, num_leaves=9, checkpoint_every=4)
+        return [(*row[:2], round(row[2], 9)) for row in rows_of(ranker.predict(judged).select("query_id", "doc_id", "model_score"), "query_id", "doc_id")]
+
+    whole = scores()
+    monkeypatch.setattr("quillrank.operators.ranker.ROWS_PER_PARTITION", 30)
+    assert judged.count() > 120 and scores() == whole
+
+
 def test_ndcg_by_rank_equals_one_rank_at_a_time(judged):
     for k, ndcg in sorted(tuple(row) for row in ndcg_by_rank(judged, "signal", (1, 3, 5, 10)).collect()):
         assert ndcg == evaluate(judged, "signal", k).first()["ndcg"]
