@@ -140,6 +140,16 @@ def test_nothing_to_learn(featured):
         train_ranker(featured.where("query_id = 'flat'"), FEATURES)
 
 
+def test_nothing_to_learn_can_give_a_constant_model(spark, featured, tmp_path):
+    flat, path = featured.where("query_id = 'flat'"), str(tmp_path / "constant")
+    with pytest.warns(UserWarning, match="the model is constant"):
+        ranker = train_ranker(flat, FEATURES, constant=True)
+    ranker.save(path)
+    loaded = load_ranker(spark, path)
+    assert loaded.model.getNumTrees == 1 and {r["model_score"] for r in loaded.predict(featured).collect()} == {0.0}
+    assert [r["split_importance"] for r in feature_importance(ranker).collect()] == [0, 0]
+
+
 def test_missing_feature_and_model(spark, featured, tmp_path):
     with pytest.raises(ValueError, match=r"\['absent'\]"):
         train_ranker(featured, ["signal", "absent"])
